@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source system has no streams, watermarks or stateful operators; its
+"streaming" is incremental reading of bounded files, which Spark's input
+splits already provide (XML ``rowTag`` records, CSV/TSV splits).  Nothing is
+built here rather than an operator the source does not have.
+"""
