@@ -99,15 +99,12 @@ def display_item(item: Column | str, label_name: Column | None = None,
             .otherwise(it))
 
 
-def proper_subsets(arr: Column | str) -> Column:
-    """All non-empty proper subsets of an array with at least two elements.
+def proper_subsets(arr: str) -> Column:
+    """All non-empty proper subsets of the array column ``arr`` (at least two elements).
 
     Bitmask enumeration with JVM higher-order functions: mask ``1 .. 2^n - 2``
     keeps the elements whose bit is set, preserving the element order.
     """
-    a = _col(arr)
-    n = F.size(a)
-    top = F.shiftleft(F.lit(1), n) - F.lit(2)
-    return F.transform(
-        F.sequence(F.lit(1), top),
-        lambda mask: F.filter(a, lambda x, i: F.shiftright(mask, i).bitwiseAND(F.lit(1)) == F.lit(1)))
+    a = f"`{arr}`"
+    return F.expr(f"transform(sequence(1, shiftleft(1, size({a})) - 2), "
+                  f"m -> filter({a}, (e, i) -> (shiftright(m, i) & 1) = 1))")

@@ -264,9 +264,10 @@ FROM best WHERE rn = 1"""
     q["diverse_top_rules"] = refined + f""",
 rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY label_id ORDER BY growth_rate DESC, lift DESC,
        array_to_string(ante, ' ')) AS INTEGER) AS rank_in_label FROM nonred)
-SELECT {ANTE}, label_id, {_gr_out('growth_rate')} AS growth_rate, is_jumping, lift, rank_in_label
-FROM rk WHERE rank_in_label <= {p.max_per_label}
-ORDER BY growth_rate DESC, lift DESC, label_id, array_to_string(ante, ' ') LIMIT {p.top_n}"""
+,
+top AS (SELECT * FROM rk WHERE rank_in_label <= {p.max_per_label}
+        ORDER BY growth_rate DESC, lift DESC, label_id, array_to_string(ante, ' ') LIMIT {p.top_n})
+SELECT {ANTE}, label_id, {_gr_out('growth_rate')} AS growth_rate, is_jumping, lift, rank_in_label FROM top"""
     q["candidates"] = disc + (f" SELECT entity_id, label_id, {ANTE}, rule_confidence, "
                               f"{_gr_out('rule_growth_rate')} AS rule_growth_rate, is_hit, known_negative "
                               "FROM cand2")
@@ -285,10 +286,10 @@ lbl AS (
 eb AS (SELECT DISTINCT l_partkey AS entity_id, CAST(l_suppkey AS VARCHAR) AS bridge_item FROM lineitem),
 shared AS (SELECT d.entity_id, d.label_id, eb.bridge_item FROM dedup d JOIN eb USING (entity_id)
            JOIN lbl ON lbl.label_id = d.label_id AND lbl.bridge_item = eb.bridge_item),
-sets AS (SELECT entity_id, label_id, array_to_string(list_sort(list(bridge_item)), ', ') AS t
+bsets AS (SELECT entity_id, label_id, array_to_string(list_sort(list(bridge_item)), ', ') AS t
          FROM shared GROUP BY entity_id, label_id)
 SELECT d.entity_id, d.label_id, coalesce(s.t, 'indirect') AS bridge_text
-FROM dedup d LEFT JOIN sets s USING (entity_id, label_id)"""
+FROM dedup d LEFT JOIN bsets s USING (entity_id, label_id)"""
     q["top_by_confidence"] = disc + f", top AS ({top_conf}) SELECT {ranked_cols} FROM top"
     q["top_by_growth"] = disc + f", top AS ({top_gr}) SELECT {ranked_cols} FROM top"
     q["long_tail"] = disc + f""",
