@@ -20,6 +20,7 @@ from emergent.operators.containment import containment_join
 from emergent.operators.contrast import growth_rate, high_contrast, negative_support
 from emergent.operators.mining import ITEMSET_CAP, TOO_MANY, mine_label_rules
 from emergent.operators.transactions import prune_transactions, total
+from emergent.session import reliable
 
 # Fixed values of the source's sweep.
 SUPPORT_GRID = (0.05, 0.03, 0.02, 0.015, 0.01, 0.008, 0.005, 0.003, 0.0016)
@@ -67,7 +68,7 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
     min_conf = min(confidences)
     for si, s in enumerate(supports):
         pruned = prune_transactions(tx_pos, entities, s, n_all)
-        mined = mine_label_rules(pruned.tx, s, min_conf, max_antecedent=max_antecedent,
+        mined = mine_label_rules(reliable(pruned.tx, "tx-pruned", spread=True), s, min_conf, max_antecedent=max_antecedent,
                                  itemset_cap=itemset_cap)
         if mined.status == TOO_MANY:
             parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emergent.operators import contrast, discover, mining, refine, split, transactions
+from emergent.session import reliable
 from emergent.sources import standin
 
 
@@ -93,11 +94,18 @@ class Flow:
 
     @cached_property
     def tx_pos(self) -> DataFrame:
-        return transactions.build_transactions(self.pos_train_pairs, self.entities)
+        """Collapsed positive training transactions, written once to the shared checkpoint folder.
+
+        Every later step (pruning, each mining level, the sweep) reads this
+        table instead of re-running the association joins.
+        """
+        return reliable(transactions.build_transactions(self.pos_train_pairs, self.entities), "tx-pos",
+                        spread=True)
 
     @cached_property
     def tx_neg(self) -> DataFrame:
-        return transactions.build_transactions(self.neg_train_pairs, self.entities)
+        return reliable(transactions.build_transactions(self.neg_train_pairs, self.entities), "tx-neg",
+                        spread=True)
 
     @cached_property
     def n_pos(self) -> int:
@@ -110,7 +118,9 @@ class Flow:
     # --- mining -----------------------------------------------------------------
     @cached_property
     def pruned(self) -> transactions.Pruned:
-        return transactions.prune_transactions(self.tx_pos, self.entities, self.params.min_support, self.n_pos)
+        p = transactions.prune_transactions(self.tx_pos, self.entities, self.params.min_support, self.n_pos)
+        p.tx = reliable(p.tx, "tx-pruned", spread=True)
+        return p
 
     @cached_property
     def pruned_for_report(self) -> transactions.Pruned:

@@ -59,7 +59,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def reliable(df: DataFrame, name: str = "stage", spread: bool = False) -> DataFrame:
+    """Cut lineage by writing a Parquet table to the shared checkpoint folder and reading it back.
+
+    One job (an RDD ``checkpoint()`` of an unpersisted plan computes it twice),
+    columnar and compressed, and the re-read table carries file-size
+    statistics, so later joins against it are planned as broadcasts only when
+    it is small.  The files live in the cluster's shared folder, so the table
+    survives the loss of any executor.
+
+    ``spread=True`` round-robins the rows over the cluster's default
+    parallelism first, for tables that later fan out (exploded item sets) and
+    must not come back as a single split.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if spread:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
