@@ -136,13 +136,27 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     return Mined(rules, n, mc, n_sets, OK)
 
 
+EXPAND_CHUNK = 4096
+
+
 def expand_transactions(tx: DataFrame, label: str = "label_id", features: str = "features",
                         weight: str = "multiplicity", label_prefix: str = "LABEL_") -> DataFrame:
-    """One row per original transaction with the mixed item array (input of MLlib)."""
+    """One row per original transaction with the mixed item array (input of MLlib).
+
+    A multiplicity is expanded in chunks of at most ``EXPAND_CHUNK`` rows and
+    the chunks are spread round-robin before the final explode, so a pair that
+    holds a large share of all rows never builds one huge array or one huge task.
+    """
     items = F.array_sort(F.array_distinct(F.concat(F.col(features), F.array(prefixed(label_prefix, label)))))
-    return (tx.select(items.alias("items"), F.col(weight).cast("int").alias("_m"))
-            .select("items", F.explode(F.array_repeat(F.lit(0), F.col("_m"))).alias("_r"))
-            .drop("_r"))
+    m = F.col(weight).cast("bigint")
+    chunks = (tx.select(items.alias("items"), m.alias("_m"))
+              .select("items", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                          F.floor((F.col("_m") - 1) / EXPAND_CHUNK).cast("bigint")))
+                      .alias("_c"))
+              .select("items", F.least(F.lit(EXPAND_CHUNK).cast("bigint"),
+                                       F.col("_m") - F.col("_c") * EXPAND_CHUNK).cast("int").alias("_k")))
+    spread = chunks.repartition(tx.sparkSession.sparkContext.defaultParallelism)
+    return spread.select("items", F.explode(F.array_repeat(F.lit(0), F.col("_k"))).alias("_r")).drop("_r")
 
 
 def mine_fpgrowth(tx: DataFrame, min_support: float, min_confidence: float,

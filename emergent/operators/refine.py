@@ -58,20 +58,19 @@ def remove_redundant(rules: DataFrame, conf_tol: float = CONF_TOL, supp_tol: flo
     return kept.drop("_len")
 
 
-def infinity_cap(rules: DataFrame) -> DataFrame:
-    """One-row frame with the stand-in for +inf: 1.5 x the largest finite growth rate."""
-    mx = F.max(F.when(F.col("growth_rate") != F.lit(INF), F.col("growth_rate")))
-    return rules.agg(mx.alias("_mx")).select(
-        (F.coalesce(F.col("_mx"), F.lit(NO_FINITE_GROWTH)) * F.lit(INF_CAP_FACTOR)).alias("_cap"))
+def infinity_cap(rules: DataFrame) -> float:
+    """The stand-in for +inf, 1.5 x the largest finite growth rate (a scalar aggregate)."""
+    mx = rules.agg(F.max(F.when(F.col("growth_rate") != F.lit(INF), F.col("growth_rate")))).first()[0]
+    return (NO_FINITE_GROWTH if mx is None else float(mx)) * INF_CAP_FACTOR
 
 
 def score_rules(rules: DataFrame, w1: float = W_CONFIDENCE, w2: float = W_GROWTH,
                 w3: float = W_SUPPORT) -> DataFrame:
     """``w1*confidence + w2*growth + w3*support`` with +inf replaced by the cap."""
     cap = infinity_cap(rules)
-    g = F.when(F.col("growth_rate") == F.lit(INF), F.col("_cap")).otherwise(F.col("growth_rate"))
+    g = F.when(F.col("growth_rate") == F.lit(INF), F.lit(cap)).otherwise(F.col("growth_rate"))
     score = (F.col("confidence") * F.lit(w1)) + (g * F.lit(w2)) + (F.col("support") * F.lit(w3))
-    return rules.crossJoin(F.broadcast(cap)).withColumn("rep_score", score).drop("_cap")
+    return rules.withColumn("rep_score", score)
 
 
 def representative_rules(rules: DataFrame, label: str = "label_id", **weights) -> DataFrame:

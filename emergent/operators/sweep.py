@@ -62,6 +62,13 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
     spark = tx_pos.sparkSession
     grid = spark.createDataFrame([(i, float(c)) for i, c in enumerate(confidences)],
                                  "conf_idx int, conf double")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("conf_idx"), F.lit(float(c)).alias("conf"))
+                                for i, c in enumerate(confidences)])).alias("_cell")
+
+    def per_cell(df: DataFrame) -> DataFrame:
+        """Each row once per grid cell (a generator over the parameter list, not a join)."""
+        return df.select("*", cells).select("*", "_cell.conf_idx", "_cell.conf").drop("_cell")
+
     n_all = total(tx_pos)
     n_neg = total(neg_tx)
     parts: list[DataFrame] = []
@@ -74,12 +81,11 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
             parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))
             break
         mined_rules = mined.rules
-        cells = F.broadcast(grid)            # a handful of parameter rows
-        n_mined = (mined_rules.select("confidence").crossJoin(cells)
+        n_mined = (per_cell(mined_rules.select("confidence"))
                    .filter(F.col("confidence") >= F.col("conf"))
                    .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_mined")))
         rules = high_contrast(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), min_growth)
-        n_rules = (rules.select("confidence").crossJoin(cells)
+        n_rules = (per_cell(rules.select("confidence"))
                    .filter(F.col("confidence") >= F.col("conf"))
                    .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_rules")))
         r = rules.select("label_id", "antecedent", F.col("confidence").alias("_rc"))
@@ -89,7 +95,7 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
                  .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
                  .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
                        ["entity_id", "label_id"], "left"))
-        counts = (pairs.crossJoin(cells).filter(F.col("_best") >= F.col("conf"))
+        counts = (per_cell(pairs).filter(F.col("_best") >= F.col("conf"))
                   .groupBy("conf_idx").agg(F.count_if(F.col("_hit").isNotNull()).alias("hits"),
                                            F.count_if(F.col("_hit").isNull()).alias("novel")))
         cell = (grid.join(n_mined, "conf_idx", "left").join(n_rules, "conf_idx", "left")

@@ -98,11 +98,10 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
 
 def vocabulary_stats(tx: DataFrame, pruned: Pruned, label: str = "label_id",
                      features: str = "features") -> DataFrame:
-    """A5: vocabulary and transaction counts before and after pruning (one row)."""
-    before = item_frequency(tx, label, features).agg(F.count(F.lit(1)).alias("items_before"))
-    after_f = pruned.frequent_features.agg(F.count(F.lit(1)).alias("nf"))
-    after_l = pruned.frequent_labels.agg(F.count(F.lit(1)).alias("nl"))
-    tx_after = pruned.tx.agg(F.coalesce(F.sum("multiplicity"), F.lit(0)).cast("bigint").alias("tx_after"))
-    return (before.crossJoin(after_f).crossJoin(after_l).crossJoin(tx_after)
-            .select(F.col("items_before"), (F.col("nf") + F.col("nl")).alias("items_after"),
-                    F.lit(pruned.n_before).cast("bigint").alias("tx_before"), "tx_after"))
+    """A5: vocabulary and transaction counts before and after pruning (one row of scalars)."""
+    spark = tx.sparkSession
+    items_before = item_frequency(tx, label, features).count()
+    items_after = pruned.frequent_features.count() + pruned.frequent_labels.count()
+    tx_after = total(pruned.tx)
+    return spark.createDataFrame([(items_before, items_after, pruned.n_before, tx_after)],
+                                 "items_before bigint, items_after bigint, tx_before bigint, tx_after bigint")

@@ -16,7 +16,7 @@ from emergent.functions.items import INF, display_item, growth_text, items_text
 from emergent.operators import discover, mining, refine, split, sweep, transactions
 from emergent.plans.flow import PARAMS, flow
 from emergent.session import scratch_path
-from emergent.sources import delimited, sinks, standin, xml
+from emergent.sources import delimited, standin, xml
 
 
 def _gr(c: str) -> Column:

@@ -106,5 +106,5 @@ def test_representative_per_label(spark):
         RULE_SCHEMA)
     rep = {r.label_id: tuple(r.antecedent) for r in refine.representative_rules(rules).collect()}
     assert rep == {1: ("a", "b"), 2: ("c",)}
-    cap = refine.infinity_cap(rules.filter(F.col("growth_rate") == INF)).first()[0]
-    assert cap == 15.0
+    assert refine.infinity_cap(rules.filter(F.col("growth_rate") == INF)) == 15.0
+    assert refine.infinity_cap(rules) == 3.0
