@@ -11,6 +11,7 @@ and counts reach the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +50,25 @@ def _fixed_cells(spark, si: int, s: float, confidences: Sequence[float], status:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+@dataclass
+class SweepResult:
+    report: DataFrame
+    high_rules: dict[int, DataFrame] = field(default_factory=dict)   # support index -> rules
+
+
 def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs: DataFrame,
           test_pairs: DataFrame, supports: Sequence[float] = SUPPORT_GRID,
           confidences: Sequence[float] = CONFIDENCE_GRID, min_growth: float = 3.0,
           max_antecedent: int = 3, itemset_cap: int | None = ITEMSET_CAP) -> DataFrame:
+    """G1-G5 report (see ``run_sweep``)."""
+    return run_sweep(tx_pos, entities, neg_tx, known_pairs, test_pairs, supports, confidences,
+                     min_growth, max_antecedent, itemset_cap).report
+
+
+def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs: DataFrame,
+              test_pairs: DataFrame, supports: Sequence[float] = SUPPORT_GRID,
+              confidences: Sequence[float] = CONFIDENCE_GRID, min_growth: float = 3.0,
+              max_antecedent: int = 3, itemset_cap: int | None = ITEMSET_CAP) -> SweepResult:
     """One report row per evaluated cell (supp, conf, n_rules, hits, novel, status).
 
     Statuses: ``ok``; ``no_rules`` (nothing mined at this cell, including an
@@ -72,6 +88,7 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
     n_all = total(tx_pos)
     n_neg = total(neg_tx)
     parts: list[DataFrame] = []
+    high_rules: dict[int, DataFrame] = {}
     min_conf = min(confidences)
     for si, s in enumerate(supports):
         pruned = prune_transactions(tx_pos, entities, s, n_all)
@@ -85,6 +102,7 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
                    .filter(F.col("confidence") >= F.col("conf"))
                    .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_mined")))
         rules = high_contrast(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), min_growth)
+        high_rules[si] = rules
         n_rules = (per_cell(rules.select("confidence"))
                    .filter(F.col("confidence") >= F.col("conf"))
                    .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_rules")))
@@ -113,9 +131,22 @@ def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
-    return report.withColumn("score", F.col("hits") * F.lit(HIT_WEIGHT) + F.col("n_rules"))
+    report = report.withColumn("score", F.col("hits") * F.lit(HIT_WEIGHT) + F.col("n_rules"))
+    return SweepResult(report, high_rules)
 
 
 def best_cell(report: DataFrame) -> DataFrame:
     """The first strict maximum of the score in grid order."""
     return report.orderBy(F.col("score").desc(), F.col("supp_idx").asc(), F.col("conf_idx").asc()).limit(1)
+
+
+def best_cell_rules(result: SweepResult) -> DataFrame | None:
+    """G6 input: the high-contrast rules of the best cell (its support's rules with conf >= its conf).
+
+    Only the winning cell's two parameters reach the driver.  ``None`` when no
+    cell produced rules.
+    """
+    best = best_cell(result.report).select("supp_idx", "conf", "status").first()
+    if best is None or best["status"] != OK or best["supp_idx"] not in result.high_rules:
+        return None
+    return result.high_rules[best["supp_idx"]].filter(F.col("confidence") >= F.lit(float(best["conf"])))

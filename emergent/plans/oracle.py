@@ -303,6 +303,7 @@ SELECT {ranked_cols} FROM tail"""
                                    "CAST(count(*) FILTER (WHERE NOT is_hit) AS BIGINT) AS novel FROM dedup")
     q["sweep_report"] = _sweep_sql(p, base)
     q["sweep_best"] = _sweep_sql(p, base, best=True)
+    q["sweep_best_rules"] = _sweep_best_rules_sql(p, base)
     q["xml_entity_scan"] = """
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS entity_name,
   array_to_string(['TARGET_' || replace(p_brand, ' ', '_'),
@@ -320,9 +321,10 @@ FROM nonred n LEFT JOIN labels lb USING (label_id)"""
     return q
 
 
-def _sweep_sql(p: Params, base: str, best: bool = False) -> str:
+def _sweep_ctes(p: Params, base: str) -> list[str]:
     parts = [base]
     selects = []
+    highs = []
     confs = ", ".join(f"({i}, {_d(c)})" for i, c in enumerate(p.sweep_confidences))
     parts.append(f"\ngrid(conf_idx, conf) AS (VALUES {confs})")
     min_conf = min(p.sweep_confidences)
@@ -346,13 +348,31 @@ cell{x} AS (
         SELECT 1 FROM tp WHERE tp.entity_id = pr.entity_id AND tp.label_id = pr.label_id)) AS novel
   FROM grid g)""")
         selects.append(f"SELECT * FROM cell{x}")
+        highs.append(f"SELECT {si} AS supp_idx, * FROM high{x}")
     parts.append("\nallcells AS (" + " UNION ALL ".join(selects) + ")")
+    parts.append("\nhall AS (" + " UNION ALL ".join(highs) + ")")
     parts.append("""
-report AS (SELECT CAST(supp_idx AS INTEGER) AS supp_idx, CAST(conf_idx AS INTEGER) AS conf_idx, supp, conf,
+report0 AS (SELECT CAST(supp_idx AS INTEGER) AS supp_idx, CAST(conf_idx AS INTEGER) AS conf_idx, supp, conf,
   CAST(CASE WHEN n_mined = 0 THEN 0 ELSE n_rules END AS BIGINT) AS n_rules, CAST(hits AS BIGINT) AS hits,
   CAST(novel AS BIGINT) AS novel, CASE WHEN n_mined = 0 THEN 'no_rules' ELSE 'ok' END AS status
-  FROM allcells)""")
-    sql = _with(*parts) + (" SELECT *, CAST(hits * 10000 + n_rules AS BIGINT) AS score FROM report")
+  FROM allcells),
+report AS (SELECT *, CAST(hits * 10000 + n_rules AS BIGINT) AS score FROM report0),
+bestc AS (SELECT * FROM report ORDER BY score DESC, supp_idx, conf_idx LIMIT 1)""")
+    return parts
+
+
+def _sweep_sql(p: Params, base: str, best: bool = False) -> str:
+    sql = _with(*_sweep_ctes(p, base))
     if best:
-        sql = f"SELECT * FROM ({sql}) ORDER BY score DESC, supp_idx, conf_idx LIMIT 1"
-    return sql
+        return sql + " SELECT * FROM bestc"
+    return sql + " SELECT * FROM report"
+
+
+def _sweep_best_rules_sql(p: Params, base: str) -> str:
+    parts = _sweep_ctes(p, base)
+    parts.append("""
+high AS (SELECT h.* EXCLUDE (supp_idx) FROM hall h JOIN bestc b ON h.supp_idx = b.supp_idx
+         WHERE h.confidence >= b.conf AND b.status = 'ok')""")
+    parts.append(_nonred(p))
+    return _with(*parts) + (f" SELECT {ANTE}, label_id, support, confidence, lift, "
+                            f"{_gr_out('growth_rate')} AS growth_rate, is_jumping FROM nonred")

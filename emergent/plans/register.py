@@ -194,11 +194,23 @@ def q_holdout_summary(spark: SparkSession, d: str) -> DataFrame:
     return discover.holdout_summary(flow(spark, d).candidates_dedup)
 
 
-def _sweep(spark: SparkSession, d: str) -> DataFrame:
+def _sweep_result(spark: SparkSession, d: str) -> sweep.SweepResult:
     f = flow(spark, d)
-    return sweep.sweep(f.tx_pos, f.entities, f.tx_neg, f.pos_train_pairs, f.pos_test_pairs,
-                       PARAMS.sweep_supports, PARAMS.sweep_confidences, PARAMS.min_growth,
-                       PARAMS.max_antecedent)
+    return sweep.run_sweep(f.tx_pos, f.entities, f.tx_neg, f.pos_train_pairs, f.pos_test_pairs,
+                           PARAMS.sweep_supports, PARAMS.sweep_confidences, PARAMS.min_growth,
+                           PARAMS.max_antecedent)
+
+
+def _sweep(spark: SparkSession, d: str) -> DataFrame:
+    return _sweep_result(spark, d).report
+
+
+def q_sweep_best_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Non-redundant rules of the best sweep cell (what the downstream steps consume)."""
+    rules = sweep.best_cell_rules(_sweep_result(spark, d))
+    if rules is None:
+        rules = flow(spark, d).high.limit(0)
+    return _rule_out(refine.remove_redundant(rules, PARAMS.conf_tol, PARAMS.supp_tol, PARAMS.gr_tol))
 
 
 def q_sweep_report(spark: SparkSession, d: str) -> DataFrame:
@@ -293,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holdout_summary": q_holdout_summary,
     "sweep_report": q_sweep_report,
     "sweep_best": q_sweep_best,
+    "sweep_best_rules": q_sweep_best_rules,
     "xml_entity_scan": q_xml_entity_scan,
     "csv_roundtrip": q_csv_roundtrip,
     "display_items": q_display_items,
