@@ -72,25 +72,44 @@ class Flow:
     def entity_bridge(self) -> DataFrame:
         return standin.entity_bridge_pairs(self.spark, self.sf_dir)
 
+    @cached_property
+    def pair_table(self) -> DataFrame:
+        """One pass over the associations: (entity, label, class, split) -> multiplicity, name.
+
+        Every per-cell pair table and the label names derive from this small
+        table, so the association join (the big input) is scanned once; rows
+        of other statuses keep a null class and only feed the label names.
+        """
+        a = self.assoc_all
+        pos, neg = list(standin.POSITIVE_STATUS), list(standin.NEGATIVE_STATUS)
+        cls = (F.when(F.col("status").isin(pos), F.lit(split.POSITIVE))
+               .when(F.col("status").isin(neg), F.lit(split.NEGATIVE)))
+        keyed = split.hash_split(a.withColumn("class", cls), standin.split_key(), self.params.test_percent)
+        t = keyed.groupBy("entity_id", "label_id", "class", "split").agg(
+            F.count(F.lit(1)).alias("multiplicity"), F.max("label_name").alias("label_name"))
+        return reliable(t, "pairs")
+
     def _cell(self, cls: str, part: str | None) -> DataFrame:
-        df = self.assoc.filter(F.col("class") == F.lit(cls))
-        return df if part is None else df.filter(F.col("split") == F.lit(part))
+        df = self.pair_table.filter(F.col("class") == F.lit(cls))
+        if part is not None:
+            return df.filter(F.col("split") == F.lit(part)).select("entity_id", "label_id", "multiplicity")
+        return df.groupBy("entity_id", "label_id").agg(F.sum("multiplicity").alias("multiplicity"))
 
     @cached_property
     def pos_train_pairs(self) -> DataFrame:
-        return transactions.pair_counts(self._cell(split.POSITIVE, split.TRAIN))
+        return self._cell(split.POSITIVE, split.TRAIN)
 
     @cached_property
     def pos_test_pairs(self) -> DataFrame:
-        return transactions.pair_counts(self._cell(split.POSITIVE, split.TEST))
+        return self._cell(split.POSITIVE, split.TEST)
 
     @cached_property
     def neg_train_pairs(self) -> DataFrame:
-        return transactions.pair_counts(self._cell(split.NEGATIVE, split.TRAIN))
+        return self._cell(split.NEGATIVE, split.TRAIN)
 
     @cached_property
     def neg_pairs(self) -> DataFrame:
-        return transactions.pair_counts(self._cell(split.NEGATIVE, None))
+        return self._cell(split.NEGATIVE, None)
 
     @cached_property
     def tx_pos(self) -> DataFrame:
@@ -152,7 +171,7 @@ class Flow:
     # --- discovery --------------------------------------------------------------
     @cached_property
     def label_names(self) -> DataFrame:
-        return discover.label_names(self.assoc_all, self.bridge_rows)
+        return discover.label_names(self.pair_table, self.bridge_rows)
 
     @cached_property
     def candidates(self) -> DataFrame:
