@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.operators import contrast, discover, mining, refine, split, transactions
+from emergent.operators import contrast, discover, mining, refine, split, sweep, transactions
 from emergent.session import reliable
 from emergent.sources import standin
 
@@ -85,14 +85,16 @@ class Flow:
         cls = (F.when(F.col("status").isin(pos), F.lit(split.POSITIVE))
                .when(F.col("status").isin(neg), F.lit(split.NEGATIVE)))
         keyed = split.hash_split(a.withColumn("class", cls), standin.split_key(), self.params.test_percent)
-        t = keyed.groupBy("entity_id", "label_id", "class", "split").agg(
-            F.count(F.lit(1)).alias("multiplicity"), F.max("label_name").alias("label_name"))
+        # The name is a grouping key (hash aggregation with a count buffer); a
+        # string max() buffer would force a sort-based aggregate over every row.
+        t = keyed.groupBy("entity_id", "label_id", "label_name", "class", "split").agg(
+            F.count(F.lit(1)).alias("multiplicity"))
         return reliable(t, "pairs")
 
     def _cell(self, cls: str, part: str | None) -> DataFrame:
         df = self.pair_table.filter(F.col("class") == F.lit(cls))
         if part is not None:
-            return df.filter(F.col("split") == F.lit(part)).select("entity_id", "label_id", "multiplicity")
+            df = df.filter(F.col("split") == F.lit(part))
         return df.groupBy("entity_id", "label_id").agg(F.sum("multiplicity").alias("multiplicity"))
 
     @cached_property
@@ -183,6 +185,13 @@ class Flow:
         d = discover.dedup_candidates(self.candidates)
         return d.join(self.label_names, "label_id", "left")
 
+    @cached_property
+    def sweep_result(self) -> sweep.SweepResult:
+        p = self.params
+        return sweep.run_sweep(self.tx_pos, self.entities, self.tx_neg, self.pos_train_pairs,
+                               self.pos_test_pairs, p.sweep_supports, p.sweep_confidences, p.min_growth,
+                               p.max_antecedent)
+
     @cached_property
     def label_bridge(self) -> DataFrame:
         return discover.label_bridge(self.label_names, discover.bridge_by_id(self.bridge_rows),

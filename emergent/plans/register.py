@@ -195,10 +195,7 @@ def q_holdout_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sweep_result(spark: SparkSession, d: str) -> sweep.SweepResult:
-    f = flow(spark, d)
-    return sweep.run_sweep(f.tx_pos, f.entities, f.tx_neg, f.pos_train_pairs, f.pos_test_pairs,
-                           PARAMS.sweep_supports, PARAMS.sweep_confidences, PARAMS.min_growth,
-                           PARAMS.max_antecedent)
+    return flow(spark, d).sweep_result
 
 
 def _sweep(spark: SparkSession, d: str) -> DataFrame:
