@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emergent.session import reliable
+
 # The source's status vocabulary.
 POSITIVE_STATUS = ("Approved",)
 NEGATIVE_STATUS = ("Terminated", "Withdrawn", "Suspended")
@@ -56,6 +58,9 @@ def exact_split(df: DataFrame, order: Sequence[Column], class_col: str = "class"
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranked = ranked.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    # The row ids are read twice (offsets and the join back); writing them once
+    # to the shared folder keeps both reads identical even if a task reruns.
+    ranked = reliable(ranked, "exact-split")
     per_part = ranked.groupBy("_pid", class_col).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w_before = Window.partitionBy(class_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -74,3 +74,28 @@ def test_registered_query_matches_oracle(spark, name):
     assert sorted(names) == cols
     drows = [tuple(dict(zip(names, r))[c] for c in cols) for r in cur.fetchall()]
     assert _norm(srows) == _norm(drows)
+
+
+def test_label_bridge_falls_back_to_name(spark):
+    from emergent.operators import discover as d
+    rows = spark.createDataFrame([("G1", "Flu", "MESH:D1"), ("G2", "COLD", "MESH:D9"), ("G3", "cold", "MESH:D8")],
+                                 "bridge_item string, label_name string, label_key string")
+    labels = spark.createDataFrame([("D1", "Influenza"), ("D2", "Cold")], "label_id string, label_name string")
+    got = sorted((r.label_id, r.bridge_item) for r in
+                 d.label_bridge(labels, d.bridge_by_id(rows), d.bridge_by_name(rows)).collect())
+    assert got == [("D1", "G1"), ("D2", "G2"), ("D2", "G3")]     # D1 by MESH id, D2 by lower-cased name
+
+
+def test_sweep_statuses(spark):
+    from emergent.operators import sweep, transactions
+    assoc = spark.createDataFrame([(e % 5, e % 2) for e in range(200)], "entity_id int, label_id int")
+    ents = spark.createDataFrame([(e, [f"F{e}", "F9"]) for e in range(5)], "entity_id int, features array<string>")
+    tx = transactions.build_transactions(transactions.pair_counts(assoc), ents)
+    known = transactions.pair_counts(assoc)
+    res = sweep.run_sweep(tx, ents, tx, known, known, supports=(0.9, 0.01), confidences=(0.1, 0.5),
+                          min_growth=0.5)
+    rows = {(r.supp_idx, r.conf_idx): r.status for r in res.report.collect()}
+    assert rows[(0, 0)] == sweep.NO_RULES and rows[(1, 0)] == sweep.OK
+    capped = sweep.run_sweep(tx, ents, tx, known, known, supports=(0.01, 0.005), confidences=(0.1,),
+                             itemset_cap=2).report.collect()
+    assert [r.status for r in capped] == [sweep.STOPPED]          # the sweep ends at the cap
