@@ -92,7 +92,8 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     min_conf = min(confidences)
     for si, s in enumerate(supports):
         pruned = prune_transactions(tx_pos, entities, s, n_all)
-        mined = mine_label_rules(reliable(pruned.tx, "tx-pruned", spread=True), s, min_conf, max_antecedent=max_antecedent,
+        ptx = reliable(pruned.tx, "tx-pruned", spread=True) if pruned.changed else pruned.tx
+        mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent,
                                  itemset_cap=itemset_cap)
         if mined.status == TOO_MANY:
             parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))

@@ -69,6 +69,7 @@ class Pruned:
     threshold: float
     frequent_features: DataFrame
     frequent_labels: DataFrame
+    changed: bool = True            # False when nothing was infrequent (tx returned as is)
 
 
 def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
@@ -84,8 +85,15 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
     """
     n = total(tx) if n_total is None else n_total
     thr = float(min_support) * n
-    ff = feature_frequency(tx, features).filter(F.col("frequency") >= F.lit(thr))
-    lf = label_frequency(tx, label).filter(F.col("frequency") >= F.lit(thr))
+    fq = feature_frequency(tx, features)
+    lq = label_frequency(tx, label)
+    ff = fq.filter(F.col("frequency") >= F.lit(thr))
+    lf = lq.filter(F.col("frequency") >= F.lit(thr))
+    infrequent = (fq.filter(F.col("frequency") < F.lit(thr)).limit(1).count()
+                  + lq.filter(F.col("frequency") < F.lit(thr)).limit(1).count())
+    if infrequent == 0:
+        # Nothing to drop: every transaction keeps all its items (>= 1 feature plus its label).
+        return Pruned(tx.select(entity, label, "multiplicity", features), n, thr, ff, lf, changed=False)
     kept = (entities.select(entity, F.explode(features).alias("item"))
             .join(ff.select("item"), "item", "left_semi")
             .groupBy(entity).agg(F.array_sort(F.collect_list("item")).alias(features)))

@@ -140,7 +140,8 @@ class Flow:
     @cached_property
     def pruned(self) -> transactions.Pruned:
         p = transactions.prune_transactions(self.tx_pos, self.entities, self.params.min_support, self.n_pos)
-        p.tx = reliable(p.tx, "tx-pruned", spread=True)
+        if p.changed:
+            p.tx = reliable(p.tx, "tx-pruned", spread=True)
         return p
 
     @cached_property
