@@ -120,7 +120,7 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
             break
         levels.append(counts.withColumn("length", F.lit(k)))
         prev = ek
-        frequent = counts.select("antecedent").distinct()
+        frequent = counts.select("antecedent")          # semi-join key; duplicates are harmless
         if itemset_cap is not None and n_sets > itemset_cap:
             return Mined(_empty_rules(tx, label), n, mc, n_sets, TOO_MANY)
     if not levels:

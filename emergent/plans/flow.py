@@ -114,19 +114,30 @@ class Flow:
         return self._cell(split.NEGATIVE, None)
 
     @cached_property
-    def tx_pos(self) -> DataFrame:
-        """Collapsed positive training transactions, written once to the shared checkpoint folder.
+    def tx_train(self) -> DataFrame:
+        """Positive and negative training transactions, built and written in one job.
 
-        Every later step (pruning, each mining level, the sweep) reads this
-        table instead of re-running the association joins.
+        Collapsed (entity, label, multiplicity, features) rows partitioned by
+        class; every later step (pruning, each mining level, negative support,
+        the sweep) reads this table instead of re-running the association joins.
         """
-        return reliable(transactions.build_transactions(self.pos_train_pairs, self.entities), "tx-pos",
-                        spread=True)
+        pairs = (self.pair_table.filter((F.col("split") == F.lit(split.TRAIN)) & F.col("class").isNotNull())
+                 .groupBy("class", "entity_id", "label_id").agg(F.sum("multiplicity").alias("multiplicity")))
+        tx = pairs.join(self.entities.select("entity_id", "features").filter(F.size("features") > 0), "entity_id")
+        return reliable(tx.select("class", "entity_id", "label_id", "multiplicity", "features"), "tx-train",
+                        spread=True, partition_by=("class",))
+
+    def _tx(self, cls: str) -> DataFrame:
+        return (self.tx_train.filter(F.col("class") == F.lit(cls))
+                .select("entity_id", "label_id", "multiplicity", "features"))
+
+    @cached_property
+    def tx_pos(self) -> DataFrame:
+        return self._tx(split.POSITIVE)
 
     @cached_property
     def tx_neg(self) -> DataFrame:
-        return reliable(transactions.build_transactions(self.neg_train_pairs, self.entities), "tx-neg",
-                        spread=True)
+        return self._tx(split.NEGATIVE)
 
     @cached_property
     def n_pos(self) -> int:

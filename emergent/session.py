@@ -59,7 +59,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def reliable(df: DataFrame, name: str = "stage", spread: bool = False) -> DataFrame:
+def reliable(df: DataFrame, name: str = "stage", spread: bool = False,
+             partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing a Parquet table to the shared checkpoint folder and reading it back.
 
     One job (an RDD ``checkpoint()`` of an unpersisted plan computes it twice),
@@ -70,11 +71,15 @@ def reliable(df: DataFrame, name: str = "stage", spread: bool = False) -> DataFr
 
     ``spread=True`` round-robins the rows over the cluster's default
     parallelism first, for tables that later fan out (exploded item sets) and
-    must not come back as a single split.
+    must not come back as a single split.  ``partition_by`` writes directory
+    partitions, so readers filtering on those columns prune whole folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     if spread:
         df = df.repartition(spark.sparkContext.defaultParallelism)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
