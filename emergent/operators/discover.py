@@ -135,12 +135,28 @@ def long_tail(cands: DataFrame, n: int = 15, shown: int = 15, entity: str = ENTI
     return out.orderBy(*confidence_order()).limit(n)
 
 
-def holdout_summary(cands: DataFrame) -> DataFrame:
-    """Candidates, hold-out hits and novel pairs."""
-    return cands.agg(
+def holdout_summary(cands: DataFrame, test_pairs: DataFrame | None = None,
+                    known_pairs: DataFrame | None = None, entity: str = ENTITY, label: str = LABEL) -> DataFrame:
+    """Candidates, hold-out hits and novel pairs, plus precision and recall.
+
+    Recall is relative to the hold-out pairs that can be candidates at all
+    (positive test pairs that are not known training pairs); its denominator is
+    a scalar count.
+    """
+    out = cands.agg(
         F.count(F.lit(1)).alias("n_candidates"),
         F.count_if(F.col("is_hit")).alias("hits"),
         F.count_if(~F.col("is_hit")).alias("novel"))
+    out = out.withColumn("precision", F.when(F.col("n_candidates") > 0,
+                                             F.col("hits").cast("double") / F.col("n_candidates").cast("double")))
+    if test_pairs is None:
+        return out
+    reach = test_pairs.select(entity, label).distinct()
+    if known_pairs is not None:
+        reach = reach.join(known_pairs.select(entity, label), [entity, label], "left_anti")
+    n_reach = reach.count()
+    return out.withColumn("recall", F.when(F.lit(n_reach) > 0, F.col("hits").cast("double")
+                                           / F.lit(float(n_reach))).otherwise(F.lit(None).cast("double")))
 
 
 def bridge_evidence(cands: DataFrame, entity_bridge: DataFrame, label_bridge_pairs: DataFrame,

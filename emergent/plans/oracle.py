@@ -298,9 +298,14 @@ rest AS (SELECT *, row_number() OVER (PARTITION BY label_id ORDER BY rule_confid
          FROM dedup WHERE label_id NOT IN (SELECT label_id FROM shown)),
 tail AS (SELECT * FROM rest WHERE rn2 = 1 ORDER BY rule_confidence DESC, entity_id, label_id LIMIT {p.show})
 SELECT {ranked_cols} FROM tail"""
-    q["holdout_summary"] = disc + (" SELECT CAST(count(*) AS BIGINT) AS n_candidates, "
-                                   "CAST(count(*) FILTER (WHERE is_hit) AS BIGINT) AS hits, "
-                                   "CAST(count(*) FILTER (WHERE NOT is_hit) AS BIGINT) AS novel FROM dedup")
+    q["holdout_summary"] = disc + """,
+reach AS (SELECT count(*) AS n FROM tp WHERE NOT EXISTS (
+            SELECT 1 FROM pp WHERE pp.entity_id = tp.entity_id AND pp.label_id = tp.label_id)),
+hs AS (SELECT CAST(count(*) AS BIGINT) AS n_candidates, CAST(count(*) FILTER (WHERE is_hit) AS BIGINT) AS hits,
+         CAST(count(*) FILTER (WHERE NOT is_hit) AS BIGINT) AS novel FROM dedup)
+SELECT hs.*, CASE WHEN n_candidates > 0 THEN CAST(hits AS DOUBLE) / CAST(n_candidates AS DOUBLE) END AS precision,
+  CASE WHEN reach.n > 0 THEN CAST(hits AS DOUBLE) / CAST(reach.n AS DOUBLE) END AS recall
+FROM hs CROSS JOIN reach"""
     q["sweep_report"] = _sweep_sql(p, base)
     q["sweep_best"] = _sweep_sql(p, base, best=True)
     q["sweep_best_rules"] = _sweep_best_rules_sql(p, base)

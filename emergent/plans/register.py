@@ -191,7 +191,8 @@ def q_long_tail(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_holdout_summary(spark: SparkSession, d: str) -> DataFrame:
-    return discover.holdout_summary(flow(spark, d).candidates_dedup)
+    f = flow(spark, d)
+    return discover.holdout_summary(f.candidates_dedup, f.pos_test_pairs, f.pos_train_pairs)
 
 
 def _sweep_result(spark: SparkSession, d: str) -> sweep.SweepResult:

@@ -96,3 +96,19 @@ def test_status_values(spark):
     assert mining.mine_label_rules(tx.filter(F.lit(False)), 0.1, 0.1).status == mining.EMPTY
     assert mining.mine_label_rules(tx, 0.99, 0.1).status == mining.NO_RULES
     assert mining.mine_label_rules(tx, 0.01, 0.1, itemset_cap=5).status == mining.TOO_MANY
+
+
+def test_hot_pair_holding_a_third_of_rows(spark):
+    # One (entity, label) pair carries a third of all association rows: the
+    # collapsed miner must count it with its full multiplicity, and the MLlib
+    # input expansion must produce every row (in bounded chunks).
+    feats, rows = random_tx(12, n_rows=200)
+    rows = rows + [(0, 1)] * 100
+    tx = to_frames(spark, feats, rows)
+    got = {(tuple(r.antecedent), r.label_id): (r.n_rule, r.n_ante, r.n_label)
+           for r in mining.mine_label_rules(tx, 0.02, 0.1).rules.collect()}
+    assert got == brute_rules(feats, rows, 0.02, 0.1)
+    big = spark.createDataFrame([(1, ["a", "b"], 10_000)], "label_id int, features array<string>, multiplicity long")
+    exp = mining.expand_transactions(big)
+    assert exp.count() == 10_000
+    assert exp.distinct().first()["items"] == ["LABEL_1", "a", "b"]
