@@ -1,9 +1,13 @@
-"""The end-to-end contrast-mining flow on the stand-in tables, step by step.
-
-Each step is a lazy DataFrame built from the previous ones; the mining levels
-and the rule table feeding the refinement loop are reliable checkpoints.  One
-``Flow`` is memoised per (application, data folder) so the registered queries
-share mined rules instead of mining again.
+"""The end-to-end contrast-mining flow, step by step.
+
+A ``Flow`` runs on ``Inputs``: association rows (entity, label, label name,
+status, split key), entity features, label-bridge rows and entity-bridge pairs.
+``standin_inputs`` maps the test tables onto these roles; ``cli.inputs_from_files``
+reads the source domain's XML / TSV / CSV files.  Each step is a lazy DataFrame
+built from the previous ones; the association pass, the transaction tables, the
+mining levels and the refinement levels are written to the shared checkpoint
+folder.  One ``Flow`` is memoised per (application, data folder) so the
+registered queries share mined rules instead of mining again.
 """
 
 from __future__ import annotations
@@ -42,35 +46,63 @@ class Params:
 PARAMS = Params()
 
 
+@dataclass
+class Inputs:
+    """Role tables of a flow.
+
+    assoc_all: entity_id, label_id, label_name, status, split_key (text hashed by the split)
+    entities: entity_id, entity_name, features (sorted, distinct)
+    bridge_rows: bridge_item, label_name, label_key
+    entity_bridge: entity_id, bridge_item
+    """
+
+    assoc_all: DataFrame
+    entities: DataFrame
+    bridge_rows: DataFrame
+    entity_bridge: DataFrame
+    positive: tuple = split.POSITIVE_STATUS
+    negative: tuple = split.NEGATIVE_STATUS
+
+
+def standin_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    assoc = standin.associations(spark, sf_dir).withColumn("split_key", standin.split_key())
+    return Inputs(assoc, standin.entities(spark, sf_dir), standin.label_bridge_rows(spark, sf_dir),
+                  standin.entity_bridge_pairs(spark, sf_dir), standin.POSITIVE_STATUS, standin.NEGATIVE_STATUS)
+
+
 @dataclass
 class Flow:
     spark: SparkSession
-    sf_dir: str
+    sf_dir: str | None
     params: Params = field(default_factory=Params)
+    given: Inputs | None = None
 
     # --- inputs -----------------------------------------------------------------
+    @cached_property
+    def inputs(self) -> Inputs:
+        return self.given if self.given is not None else standin_inputs(self.spark, self.sf_dir)
+
     @cached_property
     def assoc_all(self) -> DataFrame:
-        return standin.associations(self.spark, self.sf_dir)
+        return self.inputs.assoc_all
 
     @cached_property
     def assoc(self) -> DataFrame:
         """Classified and hash-split associations."""
-        cls = split.classify(self.assoc_all, positive=standin.POSITIVE_STATUS,
-                             negative=standin.NEGATIVE_STATUS)
-        return split.hash_split(cls, standin.split_key(), self.params.test_percent)
+        cls = split.classify(self.assoc_all, positive=self.inputs.positive, negative=self.inputs.negative)
+        return split.hash_split(cls, F.col("split_key"), self.params.test_percent)
 
     @cached_property
     def entities(self) -> DataFrame:
-        return standin.entities(self.spark, self.sf_dir)
+        return self.inputs.entities
 
     @cached_property
     def bridge_rows(self) -> DataFrame:
-        return standin.label_bridge_rows(self.spark, self.sf_dir)
+        return self.inputs.bridge_rows
 
     @cached_property
     def entity_bridge(self) -> DataFrame:
-        return standin.entity_bridge_pairs(self.spark, self.sf_dir)
+        return self.inputs.entity_bridge
 
     @cached_property
     def pair_table(self) -> DataFrame:
@@ -81,10 +113,10 @@ class Flow:
         of other statuses keep a null class and only feed the label names.
         """
         a = self.assoc_all
-        pos, neg = list(standin.POSITIVE_STATUS), list(standin.NEGATIVE_STATUS)
+        pos, neg = list(self.inputs.positive), list(self.inputs.negative)
         cls = (F.when(F.col("status").isin(pos), F.lit(split.POSITIVE))
                .when(F.col("status").isin(neg), F.lit(split.NEGATIVE)))
-        keyed = split.hash_split(a.withColumn("class", cls), standin.split_key(), self.params.test_percent)
+        keyed = split.hash_split(a.withColumn("class", cls), F.col("split_key"), self.params.test_percent)
         # The name is a grouping key (hash aggregation with a count buffer); a
         # string max() buffer would force a sort-based aggregate over every row.
         t = keyed.groupBy("entity_id", "label_id", "label_name", "class", "split").agg(

@@ -60,7 +60,7 @@ def q_split_hash(spark: SparkSession, d: str) -> DataFrame:
 def q_split_exact(spark: SparkSession, d: str) -> DataFrame:
     f = flow(spark, d)
     cls = split.classify(f.assoc_all, positive=standin.POSITIVE_STATUS, negative=standin.NEGATIVE_STATUS)
-    keyed = cls.withColumn("_h", F.md5(standin.split_key()))
+    keyed = cls.withColumn("_h", F.md5(F.col("split_key")))
     out = split.exact_split(keyed, [F.col("_h"), F.col("order_key"), F.col("line_number")],
                             test_fraction=PARAMS.test_percent / 100.0)
     return out.select("order_key", "line_number", "class", "split")
