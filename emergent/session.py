@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
@@ -82,4 +83,9 @@ def reliable(df: DataFrame, name: str = "stage", spread: bool = False,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: passing it skips the footer-reading inference job.
+    schema = df.schema
+    if partition_by:
+        keep = [f for f in schema.fields if f.name not in partition_by]
+        schema = T.StructType(keep + [schema[c] for c in partition_by])
+    return spark.read.schema(schema).parquet(path)

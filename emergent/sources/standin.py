@@ -21,8 +21,22 @@ LABEL_PREFIX = "LABEL_"
 FEATURE_PREFIXES = ("BRAND_", "TYPE_", "SIZE_", "WORD_")
 
 
+# Columns each role reads (types as stored).  Reading with an explicit schema
+# skips the footer-inference job and prunes every other column at the scan.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
