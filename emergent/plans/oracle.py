@@ -316,7 +316,12 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS entity_name,
                    'TARGET_' || replace(p_name, ' ', '_')], ' ') AS features,
   array_to_string(list_sort(list_distinct([upper(p_type), 'S' || CAST(p_size AS VARCHAR)])), ', ') AS bridge
 FROM part"""
+    q["xml_file_scan"] = q["xml_entity_scan"]
     q["csv_roundtrip"] = _with(base) + " SELECT bridge_item, label_name, label_key FROM bridge_rows"
+    q["assoc_csv_roundtrip"] = _with(base) + (
+        " SELECT CAST(entity_id AS VARCHAR) AS entity_id, CAST(label_id AS VARCHAR) AS label_id, label_name, status,"
+        " concat_ws('-', CAST(order_key AS VARCHAR), CAST(line_number AS VARCHAR), CAST(entity_id AS VARCHAR)) AS NCT"
+        " FROM assoc_all")
     q["display_items"] = refined + f"""
 SELECT {ANTE}, n.label_id,
   array_to_string(list_transform(list_sort(ante), lambda x: '[' || x || ']'), ', ') AS antecedent_display,

@@ -16,7 +16,7 @@ from emergent.functions.items import INF, display_item, growth_text, items_text
 from emergent.operators import discover, mining, refine, split, sweep, transactions
 from emergent.plans.flow import PARAMS, flow
 from emergent.session import scratch_path
-from emergent.sources import delimited, standin, xml
+from emergent.sources import delimited, sinks, standin, xml
 
 
 def _gr(c: str) -> Column:
@@ -251,6 +251,29 @@ def q_xml_entity_scan(spark: SparkSession, d: str) -> DataFrame:
                        F.array_join(F.array_sort("bridge"), ", ").alias("bridge"))
 
 
+def _entity_out(ents: DataFrame) -> DataFrame:
+    return ents.select("entity_id", "entity_name", F.array_join("features", " ").alias("features"),
+                       F.array_join(F.array_sort("bridge"), ", ").alias("bridge"))
+
+
+def q_xml_file_scan(spark: SparkSession, d: str) -> DataFrame:
+    """S1 from files: one XML record per part written as text files, scanned by ``rowTag``."""
+    path = scratch_path(spark, "entities-xml")
+    sinks.write_xml_records(standin_entity_xml(standin.table(spark, d, "part")), "xml", path)
+    return _entity_out(xml.read_entity_xml(spark, path))
+
+
+def q_assoc_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """S3 + K1: associations written as a header CSV with the source's column names, read back."""
+    a = flow(spark, d).assoc_all
+    path = scratch_path(spark, "associations-csv")
+    (a.select(F.col("entity_id").alias("drugbank_id"), F.col("label_name").alias("ind_name"),
+              F.col("label_id").alias("ind_id"), "status", F.col("split_key").alias("NCT"))
+     .write.mode("overwrite").option("header", "true").csv(path))
+    back = delimited.read_associations_csv(spark, path)
+    return back.select("entity_id", "label_id", "label_name", "status", "NCT")
+
+
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write the label-bridge rows as a headerless TSV (bridge, filler, name, key) and scan it back."""
     rows = flow(spark, d).bridge_rows
@@ -307,4 +330,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_entity_scan": q_xml_entity_scan,
     "csv_roundtrip": q_csv_roundtrip,
     "display_items": q_display_items,
+    "xml_file_scan": q_xml_file_scan,
+    "assoc_csv_roundtrip": q_assoc_csv_roundtrip,
 }
