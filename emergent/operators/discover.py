@@ -87,10 +87,20 @@ def candidates(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, te
     return cands
 
 
-def dedup_candidates(cands: DataFrame, entity: str = ENTITY, label: str = LABEL) -> DataFrame:
-    """One row per (entity, label): shortest antecedent, then growth desc, lift desc, text."""
+def dedup_candidates(cands: DataFrame, entity: str = ENTITY, label: str = LABEL,
+                     prefer: str = "shortest") -> DataFrame:
+    """One row per (entity, label).
+
+    ``prefer="shortest"`` (the source's behaviour, trap Q-5): shortest
+    antecedent, then growth desc, lift desc, antecedent text.
+    ``prefer="confidence"``: highest rule confidence first, then the same keys.
+    """
+    if prefer not in ("shortest", "confidence"):
+        raise ValueError(f"prefer must be 'shortest' or 'confidence', not {prefer!r}")
     payload = [c for c in cands.columns if c not in (entity, label)]
+    first = (-F.col("rule_confidence")) if prefer == "confidence" else F.lit(0.0)
     key = F.struct(
+        first.alias("_k0"),
         F.size("antecedent").alias("_k1"),
         (-F.col("rule_growth_rate")).alias("_k2"),
         (-F.col("rule_lift")).alias("_k3"),

@@ -83,11 +83,14 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
                      max_antecedent: int = DEFAULT_MAX_LEN - 1, itemset_cap: int | None = ITEMSET_CAP,
                      label: str = "label_id", features: str = "features",
                      weight: str = "multiplicity", n_total: int | None = None,
-                     checkpoint: bool = True) -> Mined:
+                     checkpoint: bool = True, support_base: int | None = None) -> Mined:
     """M2: exact rules ``antecedent => label`` with ``|antecedent| <= max_antecedent``.
 
-    ``tx`` holds (label, features sorted+distinct, multiplicity); ``support`` is
-    relative to the transactions of ``tx`` (the pruned count in the source flow).
+    ``tx`` holds (label, features sorted+distinct, multiplicity).  The support
+    threshold and, by default, the reported support and lift are relative to
+    the transactions of ``tx`` (the pruned count in the source flow, trap Q-1);
+    ``support_base`` gives another denominator for the reported metrics (e.g.
+    the unpruned count).
     """
     n = total(tx, weight) if n_total is None else int(n_total)
     if n == 0:
@@ -129,7 +132,8 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     for lv in levels[1:]:
         allk = allk.unionByName(lv)
     n_label = base.groupBy(label).agg(F.sum(weight).alias("n_label"))
-    rules = rule_metrics(allk.join(n_label, label), n).filter(F.col("confidence") >= F.lit(float(min_confidence)))
+    base_n = n if support_base is None else int(support_base)
+    rules = rule_metrics(allk.join(n_label, label), base_n).filter(F.col("confidence") >= F.lit(float(min_confidence)))
     rules = rules.select("antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
                          F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
                          "support", "confidence", "lift")

@@ -129,6 +129,8 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
         cell = cell.withColumn("n_rules", F.when(F.col("status") == NO_RULES, F.lit(0).cast("bigint"))
                                .otherwise(F.col("n_rules")))
         parts.append(cell)
+    if not parts:
+        return SweepResult(spark.createDataFrame([], REPORT_SCHEMA).withColumn("score", F.lit(0).cast("bigint")), {})
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

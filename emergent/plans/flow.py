@@ -41,6 +41,9 @@ class Params:
     sweep_supports: tuple = (0.002, 0.001, 0.0005)
     sweep_confidences: tuple = (0.05, 0.1, 0.15)
     test_percent: int = 20
+    split_by_pair: bool = False      # Q-4: hash (entity, label) so a pair never sits on both sides
+    support_base: str = "pruned"     # Q-1: rule-support denominator, "pruned" or "all"
+    dedup_prefer: str = "shortest"   # Q-5: "shortest" antecedent or highest "confidence"
 
 
 PARAMS = Params()
@@ -90,7 +93,13 @@ class Flow:
     def assoc(self) -> DataFrame:
         """Classified and hash-split associations."""
         cls = split.classify(self.assoc_all, positive=self.inputs.positive, negative=self.inputs.negative)
-        return split.hash_split(cls, F.col("split_key"), self.params.test_percent)
+        return split.hash_split(cls, self._split_key, self.params.test_percent)
+
+    @property
+    def _split_key(self):
+        if self.params.split_by_pair:
+            return F.concat_ws("-", F.col("entity_id").cast("string"), F.col("label_id").cast("string"))
+        return F.col("split_key")
 
     @cached_property
     def entities(self) -> DataFrame:
@@ -116,7 +125,7 @@ class Flow:
         pos, neg = list(self.inputs.positive), list(self.inputs.negative)
         cls = (F.when(F.col("status").isin(pos), F.lit(split.POSITIVE))
                .when(F.col("status").isin(neg), F.lit(split.NEGATIVE)))
-        keyed = split.hash_split(a.withColumn("class", cls), F.col("split_key"), self.params.test_percent)
+        keyed = split.hash_split(a.withColumn("class", cls), self._split_key, self.params.test_percent)
         # The name is a grouping key (hash aggregation with a count buffer); a
         # string max() buffer would force a sort-based aggregate over every row.
         t = keyed.groupBy("entity_id", "label_id", "label_name", "class", "split").agg(
@@ -194,8 +203,11 @@ class Flow:
     @cached_property
     def mined(self) -> mining.Mined:
         p = self.params
+        if p.support_base not in ("pruned", "all"):
+            raise ValueError(f"support_base must be 'pruned' or 'all', not {p.support_base!r}")
+        base = self.n_pos if p.support_base == "all" else None
         return mining.mine_label_rules(self.pruned.tx, p.min_support, p.min_confidence,
-                                       max_antecedent=p.max_antecedent)
+                                       max_antecedent=p.max_antecedent, support_base=base)
 
     @cached_property
     def rules(self) -> DataFrame:
@@ -226,7 +238,7 @@ class Flow:
 
     @cached_property
     def candidates_dedup(self) -> DataFrame:
-        d = discover.dedup_candidates(self.candidates)
+        d = discover.dedup_candidates(self.candidates, prefer=self.params.dedup_prefer)
         return d.join(self.label_names, "label_id", "left")
 
     @cached_property

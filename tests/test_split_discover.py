@@ -99,3 +99,29 @@ def test_sweep_statuses(spark):
     capped = sweep.run_sweep(tx, ents, tx, known, known, supports=(0.01, 0.005), confidences=(0.1,),
                              itemset_cap=2).report.collect()
     assert [r.status for r in capped] == [sweep.STOPPED]          # the sweep ends at the cap
+
+
+def test_trap_options(spark):
+    from emergent.operators import discover as d, mining, transactions
+    from emergent.plans.flow import Flow, Params
+    # Q-5: prefer the most confident rule instead of the shortest antecedent.
+    rules = spark.createDataFrame(
+        [(["f1"], 10, 0.9, 5.0, 2.0, 0.1), (["f1", "f2"], 10, 0.95, 4.0, 3.0, 0.1)],
+        "antecedent array<string>, label_id int, confidence double, growth_rate double, lift double, support double")
+    ents = spark.createDataFrame([(1, "e1", ["f1", "f2"])], "entity_id int, entity_name string, features array<string>")
+    none = spark.createDataFrame([], "entity_id int, label_id int")
+    c = d.candidates(rules, ents, none, none)
+    assert d.dedup_candidates(c).first().antecedent == ["f1"]
+    assert d.dedup_candidates(c, prefer="confidence").first().antecedent == ["f1", "f2"]
+    # Q-1: another support denominator for the reported metrics.
+    assoc = spark.createDataFrame([(e % 4, e % 2) for e in range(40)], "entity_id int, label_id int")
+    feats = spark.createDataFrame([(e, ["a", "b"]) for e in range(4)], "entity_id int, features array<string>")
+    tx = transactions.build_transactions(transactions.pair_counts(assoc), feats)
+    r = mining.mine_label_rules(tx, 0.1, 0.1, support_base=1000).rules.first()
+    assert r.support == r.n_rule / 1000
+    # Q-4: with a pair-level split no (entity, label) pair is on both sides.
+    f = Flow(spark, SF, Params(split_by_pair=True))
+    both = (f.pair_table.filter(F.col("class").isNotNull())
+            .groupBy("entity_id", "label_id", "class").agg(F.countDistinct("split").alias("n"))
+            .filter(F.col("n") > 1).count())
+    assert both == 0
