@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,28 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
+def _at_least_counter(spark, confidences: Sequence[float]):
+    """Per grid cell, aggregates over the rows whose value is >= the cell's confidence.
+
+    Each row gets ``k`` = how many grid confidences it meets (a column
+    expression, no replication of rows per cell); one aggregate over ``k``
+    (at most |grid| + 1 groups) and a cumulative sum over the grid ranks
+    (a frame bounded by the parameter list) give every cell's counts.
+    """
+    order = sorted(range(len(confidences)), key=lambda i: confidences[i])
+    ranks = spark.createDataFrame([(i, r + 1) for r, i in enumerate(order)], "conf_idx int, _r int")
+    w = Window.orderBy(F.col("_r").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def count(df: DataFrame, value: str, aggs: dict) -> DataFrame:
+        k = sum((F.col(value) >= F.lit(float(c))).cast("int") for c in confidences)
+        hist = df.groupBy(k.alias("_k")).agg(*[a.alias(n) for n, a in aggs.items()])
+        per_rank = ranks.join(hist, ranks["_r"] == hist["_k"], "left")
+        return per_rank.select("conf_idx", *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(w).cast("bigint").alias(n)
+                                             for n in aggs])
+
+    return count
+
+
 def _fixed_cells(spark, si: int, s: float, confidences: Sequence[float], status: str,
                  start: int = 0) -> DataFrame:
     rows = [(si, ci, float(s), float(c), 0, 0, 0, status) for ci, c in enumerate(confidences) if ci >= start]
@@ -78,13 +100,7 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     spark = tx_pos.sparkSession
     grid = spark.createDataFrame([(i, float(c)) for i, c in enumerate(confidences)],
                                  "conf_idx int, conf double")
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("conf_idx"), F.lit(float(c)).alias("conf"))
-                                for i, c in enumerate(confidences)])).alias("_cell")
-
-    def per_cell(df: DataFrame) -> DataFrame:
-        """Each row once per grid cell (a generator over the parameter list, not a join)."""
-        return df.select("*", cells).select("*", "_cell.conf_idx", "_cell.conf").drop("_cell")
-
+    at_least = _at_least_counter(spark, confidences)
     n_all = total(tx_pos)
     n_neg = total(neg_tx)
     parts: list[DataFrame] = []
@@ -99,14 +115,10 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
             parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))
             break
         mined_rules = mined.rules
-        n_mined = (per_cell(mined_rules.select("confidence"))
-                   .filter(F.col("confidence") >= F.col("conf"))
-                   .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_mined")))
+        n_mined = at_least(mined_rules, "confidence", {"n_mined": F.count(F.lit(1))})
         rules = high_contrast(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), min_growth)
         high_rules[si] = rules
-        n_rules = (per_cell(rules.select("confidence"))
-                   .filter(F.col("confidence") >= F.col("conf"))
-                   .groupBy("conf_idx").agg(F.count(F.lit(1)).alias("n_rules")))
+        n_rules = at_least(rules, "confidence", {"n_rules": F.count(F.lit(1))})
         r = rules.select("label_id", "antecedent", F.col("confidence").alias("_rc"))
         ents = entities.select("entity_id", F.col("features").alias("_efeat"))
         pairs = (containment_join(r, "antecedent", ents, "_efeat")
@@ -114,9 +126,8 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
                  .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
                  .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
                        ["entity_id", "label_id"], "left"))
-        counts = (per_cell(pairs).filter(F.col("_best") >= F.col("conf"))
-                  .groupBy("conf_idx").agg(F.count_if(F.col("_hit").isNotNull()).alias("hits"),
-                                           F.count_if(F.col("_hit").isNull()).alias("novel")))
+        counts = at_least(pairs, "_best", {"hits": F.count_if(F.col("_hit").isNotNull()),
+                                           "novel": F.count_if(F.col("_hit").isNull())})
         cell = (grid.join(n_mined, "conf_idx", "left").join(n_rules, "conf_idx", "left")
                 .join(counts, "conf_idx", "left")
                 .select(F.lit(si).cast("int").alias("supp_idx"), F.col("conf_idx").cast("int"),

@@ -54,15 +54,16 @@ def write_xml_records(records: DataFrame, xml_col: str, path: str, root_tag: str
                       per_file: int = 1000, mode: str = "overwrite") -> None:
     """Write one XML record per row as well-formed files: one root element per file.
 
-    Records are hashed into buckets of about ``per_file`` rows (a bounded group
-    by construction), each bucket becomes one document, and each document is
-    written to its own file (``partitionBy`` the bucket), which is what an XML
-    reader splitting on ``rowTag`` expects.
+    Rows are spread over buckets of about ``per_file`` rows by a hash of a
+    per-row id (not of the content, so many identical records still spread
+    evenly: a bounded group by construction), each bucket becomes one
+    document, and each document is written to its own file (``partitionBy``
+    the bucket), which is what an XML reader splitting on ``rowTag`` expects.
     """
     import math
 
     n = max(1, math.ceil(records.count() / per_file))
-    bucket = F.pmod(F.xxhash64(F.col(xml_col)), F.lit(n))
+    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))
     docs = (records.select(F.col(xml_col).alias("_x"), bucket.alias("_bucket"))
             .groupBy("_bucket")
             .agg(F.concat(F.lit(f"<{root_tag}>"), F.concat_ws("\n", F.collect_list("_x")),
