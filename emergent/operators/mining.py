@@ -45,6 +45,29 @@ class Mined:
     min_count: int
     n_itemsets: int
     status: str
+    itemsets: DataFrame | None = None    # frequent (antecedent, label) counts of every level
+
+
+def restrict_support(mined: Mined, min_support: float, itemset_cap: int | None = ITEMSET_CAP) -> Mined:
+    """Rules at a higher support from a run at a lower one on the same transactions.
+
+    Exact: the counts of a (set, label) do not depend on the threshold, and
+    every set frequent at the higher support was generated by the lower run,
+    so the higher run's sets and rules are the lower run's filtered by
+    ``n_rule >= ceil(min_support * N)``.
+    """
+    if mined.status == EMPTY or mined.itemsets is None:
+        return mined
+    mc = min_count_for(min_support, mined.n_transactions)
+    if mc < mined.min_count:
+        raise ValueError("restrict_support needs a support at least as high as the mined one")
+    sets = mined.itemsets.filter(F.col("n_rule") >= F.lit(mc))
+    n_sets = sets.count()
+    if itemset_cap is not None and n_sets > itemset_cap:
+        return Mined(mined.rules.limit(0), mined.n_transactions, mc, n_sets, TOO_MANY)
+    if n_sets == 0:
+        return Mined(mined.rules.limit(0), mined.n_transactions, mc, 0, NO_RULES, sets)
+    return Mined(mined.rules.filter(F.col("n_rule") >= F.lit(mc)), mined.n_transactions, mc, n_sets, OK, sets)
 
 
 def min_count_for(min_support: float, n: int) -> int:
@@ -137,7 +160,7 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     rules = rules.select("antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
                          F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
                          "support", "confidence", "lift")
-    return Mined(rules, n, mc, n_sets, OK)
+    return Mined(rules, n, mc, n_sets, OK, allk)
 
 
 EXPAND_CHUNK = 4096

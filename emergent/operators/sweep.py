@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from emergent.operators.containment import containment_join
 from emergent.operators.contrast import growth_rate, high_contrast, negative_support
-from emergent.operators.mining import ITEMSET_CAP, TOO_MANY, mine_label_rules
+from emergent.operators.mining import ITEMSET_CAP, TOO_MANY, mine_label_rules, restrict_support
+from emergent.operators.mining import OK as OK_MINED
 from emergent.operators.transactions import prune_transactions, total
 from emergent.session import reliable
 
@@ -106,17 +107,35 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     parts: list[DataFrame] = []
     high_rules: dict[int, DataFrame] = {}
     min_conf = min(confidences)
+    pruned = [prune_transactions(tx_pos, entities, s, n_all) for s in supports]
+    # Supports whose pruning is the identity share one mining run at the lowest
+    # of them (exact, see mining.restrict_support) and one negative-support join.
+    same = [i for i, p in enumerate(pruned) if not p.changed]
+    base = base_contrast = None
+    if same:
+        lo = min(same, key=lambda i: supports[i])
+        base = mine_label_rules(tx_pos, supports[lo], min_conf, max_antecedent=max_antecedent,
+                                itemset_cap=itemset_cap)
+        if base.status == TOO_MANY:
+            base = None
+        elif base.status == OK_MINED:
+            base_contrast = reliable(growth_rate(negative_support(base.rules, neg_tx, n_neg)), "contrast")
     for si, s in enumerate(supports):
-        pruned = prune_transactions(tx_pos, entities, s, n_all)
-        ptx = reliable(pruned.tx, "tx-pruned", spread=True) if pruned.changed else pruned.tx
-        mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent,
-                                 itemset_cap=itemset_cap)
+        if base is not None and si in same:
+            mined = restrict_support(base, s, itemset_cap)
+        else:
+            ptx = reliable(pruned[si].tx, "tx-pruned", spread=True) if pruned[si].changed else pruned[si].tx
+            mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent, itemset_cap=itemset_cap)
         if mined.status == TOO_MANY:
             parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))
             break
         mined_rules = mined.rules
         n_mined = at_least(mined_rules, "confidence", {"n_mined": F.count(F.lit(1))})
-        rules = high_contrast(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), min_growth)
+        if base_contrast is not None and si in same:
+            contrasted = base_contrast.filter(F.col("n_rule") >= F.lit(mined.min_count))
+        else:
+            contrasted = growth_rate(negative_support(mined_rules, neg_tx, n_neg))
+        rules = high_contrast(contrasted, min_growth)
         high_rules[si] = rules
         n_rules = at_least(rules, "confidence", {"n_rules": F.count(F.lit(1))})
         r = rules.select("label_id", "antecedent", F.col("confidence").alias("_rc"))

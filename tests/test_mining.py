@@ -112,3 +112,13 @@ def test_hot_pair_holding_a_third_of_rows(spark):
     exp = mining.expand_transactions(big)
     assert exp.count() == 10_000
     assert exp.distinct().first()["items"] == ["LABEL_1", "a", "b"]
+
+
+def test_restrict_support_equals_direct_mining(spark):
+    feats, rows = random_tx(21, n_rows=400)
+    tx = to_frames(spark, feats, rows)
+    cols = ["antecedent", "label_id", "n_rule", "n_ante", "n_label", "support", "confidence", "lift"]
+    direct = mining.mine_label_rules(tx, 0.05, 0.1)
+    derived = mining.restrict_support(mining.mine_label_rules(tx, 0.02, 0.1), 0.05)
+    assert derived.status == direct.status and derived.n_itemsets == direct.n_itemsets
+    assert sorted(map(tuple, derived.rules.select(cols).collect())) == sorted(map(tuple, direct.rules.select(cols).collect()))
