@@ -126,6 +126,9 @@ class Flow:
         cls = (F.when(F.col("status").isin(pos), F.lit(split.POSITIVE))
                .when(F.col("status").isin(neg), F.lit(split.NEGATIVE)))
         keyed = split.hash_split(a.withColumn("class", cls), self._split_key, self.params.test_percent)
+        # Rows of other statuses only feed label names: collapse them to (label, name).
+        keyed = (keyed.withColumn("entity_id", F.when(F.col("class").isNotNull(), F.col("entity_id")))
+                 .withColumn("split", F.when(F.col("class").isNotNull(), F.col("split"))))
         # The name is a grouping key (hash aggregation with a count buffer); a
         # string max() buffer would force a sort-based aggregate over every row.
         t = keyed.groupBy("entity_id", "label_id", "label_name", "class", "split").agg(
