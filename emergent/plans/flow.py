@@ -212,6 +212,13 @@ class Flow:
         return mining.mine_label_rules(self.pruned.tx, p.min_support, p.min_confidence,
                                        max_antecedent=p.max_antecedent, support_base=base)
 
+    @cached_property
+    def fpgrowth(self) -> tuple[DataFrame, DataFrame]:
+        """M1 on the same pruned transactions: (itemsets, label rules), one MLlib fit."""
+        p = self.params
+        return mining.mine_fpgrowth(self.pruned.tx, p.min_support, p.min_confidence,
+                                    label_prefix=standin.LABEL_PREFIX)
+
     @cached_property
     def rules(self) -> DataFrame:
         return self.mined.rules

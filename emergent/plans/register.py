@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emergent.functions.items import INF, display_item, growth_text, items_text
-from emergent.operators import discover, mining, refine, split, sweep, transactions
+from emergent.operators import discover, refine, split, sweep, transactions
 from emergent.plans.flow import PARAMS, flow
 from emergent.session import scratch_path
 from emergent.sources import delimited, sinks, standin, xml
@@ -94,16 +94,12 @@ def q_pruned_transactions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_frequent_itemsets(spark: SparkSession, d: str) -> DataFrame:
-    f = flow(spark, d)
-    itemsets, _ = mining.mine_fpgrowth(f.pruned.tx, PARAMS.min_support, PARAMS.min_confidence,
-                                       label_prefix=standin.LABEL_PREFIX)
+    itemsets, _ = flow(spark, d).fpgrowth
     return itemsets.select(F.array_join("items", " ").alias("items"), "freq")
 
 
 def q_label_rules_m1(spark: SparkSession, d: str) -> DataFrame:
-    f = flow(spark, d)
-    _, rules = mining.mine_fpgrowth(f.pruned.tx, PARAMS.min_support, PARAMS.min_confidence,
-                                    label_prefix=standin.LABEL_PREFIX)
+    _, rules = flow(spark, d).fpgrowth
     return rules.select(_ante(), "label_id", "length", "support", "confidence", "lift")
 
 
