@@ -102,6 +102,38 @@ def _empty_rules(tx: DataFrame, label: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _apriori_lookups(rows: DataFrame, frequent: DataFrame, k: int):
+    """A-priori check before the level-k explode, as lookups (no pairing of frequent sets).
+
+    Extending prefix P (a frequent (k-1)-set) by x is useful only if every
+    (k-1)-subset of P + [x] is frequent with some label.  P itself is checked
+    by the semi-join; the subsets that drop P[i] are ``(P without P[i]) + [x]``,
+    so each is a lookup of x among the successors of the (k-2)-set
+    ``P without P[i]``.  Successor lists come from the written frequent sets
+    and hold at most one entry per frequent item.  Pruned sets can never be
+    frequent with any label, so rules and ``n_ante`` stay exact.
+    """
+    if k < 3:
+        return (lambda x: F.lit(True)), rows
+    succ = (frequent.select(F.slice("antecedent", 1, k - 2).alias("_q"),
+                            F.element_at("antecedent", -1).alias("_z"))
+            .groupBy("_q").agg(F.collect_set("_z").alias("_s")))
+    names = []
+    for i in range(k - 1):
+        key = F.concat(F.slice(F.col("antecedent"), 1, i), F.slice(F.col("antecedent"), i + 2, k))
+        look = succ.select(F.col("_q").alias(f"_q{i}"), F.col("_s").alias(f"_s{i}"))
+        rows = rows.join(look, key == F.col(f"_q{i}")).drop(f"_q{i}")
+        names.append(f"_s{i}")
+
+    def ok(x):
+        cond = F.lit(True)
+        for n in names:
+            cond = cond & F.array_contains(F.col(n), x)
+        return cond
+
+    return ok, rows
+
+
 def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
                      max_antecedent: int = DEFAULT_MAX_LEN - 1, itemset_cap: int | None = ITEMSET_CAP,
                      label: str = "label_id", features: str = "features",
@@ -130,11 +162,12 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
             ek = (base.select(label, weight, features, F.explode(features).alias("_x"))
                   .select(label, weight, features, F.array("_x").alias("antecedent")))
         else:
+            rows = prev.join(frequent, "antecedent", "left_semi")
+            ok, rows = _apriori_lookups(rows, frequent, k)
             ext = F.transform(
-                F.filter(F.col(features), lambda x: x > F.element_at(F.col("antecedent"), -1)),
+                F.filter(F.col(features), lambda x: (x > F.element_at(F.col("antecedent"), -1)) & ok(x)),
                 lambda x: F.concat(F.col("antecedent"), F.array(x)))
-            ek = (prev.join(frequent, "antecedent", "left_semi")
-                  .select(label, weight, features, F.explode(ext).alias("antecedent")))
+            ek = rows.select(label, weight, features, F.explode(ext).alias("antecedent"))
         counts = (ek.groupBy("antecedent", label).agg(F.sum(weight).alias("n_rule"))
                   .withColumn("n_ante", F.sum("n_rule").over(w_set))
                   .filter(F.col("n_rule") >= F.lit(mc)))
