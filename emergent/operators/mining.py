@@ -193,6 +193,9 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     rules = rules.select("antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
                          F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
                          "support", "confidence", "lift")
+    if checkpoint:
+        # Small at any scale (bounded by the frequent sets); every later step reads it several times.
+        rules = reliable(rules, "rules")
     return Mined(rules, n, mc, n_sets, OK, allk)
 
 
