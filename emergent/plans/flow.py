@@ -248,8 +248,10 @@ class Flow:
 
     @cached_property
     def candidates_dedup(self) -> DataFrame:
+        """One row per (entity, label), written once: the rankings, the long tail,
+        the hold-out summary and the bridge evidence all read it."""
         d = discover.dedup_candidates(self.candidates, prefer=self.params.dedup_prefer)
-        return d.join(self.label_names, "label_id", "left")
+        return reliable(d.join(self.label_names, "label_id", "left"), "candidates")
 
     @cached_property
     def sweep_result(self) -> sweep.SweepResult:
