@@ -67,6 +67,16 @@ def _at_least_counter(spark, confidences: Sequence[float]):
     return count
 
 
+def _matches(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame) -> DataFrame:
+    """(entity, label, rule n_rule, rule confidence, hit flag) for every rule matching an unknown pair."""
+    r = rules.select("label_id", "antecedent", "n_rule", F.col("confidence").alias("_rc"))
+    ents = entities.select("entity_id", F.col("features").alias("_efeat"))
+    return (containment_join(r, "antecedent", ents, "_efeat").drop("_efeat")
+            .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
+            .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
+                  ["entity_id", "label_id"], "left"))
+
+
 def _fixed_cells(spark, si: int, s: float, confidences: Sequence[float], status: str,
                  start: int = 0) -> DataFrame:
     rows = [(si, ci, float(s), float(c), 0, 0, 0, status) for ci, c in enumerate(confidences) if ci >= start]
@@ -111,7 +121,7 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     # Supports whose pruning is the identity share one mining run at the lowest
     # of them (exact, see mining.restrict_support) and one negative-support join.
     same = [i for i, p in enumerate(pruned) if not p.changed]
-    base = base_contrast = None
+    base = base_contrast = base_matches = None
     if same:
         lo = min(same, key=lambda i: supports[i])
         base = mine_label_rules(tx_pos, supports[lo], min_conf, max_antecedent=max_antecedent,
@@ -138,13 +148,17 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
         rules = high_contrast(contrasted, min_growth)
         high_rules[si] = rules
         n_rules = at_least(rules, "confidence", {"n_rules": F.count(F.lit(1))})
-        r = rules.select("label_id", "antecedent", F.col("confidence").alias("_rc"))
-        ents = entities.select("entity_id", F.col("features").alias("_efeat"))
-        pairs = (containment_join(r, "antecedent", ents, "_efeat")
-                 .groupBy("entity_id", "label_id").agg(F.max("_rc").alias("_best"))
-                 .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
-                 .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
-                       ["entity_id", "label_id"], "left"))
+        if base_contrast is not None and si in same:
+            # Rules at this support are the shared run's rules with n_rule >= min count:
+            # match them against the entities once and filter the written matches.
+            if base_matches is None:
+                base_matches = reliable(_matches(high_contrast(base_contrast, min_growth), entities,
+                                                 known_pairs, test_pairs), "sweep-matches")
+            matched = base_matches.filter(F.col("n_rule") >= F.lit(mined.min_count))
+        else:
+            matched = _matches(rules, entities, known_pairs, test_pairs)
+        pairs = matched.groupBy("entity_id", "label_id").agg(F.max("_rc").alias("_best"),
+                                                             F.max("_hit").alias("_hit"))
         counts = at_least(pairs, "_best", {"hits": F.count_if(F.col("_hit").isNotNull()),
                                            "novel": F.count_if(F.col("_hit").isNull())})
         cell = (grid.join(n_mined, "conf_idx", "left").join(n_rules, "conf_idx", "left")
