@@ -69,9 +69,11 @@ def run(flow: Flow, out_dir: str, with_sweep: bool = False) -> dict[str, str]:
     sinks.write_splits(flow.assoc.drop("split_key"), os.path.join(out_dir, "splits"))
     paths["splits"] = os.path.join(out_dir, "splits")
     rules = flow.nonredundant
-    put("rules", _gr_text(rules, "growth_rate"))
+    sinks.write_rules(_gr_text(rules, "growth_rate"), os.path.join(out_dir, "rules"), fmt="csv")
+    paths["rules"] = os.path.join(out_dir, "rules")
     cands = discover.bridge_evidence(flow.candidates_dedup, flow.entity_bridge, flow.label_bridge)
-    put("candidates", _gr_text(cands.drop("bridge"), "rule_growth_rate"))
+    sinks.write_candidates(_gr_text(cands.drop("bridge"), "rule_growth_rate"), os.path.join(out_dir, "candidates"))
+    paths["candidates"] = os.path.join(out_dir, "candidates")
     put("representative_rules", _gr_text(refine.representative_rules(rules), "growth_rate"))
     put("diverse_top_rules", _gr_text(refine.diverse_top_rules(rules, p.top_n, p.max_per_label), "growth_rate"))
     put("top_by_confidence", _gr_text(discover.top_by_confidence(flow.candidates_dedup, p.show),

@@ -35,19 +35,22 @@ def write_splits(assoc: DataFrame, path: str, fmt: str = "parquet", mode: str =
 
 
 def write_rules(rules: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """K2: rule table."""
+    """K2: rule table, ordered by lift (descending) as the source writes it; ties by label, antecedent."""
+    ordered = rules.orderBy(F.col("lift").desc(), F.col("label_id").asc(),
+                            F.array_join(F.array_sort("antecedent"), " ").asc())
     if fmt == "csv":
-        write_csv(rules, path, mode)
+        write_csv(ordered, path, mode)
     else:
-        rules.write.mode(mode).parquet(path)
+        ordered.write.mode(mode).parquet(path)
 
 
 def write_candidates(cands: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """K3: candidate table."""
+    """K3: candidate table, ordered by rule confidence (descending); ties by entity, label."""
+    ordered = cands.orderBy(F.col("rule_confidence").desc(), F.col("entity_id").asc(), F.col("label_id").asc())
     if fmt == "csv":
-        write_csv(cands, path, mode)
+        write_csv(ordered, path, mode)
     else:
-        cands.write.mode(mode).parquet(path)
+        ordered.write.mode(mode).parquet(path)
 
 
 def write_xml_records(records: DataFrame, xml_col: str, path: str, root_tag: str = "drugbank",
