@@ -125,3 +125,14 @@ def test_trap_options(spark):
             .groupBy("entity_id", "label_id", "class").agg(F.countDistinct("split").alias("n"))
             .filter(F.col("n") > 1).count())
     assert both == 0
+
+
+def test_scan_pushdown_and_pruning(spark):
+    from emergent.plans.flow import flow
+    df = entry.queries()["class_counts"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    li = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln]
+    assert li, plan
+    assert "In(l_returnflag, [N,R])" in li[0]                      # status filter reaches the scan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_returnflag:string>" in li[0]
+    assert flow(spark, SF).assoc is not None
