@@ -89,8 +89,9 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
     lq = label_frequency(tx, label)
     ff = fq.filter(F.col("frequency") >= F.lit(thr))
     lf = lq.filter(F.col("frequency") >= F.lit(thr))
-    infrequent = (fq.filter(F.col("frequency") < F.lit(thr)).limit(1).count()
-                  + lq.filter(F.col("frequency") < F.lit(thr)).limit(1).count())
+    infrequent = (fq.filter(F.col("frequency") < F.lit(thr)).select(F.lit(1).alias("_x"))
+                  .unionByName(lq.filter(F.col("frequency") < F.lit(thr)).select(F.lit(1).alias("_x")))
+                  .limit(1).count())
     if infrequent == 0:
         # Nothing to drop: every transaction keeps all its items (>= 1 feature plus its label).
         return Pruned(tx.select(entity, label, "multiplicity", features), n, thr, ff, lf, changed=False)
