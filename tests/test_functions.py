@@ -45,3 +45,12 @@ def test_growth_text_and_display(spark):
     items = spark.createDataFrame([("LABEL_7", "Flu"), ("BRAND_x", None), ("other", None)], "i string, n string")
     got = [r[0] for r in items.select(display_item(F.col("i"), F.col("n"))).collect()]
     assert got == ["【Flu】", "[BRAND_x]", "other"]
+
+
+def test_prefix_restriction_and_set_text(spark):
+    from emergent.functions.items import items_text, restrict_prefix, sorted_text
+    df = spark.createDataFrame([(["TARGET_b", "DISEASE_x", "TARGET_a"],)], "s array<string>")
+    r = df.select(restrict_prefix("s", "TARGET_").alias("t"), sorted_text("s").alias("txt"),
+                  items_text("s").alias("it")).first()
+    assert r.t == ["TARGET_b", "TARGET_a"]
+    assert r.txt == "DISEASE_x, TARGET_a, TARGET_b" and r.it == "DISEASE_x TARGET_a TARGET_b"
