@@ -102,10 +102,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--min-confidence", type=float, default=SOURCE_PARAMS.min_confidence)
     ap.add_argument("--min-growth", type=float, default=SOURCE_PARAMS.min_growth)
     ap.add_argument("--sweep", action="store_true")
+    ap.add_argument("--split-by-pair", action="store_true",
+                    help="hash (entity, label) for the split so a pair never sits on both sides")
+    ap.add_argument("--support-base", choices=("pruned", "all"), default="pruned",
+                    help="denominator of the reported rule support")
+    ap.add_argument("--dedup-prefer", choices=("shortest", "confidence"), default="shortest",
+                    help="which rule represents an (entity, label) candidate")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("emergent").getOrCreate()
     params = Params(**{**SOURCE_PARAMS.__dict__, "min_support": a.min_support, "prune_support": a.min_support,
-                       "min_confidence": a.min_confidence, "min_growth": a.min_growth})
+                       "min_confidence": a.min_confidence, "min_growth": a.min_growth,
+                       "split_by_pair": a.split_by_pair, "support_base": a.support_base,
+                       "dedup_prefer": a.dedup_prefer})
     inputs = inputs_from_files(spark, a.entities_xml, a.bridge_tsv, a.associations_csv)
     for name, path in run(Flow(spark, None, params, given=inputs), a.out, a.sweep).items():
         print(f"{name}\t{path}")
