@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import records, simhash, tokens, warc
+from emergent.llm import decontaminate, langid, pii, records, simhash, tokens, warc
 from emergent.llm.common import Scratch
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
@@ -29,6 +29,37 @@ def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
                        (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def _joined(spans: str) -> Column:
+    """``kind:start:end`` by start, then kind as listed (the operator's order), comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op3_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data by patterns and by the semi-Markov field trained around their matches."""
+    docs = _table(spark, d, "documents")
+    found = pii.find(docs, pii.train(docs))
+    counts = [_count("base", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
+                        _joined("spans").alias("spans"))
+
+
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a benchmark passage: five-word shingles, similarity of 0.8 or more."""
+    return decontaminate.contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op6_language(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    docs, scratch = _table(spark, d, "documents"), Scratch(spark, "langid")
+    model = langid.train(docs.filter(~langid.held_out("doc_id")), scratch)
+    # The remainder is a function of the id alone, so it is added beside the prediction.
+    return langid.predict(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     """Write an archive record per page, read all archives back through the index."""
     scratch = Scratch(spark, "warc")
@@ -73,7 +104,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_token_records, op9_warc, op10_simhash)}
+    op1_token_records, op3_pii, op4_decontamination, op6_language, op9_warc, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
