@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import decontaminate, langid, pii, records, simhash, tokens, warc
-from emergent.llm.common import Scratch
+from emergent.llm import decontaminate, langid, lm, pii, records, simhash, tokens, warc
+from emergent.llm.common import Scratch, text_bytes
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
 RECORD_END, PACK_END = 1, 2
@@ -29,6 +29,14 @@ def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
                        (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_lm_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Score all documents with a model of those that are not held out."""
+    docs, scratch = _table(spark, d, "documents"), Scratch(spark, "lm")
+    out = langid.held_out("doc_id", 7)
+    model, table = lm.train(docs.filter(~out).select(text_bytes("text").alias("text")), scratch)
+    return lm.score(docs, model, table, scratch, {"doc_id": F.col("doc_id"), "held_out": out})
+
+
 def _joined(spans: str) -> Column:
     """``kind:start:end`` by start, then kind as listed (the operator's order), comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -104,7 +112,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_token_records, op3_pii, op4_decontamination, op6_language, op9_warc, op10_simhash)}
+    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op6_language, op9_warc, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
