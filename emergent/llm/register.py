@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import decontaminate, langid, lm, pii, records, simhash, tokens, warc
+from emergent.llm import ann, decontaminate, langid, lm, pii, records, simhash, tokens, warc
 from emergent.llm.common import Scratch, text_bytes
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
@@ -60,6 +60,11 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
 
 
+def op5_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20, among all others."""
+    return ann.nearest(_table(spark, d, "embeddings"), k=20, is_query=F.col("vec_id") % 20 == 0)
+
+
 def op6_language(spark: SparkSession, d: str) -> DataFrame:
     """Languages of all documents, learned from those that are not held out."""
     docs, scratch = _table(spark, d, "documents"), Scratch(spark, "langid")
@@ -112,7 +117,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op6_language, op9_warc, op10_simhash)}
+    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op9_warc, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
