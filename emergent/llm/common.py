@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -65,6 +66,11 @@ class Scratch:
         for name in names:
             _delete(self.spark, self.path(name))
 
+    def release(self) -> None:
+        """Let the driver notice now that finished jobs' shuffle files are needed no more (it deletes them then)."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def close(self) -> None:
         _delete(self.spark, self.root)
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import ann, decontaminate, langid, lm, pii, records, simhash, tokens, warc
+from emergent.llm import ann, decontaminate, langid, lm, pii, records, simhash, substrings, tokens, warc
 from emergent.llm.common import Scratch, text_bytes
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
@@ -73,6 +73,12 @@ def op6_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_substrings(spark: SparkSession, d: str) -> DataFrame:
+    """Remove every 100-byte string that also starts earlier."""
+    out = substrings.deduplicated(_table(spark, d, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     """Write an archive record per page, read all archives back through the index."""
     scratch = Scratch(spark, "warc")
@@ -117,7 +123,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op9_warc, op10_simhash)}
+    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op7_substrings, op9_warc, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
