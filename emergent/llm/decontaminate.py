@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,17 +163,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     The benchmark travels with the tasks, ``ITEMS_A_PASS`` items at a time; the
     documents are read once for each such block and never shuffled.
     """
-    spark = df.sparkSession
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"),
-                             F.col(item_text_col).cast("string").alias("text")).filter("item is not null")
-    passes = max(1, -(-items.count() // ITEMS_A_PASS))
     schema = "id long, item_id long, similarity double, start_word long, n_words long, distance int"
     out: DataFrame | None = None
-    for p in range(passes):
-        block = items.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == p)
-        rows = sorted((r["item"], r["text"]) for r in block.filter("text is not null").distinct().collect())
-        shared = spark.sparkContext.broadcast(Items(rows))
+    for shared in _passes(benchmark, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = shared.value
@@ -186,5 +180,31 @@ def contaminated(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     return out.withColumnRenamed("id", id_col)
 
 
+def clean(df: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text") -> DataFrame:
+    """The rows whose text holds no benchmark item; columns unchanged, nothing shuffled."""
+    for shared in _passes(benchmark, item_col, item_text_col):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            for b in batches:
+                yield b.filter(pa.array([not known.found(t) for t, in rows_of(b, text_col)], pa.bool_()))
+
+        df = df.mapInArrow(run, df.schema)
+    return df
+
+
+def _passes(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[Broadcast]:
+    """The items in broadcasts of about ``ITEMS_A_PASS`` each (one, if there are none)."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"),
+                             F.col(item_text_col).cast("string").alias("text")).filter("item is not null")
+    passes = max(1, -(-items.count() // ITEMS_A_PASS))
+    for p in range(passes):
+        block = items.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == p)
+        rows = sorted((r["item"], r["text"]) for r in block.filter("text is not null").distinct().collect())
+        yield spark.sparkContext.broadcast(Items(rows))
+
+
 _NAMES = ["id", "item_id", "similarity", "start_word", "n_words", "distance"]
 _TYPES = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int32()]

@@ -179,3 +179,16 @@ def predict(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 names=["id", "lang_pred", "score"])
 
     return arrow_map(src, run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def kept(df: DataFrame, model: Model, *, text_col: str = "text", least_score: float = 0.3) -> DataFrame:
+    """The rows whose language is recognised with that score; columns unchanged, nothing shuffled."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            said = [m.predict(t) for t, in rows_of(b, text_col)]
+            yield b.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in said], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import ann, decontaminate, langid, lm, pii, records, simhash, substrings, tokens, warc
+from emergent.llm import ann, decontaminate, langid, lm, packing, pii, records, simhash, substrings, tokens, warc
 from emergent.llm.common import Scratch, text_bytes
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
@@ -79,6 +79,13 @@ def op7_substrings(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Pack all documents into sequences of at most 4096 ids."""
+    out = packing.packed(_table(spark, d, "documents"), vocabulary=tokens.public_path(), end_id=PACK_END, window=4096)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                      "offset")
+
+
 def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     """Write an archive record per page, read all archives back through the index."""
     scratch = Scratch(spark, "warc")
@@ -108,22 +115,22 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, d, "documents"), shingle=3, distance=2)
 
 
-def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Python workers of a session started elsewhere find the package where this process found it."""
+def shipped(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The same function, after which Python workers find the package where this process found it."""
 
-    def query(spark: SparkSession, d: str) -> DataFrame:
+    def query(spark: SparkSession, *args: object) -> DataFrame:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         env = spark.sparkContext.environment
         if root not in env.get("PYTHONPATH", "").split(os.pathsep):
             env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
-        return fn(spark, d)
+        return fn(spark, *args)
 
     query.__doc__, query.__name__ = fn.__doc__, fn.__name__
     return query
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op7_substrings, op9_warc, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: shipped(f) for f in (
+    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op7_substrings, op8_packing, op9_warc, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
