@@ -11,7 +11,6 @@ from emergent.functions.items import (
     items_text,
     mesh_id,
     prefixed,
-    proper_subsets,
     restrict_prefix,
     sorted_text,
     strip_prefix_upper,
@@ -19,6 +18,6 @@ from emergent.functions.items import (
 
 __all__ = [
     "INDIRECT", "INF", "bridge_symbols", "display_item", "feature_tokens", "finite_growth",
-    "growth_text", "items_text", "mesh_id", "prefixed", "proper_subsets", "restrict_prefix",
+    "growth_text", "items_text", "mesh_id", "prefixed", "restrict_prefix",
     "sorted_text", "strip_prefix_upper",
 ]

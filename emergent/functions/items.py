@@ -49,9 +49,15 @@ def bridge_symbols(symbols: Column | str) -> Column:
     return F.array_distinct(F.transform(kept, lambda g: F.upper(g)))
 
 
-def restrict_prefix(arr: Column | str, prefix: str) -> Column:
-    """Keep only the items carrying ``prefix``."""
-    return F.filter(_col(arr), lambda x: x.startswith(prefix))
+def restrict_prefix(arr: Column | str, *prefixes: str) -> Column:
+    """Keep only the items carrying one of the prefixes."""
+    def carries(x: Column) -> Column:
+        out = F.lit(False)
+        for p in prefixes:
+            out = out | x.startswith(p)
+        return out
+
+    return F.filter(_col(arr), carries)
 
 
 def items_text(arr: Column | str, sep: str = " ") -> Column:
@@ -71,11 +77,8 @@ def finite_growth(gr: Column | str) -> Column:
 
 
 def fixed2(x: Column | str) -> Column:
-    """Two-decimal text, rounding half up on the binary value (engine independent)."""
-    scaled = F.floor(_col(x) * F.lit(100.0) + F.lit(0.5))
-    whole = F.floor(scaled / F.lit(100)).cast("bigint")
-    frac = (scaled - whole * F.lit(100)).cast("bigint")
-    return F.concat(whole.cast("string"), F.lit("."), F.lpad(frac.cast("string"), 2, "0"))
+    """Two-decimal text of the exact binary value, exact ties to the even digit (1.125 -> 1.12)."""
+    return F.replace(F.format_number(_col(x), 2), F.lit(","), F.lit(""))
 
 
 def growth_text(gr: Column | str) -> Column:
@@ -90,21 +93,10 @@ def display_item(item: Column | str, label_name: Column | None = None,
                                                       "TARGET_", "GENE_")) -> Column:
     """P10: label item -> 【name】, feature/bridge item -> [item], anything else as is."""
     it = _col(item)
-    name = label_name if label_name is not None else F.substring(it, len(label_prefix) + 1, 1 << 20)
+    name = label_name if label_name is not None else it.substr(F.lit(len(label_prefix) + 1), F.length(it))
     is_feature = F.lit(False)
     for p in feature_prefixes:
         is_feature = is_feature | it.startswith(p)
     return (F.when(it.startswith(label_prefix), F.concat(F.lit("【"), name, F.lit("】")))
             .when(is_feature, F.concat(F.lit("["), it, F.lit("]")))
             .otherwise(it))
-
-
-def proper_subsets(arr: str) -> Column:
-    """All non-empty proper subsets of the array column ``arr`` (at least two elements).
-
-    Bitmask enumeration with JVM higher-order functions: mask ``1 .. 2^n - 2``
-    keeps the elements whose bit is set, preserving the element order.
-    """
-    a = f"`{arr}`"
-    return F.expr(f"transform(sequence(1, shiftleft(1, size({a})) - 2), "
-                  f"m -> filter({a}, (e, i) -> (shiftright(m, i) & 1) = 1))")

@@ -42,13 +42,6 @@ def growth_rate(df: DataFrame) -> DataFrame:
 def high_contrast(df: DataFrame, min_growth: float = 3.0) -> DataFrame:
     """F7 + R4: strict ``growth_rate > min_growth`` (infinity passes).
 
-    The order (growth rate, lift, both descending) is applied where rows are
-    reported; see ``contrast_order``.
+    The order (growth rate, lift, both descending) is applied where rows are reported.
     """
     return df.filter(F.col("growth_rate") > F.lit(float(min_growth)))
-
-
-def contrast_order(label: str = "label_id") -> list:
-    """O1 with unique tie keys: growth rate desc, lift desc, label, antecedent."""
-    return [F.col("growth_rate").desc(), F.col("lift").desc(), F.col(label).asc(),
-            F.array_join("antecedent", " ").asc()]

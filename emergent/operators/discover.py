@@ -10,10 +10,12 @@ map side, instead of a window over every candidate row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emergent.functions.items import INDIRECT, mesh_id, sorted_text
+from emergent.functions.items import INDIRECT, mesh_id, restrict_prefix, sorted_text, strip_prefix_upper
 from emergent.operators.containment import containment_join
 
 ENTITY = "entity_id"
@@ -45,11 +47,6 @@ def bridge_by_name(bridge_rows: DataFrame) -> DataFrame:
             .select(F.lower("label_name").alias("name_key"), "bridge_item").distinct())
 
 
-def bridge_sets(pairs: DataFrame, key: str, item: str = "bridge_item") -> DataFrame:
-    """Group a long bridge table into sorted sets (for reports on bounded keys)."""
-    return pairs.groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("bridge"))
-
-
 def label_bridge(labels: DataFrame, by_id: DataFrame, by_name: DataFrame, label: str = LABEL) -> DataFrame:
     """(label, bridge_item) via the ``MESH:`` id when it has any entry, else via the lower-cased name."""
     lab = labels.select(label, "label_name").distinct().withColumn("_idk", mesh_id(label)).withColumn(
@@ -63,33 +60,52 @@ def label_bridge(labels: DataFrame, by_id: DataFrame, by_name: DataFrame, label:
     return via_id.unionByName(via_name)
 
 
-def candidates(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame,
-               negative_pairs: DataFrame | None = None, entity: str = ENTITY, label: str = LABEL) -> DataFrame:
-    """J6 (antecedent ⊆ entity features) - J7 (known training pairs) + J8 (hold-out hit flag).
+def rule_matches(rules: DataFrame, entities: DataFrame, prefixes: Sequence[str] | None = None,
+                 entity: str = ENTITY, label: str = LABEL) -> DataFrame:
+    """Every rule with every entity whose features contain its antecedent, on ids alone.
 
-    ``known_negative`` (Q-8) flags pairs present among negative associations;
-    they are kept, as in the source.
+    ``prefixes`` (P18): only antecedent items that carry one of them count, and
+    a rule left without any matches nothing.
     """
     r = rules.select(label, "antecedent",
                      F.col("confidence").alias("rule_confidence"),
                      F.col("growth_rate").alias("rule_growth_rate"),
                      F.col("lift").alias("rule_lift"),
                      F.col("support").alias("rule_support"))
-    ents = entities.select(entity, "entity_name", F.col("features").alias("_efeat"))
-    matched = containment_join(r, "antecedent", ents, "_efeat").drop("_efeat")
-    cands = matched.join(known_pairs.select(entity, label), [entity, label], "left_anti")
+    if prefixes is not None:
+        r = r.withColumn("antecedent", restrict_prefix("antecedent", *prefixes)).filter(F.size("antecedent") > 0)
+    ents = entities.select(entity, F.col("features").alias("_efeat"))
+    return containment_join(r, "antecedent", ents, "_efeat").drop("_efeat")
+
+
+def label_pairs(pairs: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame,
+                negative_pairs: DataFrame | None = None, entity: str = ENTITY, label: str = LABEL) -> DataFrame:
+    """J7, J8 and Q-8: known training pairs go; ``is_hit`` and ``known_negative`` flags; the entity's name.
+
+    All of it depends on (entity, label) alone, so it may run after pairs are
+    de-duplicated.  Pairs among the negative associations are kept, as in the source.
+    """
+    out = pairs.join(known_pairs.select(entity, label), [entity, label], "left_anti")
     hits = test_pairs.select(entity, label).distinct().withColumn("is_hit", F.lit(True))
-    cands = cands.join(hits, [entity, label], "left").withColumn("is_hit", F.coalesce("is_hit", F.lit(False)))
+    out = out.join(hits, [entity, label], "left").withColumn("is_hit", F.coalesce("is_hit", F.lit(False)))
     if negative_pairs is not None:
         negs = negative_pairs.select(entity, label).distinct().withColumn("known_negative", F.lit(True))
-        cands = cands.join(negs, [entity, label], "left").withColumn(
+        out = out.join(negs, [entity, label], "left").withColumn(
             "known_negative", F.coalesce("known_negative", F.lit(False)))
-    return cands
+    return out.join(entities.select(entity, "entity_name"), entity)
+
+
+def candidates(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame,
+               negative_pairs: DataFrame | None = None, prefixes: Sequence[str] | None = None,
+               entity: str = ENTITY, label: str = LABEL) -> DataFrame:
+    """One row per rule and matching entity that is no known training pair."""
+    return label_pairs(rule_matches(rules, entities, prefixes, entity, label), entities, known_pairs, test_pairs,
+                       negative_pairs, entity, label)
 
 
 def dedup_candidates(cands: DataFrame, entity: str = ENTITY, label: str = LABEL,
                      prefer: str = "shortest") -> DataFrame:
-    """One row per (entity, label).
+    """One row per (entity, label), of candidates or of bare rule matches.
 
     ``prefer="shortest"`` (the source's behaviour, trap Q-5): shortest
     antecedent, then growth desc, lift desc, antecedent text.
@@ -169,15 +185,39 @@ def holdout_summary(cands: DataFrame, test_pairs: DataFrame | None = None,
                                            / F.lit(float(n_reach))).otherwise(F.lit(None).cast("double")))
 
 
+#: Parts into which every entity's bridge items are dealt in the evidence join.
+BRIDGE_PARTS = 16
+
+
 def bridge_evidence(cands: DataFrame, entity_bridge: DataFrame, label_bridge_pairs: DataFrame,
-                    entity: str = ENTITY, label: str = LABEL) -> DataFrame:
-    """R6 + P12 + P13: entity bridge ∩ label bridge per candidate (joins, no per-label set in memory)."""
-    pairs = cands.select(entity, label)
-    shared = (pairs.join(entity_bridge.select(entity, "bridge_item"), entity)
-              .join(label_bridge_pairs.select(label, "bridge_item").distinct(), [label, "bridge_item"],
-                    "left_semi"))
+                    entity: str = ENTITY, label: str = LABEL, prefix: str = "GENE_") -> DataFrame:
+    """R6 + P7 + P12 + P13: entity bridge ∩ label bridge per candidate.
+
+    Both sides lose ``prefix`` and are upper-cased, so symbols match whatever
+    their case.  The join key is (entity, part of the item's hash): a hub
+    entity's bridge is spread over ``BRIDGE_PARTS`` tasks.  A candidate's list
+    holds what both sides share, at most the label's own bridge.
+    """
+    item = strip_prefix_upper("bridge_item", prefix)
+    part = F.pmod(F.xxhash64("bridge_item"), F.lit(BRIDGE_PARTS)).cast("int").alias("_part")
+    left = entity_bridge.select(entity, item.alias("bridge_item")).distinct().select("*", part)
+    right = label_bridge_pairs.select(label, item.alias("bridge_item")).distinct()
+    pairs = cands.select(entity, label).distinct().withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.lit(BRIDGE_PARTS - 1))))
+    shared = (pairs.join(left, [entity, "_part"]).join(right, [label, "bridge_item"], "left_semi"))
     sets = shared.groupBy(entity, label).agg(F.array_sort(F.collect_list("bridge_item")).alias("bridge"))
     out = cands.join(sets, [entity, label], "left").withColumn(
         "bridge", F.coalesce(F.col("bridge"), F.array().cast("array<string>")))
     return out.withColumn("bridge_text", F.when(F.size("bridge") == 0, F.lit(INDIRECT))
                           .otherwise(sorted_text("bridge")))
+
+
+def bridge_arms(labels: DataFrame, by_id: DataFrame, by_name: DataFrame, label: str = LABEL) -> DataFrame:
+    """J3's match rate (Q-14): labels in all, those found by id, those found by name, those found by neither."""
+    ids = by_id.select(F.col("label_key").alias("_k")).distinct().withColumn("_i", F.lit(1))
+    names = by_name.select(F.col("name_key").alias("_n")).distinct().withColumn("_m", F.lit(1))
+    lab = labels.select(label, "label_name").distinct()
+    got = (lab.join(ids, mesh_id(label) == F.col("_k"), "left").join(names, F.lower("label_name") == F.col("_n"), "left"))
+    return got.agg(F.count(F.lit(1)).alias("n_labels"), F.count("_i").alias("by_id"),
+                   F.count_if(F.col("_i").isNull() & F.col("_m").isNotNull()).alias("by_name"),
+                   F.count_if(F.col("_i").isNull() & F.col("_m").isNull()).alias("unmatched"))

@@ -1,15 +1,17 @@
-"""Label-rule mining.
+"""Label-rule mining, without a bound on lengths or on how many sets are found.
 
 M2 ``mine_label_rules`` (default).  Every transaction carries exactly one label,
-so a rule ``S => label`` is a group count of (S, label).  Levels grow by prefix
-extension: a transaction extends the (k-1)-sets it contains that are frequent
-with *some* label by each of its items sorted after the set's last item.  Every
-transaction containing a k-set whose prefix is frequent therefore produces it
-exactly once, which makes both ``n_rule`` (per label) and ``n_ante`` (all
-labels) exact.  One level is: explode (map side) -> partial aggregate -> shuffle
-on (S, label) -> window sum per S for ``n_ante``.  The frequent sets of a level
-are reliably checkpointed, which cuts lineage and feeds the next level's
-semi-join (broadcast by AQE when small, sort-merge otherwise).
+so a rule ``S => label`` is a group count of (S, label).  Equal (features, label)
+rows are collapsed once.  A level's row is (antecedent, the features sorted
+after its last item, label, weight): the whole feature array is not carried.
+Level k+1 joins the rows with the frequent antecedents of level k and extends
+each by the items that pass the a-priori check, which runs on the small table of
+frequent sets (``_successors``).  Every transaction containing a set whose
+prefix is frequent with *some* label therefore produces it exactly once, which
+makes both ``n_rule`` (per label) and ``n_ante`` (all labels) exact.  One level
+is one join of the rows (broadcast by AQE when the frequent sets are small) and
+one aggregate of counts, combined before its shuffle; the level's rows are
+written, so no level is computed twice.
 
 M1 ``mine_fpgrowth`` runs MLlib's parallel FP-Growth on mixed item arrays and
 keeps the rules of the same shape (F6).
@@ -20,22 +22,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emergent.functions.items import prefixed
+from emergent.functions.items import INF, prefixed
 from emergent.operators.transactions import total
 from emergent.session import reliable
 
-# Fixed values of the source's miner.
-DEFAULT_MAX_LEN = 4                 # itemset length bound, antecedent + one label
-ITEMSET_CAP = 1_000_000             # more frequent itemsets than this -> no rules
-
 OK = "ok"
 EMPTY = "empty"                     # nothing left after pruning
 NO_RULES = "no_rules"
-TOO_MANY = "too_many_itemsets"
 
 
 @dataclass
@@ -48,7 +45,7 @@ class Mined:
     itemsets: DataFrame | None = None    # frequent (antecedent, label) counts of every level
 
 
-def restrict_support(mined: Mined, min_support: float, itemset_cap: int | None = ITEMSET_CAP) -> Mined:
+def restrict_support(mined: Mined, min_support: float) -> Mined:
     """Rules at a higher support from a run at a lower one on the same transactions.
 
     Exact: the counts of a (set, label) do not depend on the threshold, and
@@ -63,8 +60,6 @@ def restrict_support(mined: Mined, min_support: float, itemset_cap: int | None =
         raise ValueError("restrict_support needs a support at least as high as the mined one")
     sets = mined.itemsets.filter(F.col("n_rule") >= F.lit(mc))
     n_sets = sets.count()
-    if itemset_cap is not None and n_sets > itemset_cap:
-        return Mined(mined.rules.limit(0), mined.n_transactions, mc, n_sets, TOO_MANY)
     if n_sets == 0:
         return Mined(mined.rules.limit(0), mined.n_transactions, mc, 0, NO_RULES, sets)
     return Mined(mined.rules.filter(F.col("n_rule") >= F.lit(mc)), mined.n_transactions, mc, n_sets, OK, sets)
@@ -76,13 +71,22 @@ def min_count_for(min_support: float, n: int) -> int:
 
 
 def rule_metrics(counts: DataFrame, n_total: int) -> DataFrame:
-    """Support, confidence and lift from integer counts (same operation order as MLlib)."""
+    """The metrics of a rule from integer counts (same operation order as MLlib).
+
+    ``leverage`` is the support above that of independent sides; ``conviction``
+    is infinite for a rule without exceptions.
+    """
     n = F.lit(int(n_total)).cast("double")
+    support = F.col("n_rule").cast("double") / n
     conf = F.col("n_rule").cast("double") / F.col("n_ante")
+    p_label = F.col("n_label").cast("double") / n
     return (counts
-            .withColumn("support", F.col("n_rule").cast("double") / n)
+            .withColumn("support", support)
             .withColumn("confidence", conf)
-            .withColumn("lift", conf / (F.col("n_label").cast("double") / n)))
+            .withColumn("lift", conf / p_label)
+            .withColumn("leverage", support - (F.col("n_ante").cast("double") / n) * p_label)
+            .withColumn("conviction", F.when(F.col("n_rule") == F.col("n_ante"), F.lit(INF))
+                        .otherwise((F.lit(1.0) - p_label) / (F.lit(1.0) - conf))))
 
 
 def _empty_rules(tx: DataFrame, label: str) -> DataFrame:
@@ -98,48 +102,48 @@ def _empty_rules(tx: DataFrame, label: str) -> DataFrame:
         T.StructField("support", T.DoubleType()),
         T.StructField("confidence", T.DoubleType()),
         T.StructField("lift", T.DoubleType()),
+        T.StructField("leverage", T.DoubleType()),
+        T.StructField("conviction", T.DoubleType()),
     ])
     return spark.createDataFrame([], schema)
 
 
-def _apriori_lookups(rows: DataFrame, frequent: DataFrame, k: int):
-    """A-priori check before the level-k explode, as lookups (no pairing of frequent sets).
+def _successors(sets: DataFrame, k: int) -> DataFrame:
+    """A-priori check for level k+1: ``(antecedent, _next)`` from the frequent k-sets ``sets(antecedent)``.
 
-    Extending prefix P (a frequent (k-1)-set) by x is useful only if every
-    (k-1)-subset of P + [x] is frequent with some label.  P itself is checked
-    by the semi-join; the subsets that drop P[i] are ``(P without P[i]) + [x]``,
-    so each is a lookup of x among the successors of the (k-2)-set
-    ``P without P[i]``.  Successor lists come from the written frequent sets
-    and hold at most one entry per frequent item.  Pruned sets can never be
-    frequent with any label, so rules and ``n_ante`` stay exact.
+    ``antecedent + [x]`` can only be frequent if every k-subset of it is.  The
+    candidates share their first k-1 items with another frequent set that ends
+    in x; the subsets that drop an earlier item are looked up one by one.  All
+    of this reads the table of frequent sets, never the transactions.
     """
-    if k < 3:
-        return (lambda x: F.lit(True)), rows
-    succ = (frequent.select(F.slice("antecedent", 1, k - 2).alias("_q"),
-                            F.element_at("antecedent", -1).alias("_z"))
-            .groupBy("_q").agg(F.collect_set("_z").alias("_s")))
-    names = []
+    cut = sets.select("antecedent", F.slice("antecedent", 1, k - 1).alias("_p"), F.element_at("antecedent", -1).alias("_z"))
+    other = cut.select("_p", F.col("_z").alias("_x"))
+    pairs = cut.join(other, "_p").filter("_x > _z").select("antecedent", "_x")
     for i in range(k - 1):
-        key = F.concat(F.slice(F.col("antecedent"), 1, i), F.slice(F.col("antecedent"), i + 2, k))
-        look = succ.select(F.col("_q").alias(f"_q{i}"), F.col("_s").alias(f"_s{i}"))
-        rows = rows.join(look, key == F.col(f"_q{i}")).drop(f"_q{i}")
-        names.append(f"_s{i}")
+        rest = F.concat(F.slice("antecedent", 1, i), F.slice("antecedent", i + 2, k), F.array("_x"))
+        pairs = pairs.withColumn("_s", rest).join(sets.select(F.col("antecedent").alias("_s")), "_s", "left_semi").drop("_s")
+    return pairs.groupBy("antecedent").agg(F.collect_list("_x").alias("_next"))
 
-    def ok(x):
-        cond = F.lit(True)
-        for n in names:
-            cond = cond & F.array_contains(F.col(n), x)
-        return cond
 
-    return ok, rows
+def _counts(rows: DataFrame, label: str, weight: str, mc: int) -> DataFrame:
+    """``(antecedent, label, n_rule, n_ante)`` of the pairs that reach the support threshold.
+
+    The labels kept of an antecedent are at most ``n_ante / mc``, so their list
+    is bounded by ``1 / min_support``.
+    """
+    per_label = rows.groupBy("antecedent", label).agg(F.sum(weight).alias("n_rule"))
+    hit = F.when(F.col("n_rule") >= F.lit(mc), F.struct(F.col(label), "n_rule"))
+    return (per_label.groupBy("antecedent").agg(F.sum("n_rule").alias("n_ante"), F.collect_list(hit).alias("_hits"))
+            .select("antecedent", "n_ante", F.explode("_hits").alias("_h"))
+            .select("antecedent", F.col(f"_h.{label}").alias(label), F.col("_h.n_rule").alias("n_rule"), "n_ante"))
 
 
 def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
-                     max_antecedent: int = DEFAULT_MAX_LEN - 1, itemset_cap: int | None = ITEMSET_CAP,
+                     max_antecedent: int | None = None,
                      label: str = "label_id", features: str = "features",
                      weight: str = "multiplicity", n_total: int | None = None,
-                     checkpoint: bool = True, support_base: int | None = None) -> Mined:
-    """M2: exact rules ``antecedent => label`` with ``|antecedent| <= max_antecedent``.
+                     support_base: int | None = None) -> Mined:
+    """M2: all rules ``antecedent => label`` (of at most ``max_antecedent`` items, if that is given).
 
     ``tx`` holds (label, features sorted+distinct, multiplicity).  The support
     threshold and, by default, the reported support and lift are relative to
@@ -151,37 +155,30 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     if n == 0:
         return Mined(_empty_rules(tx, label), 0, 0, 0, EMPTY)
     mc = min_count_for(min_support, n)
-    base = tx.select(label, weight, features)
-    w_set = Window.partitionBy("antecedent")
+    base = reliable(tx.groupBy(label, features).agg(F.sum(weight).alias(weight)), "tx-distinct", spread=True)
+    rows = (base.select(label, weight, F.col(features).alias("_f"), F.posexplode(features).alias("_i", "_x"))
+            .select(label, weight, F.array("_x").alias("antecedent"),
+                    F.slice("_f", F.col("_i") + 2, F.size("_f")).alias("_rest")))
     levels: list[DataFrame] = []
-    n_sets = 0
-    prev = None
-    frequent = None
-    for k in range(1, max_antecedent + 1):
-        if k == 1:
-            ek = (base.select(label, weight, features, F.explode(features).alias("_x"))
-                  .select(label, weight, features, F.array("_x").alias("antecedent")))
-        else:
-            rows = prev.join(frequent, "antecedent", "left_semi")
-            ok, rows = _apriori_lookups(rows, frequent, k)
-            ext = F.transform(
-                F.filter(F.col(features), lambda x: (x > F.element_at(F.col("antecedent"), -1)) & ok(x)),
-                lambda x: F.concat(F.col("antecedent"), F.array(x)))
-            ek = rows.select(label, weight, features, F.explode(ext).alias("antecedent"))
-        counts = (ek.groupBy("antecedent", label).agg(F.sum(weight).alias("n_rule"))
-                  .withColumn("n_ante", F.sum("n_rule").over(w_set))
-                  .filter(F.col("n_rule") >= F.lit(mc)))
-        if checkpoint:
-            counts = reliable(counts)
+    n_sets, k = 0, 1
+    while True:
+        counts = reliable(_counts(rows, label, weight, mc), f"sets-{k}")
         n_k = counts.count()
-        n_sets += n_k
         if n_k == 0:
             break
+        n_sets += n_k
         levels.append(counts.withColumn("length", F.lit(k)))
-        prev = ek
-        frequent = counts.select("antecedent")          # semi-join key; duplicates are harmless
-        if itemset_cap is not None and n_sets > itemset_cap:
-            return Mined(_empty_rules(tx, label), n, mc, n_sets, TOO_MANY)
+        if k == max_antecedent:
+            break
+        sets = counts.select("antecedent").distinct()
+        if k == 1:
+            longer = rows.join(sets, "antecedent", "left_semi").withColumn("_new", F.col("_rest"))
+        else:
+            longer = rows.join(_successors(sets, k), "antecedent").withColumn("_new", F.array_intersect("_rest", "_next"))
+        rows = reliable(longer.select(label, weight, "antecedent", "_rest", F.explode("_new").alias("_x"))
+                        .select(label, weight, F.concat("antecedent", F.array("_x")).alias("antecedent"),
+                                F.filter("_rest", lambda y: y > F.col("_x")).alias("_rest")), f"rows-{k + 1}")
+        k += 1
     if not levels:
         return Mined(_empty_rules(tx, label), n, mc, 0, NO_RULES)
     allk = levels[0]
@@ -192,11 +189,9 @@ def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
     rules = rule_metrics(allk.join(n_label, label), base_n).filter(F.col("confidence") >= F.lit(float(min_confidence)))
     rules = rules.select("antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
                          F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
-                         "support", "confidence", "lift")
-    if checkpoint:
-        # Small at any scale (bounded by the frequent sets); every later step reads it several times.
-        rules = reliable(rules, "rules")
-    return Mined(rules, n, mc, n_sets, OK, allk)
+                         "support", "confidence", "lift", "leverage", "conviction")
+    # Every later step reads the rules several times.
+    return Mined(reliable(rules, "rules"), n, mc, n_sets, OK, allk)
 
 
 EXPAND_CHUNK = 4096
@@ -207,7 +202,7 @@ def expand_transactions(tx: DataFrame, label: str = "label_id", features: str =
     """One row per original transaction with the mixed item array (input of MLlib).
 
     A multiplicity is expanded in chunks of at most ``EXPAND_CHUNK`` rows and
-    the chunks are spread round-robin before the final explode, so a pair that
+    the chunks are rebalanced before the final explode, so a pair that
     holds a large share of all rows never builds one huge array or one huge task.
     """
     items = F.array_sort(F.array_distinct(F.concat(F.col(features), F.array(prefixed(label_prefix, label)))))
@@ -218,15 +213,16 @@ def expand_transactions(tx: DataFrame, label: str = "label_id", features: str =
                       .alias("_c"))
               .select("items", F.least(F.lit(EXPAND_CHUNK).cast("bigint"),
                                        F.col("_m") - F.col("_c") * EXPAND_CHUNK).cast("int").alias("_k")))
-    spread = chunks.repartition(tx.sparkSession.sparkContext.defaultParallelism)
-    return spread.select("items", F.explode(F.array_repeat(F.lit(0), F.col("_k"))).alias("_r")).drop("_r")
+    return chunks.hint("rebalance").select("items", F.explode(F.array_repeat(F.lit(0), F.col("_k"))).alias("_r")).drop("_r")
 
 
 def mine_fpgrowth(tx: DataFrame, min_support: float, min_confidence: float,
-                  max_len: int = DEFAULT_MAX_LEN, label: str = "label_id", features: str = "features",
+                  max_len: int | None = None, label: str = "label_id", features: str = "features",
                   weight: str = "multiplicity", label_prefix: str = "LABEL_",
                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """M1: MLlib FP-Growth; returns (itemsets of length <= max_len, label rules).
+    """M1: MLlib FP-Growth; returns (itemsets, label rules), a cross-check of M2.
+
+    ``max_len`` bounds the items of a set, if it is given.
 
     Rules keep the F6 shape: no label in the antecedent, one consequent, a label.
     """
@@ -237,7 +233,8 @@ def mine_fpgrowth(tx: DataFrame, min_support: float, min_confidence: float,
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(rows)
-    itemsets = (model.freqItemsets.filter(F.size("items") <= max_len)
+    short = F.lit(True) if max_len is None else F.size("items") <= max_len
+    itemsets = (model.freqItemsets.filter(short)
                 .select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq")))
     label_type = tx.schema[label].dataType
     r = model.associationRules
@@ -245,10 +242,11 @@ def mine_fpgrowth(tx: DataFrame, min_support: float, min_confidence: float,
         (F.size("consequent") == 1)
         & F.get(F.col("consequent"), 0).startswith(label_prefix)
         & ~F.exists("antecedent", lambda x: x.startswith(label_prefix))
-        & (F.size("antecedent") <= max_len - 1))
+        & (F.lit(True) if max_len is None else F.size("antecedent") <= max_len - 1))
     rules = shaped.select(
         F.array_sort("antecedent").alias("antecedent"),
-        F.substring(F.get(F.col("consequent"), 0), len(label_prefix) + 1, 1 << 20).cast(label_type).alias(label),
+        F.get(F.col("consequent"), 0).substr(F.lit(len(label_prefix) + 1), F.length(F.get(F.col("consequent"), 0)))
+        .cast(label_type).alias(label),
         F.size("antecedent").alias("length"),
         "support", "confidence", "lift")
     return itemsets, rules

@@ -2,10 +2,9 @@
 
 R1 walks antecedent lengths upward.  A rule of length k is redundant when a
 *kept* shorter rule with the same label has an antecedent that is a subset of
-it and close metrics.  Shorter subsets are enumerated per rule (bitmask
-``filter``, at most 2^k - 2 of them), so the subset test is an equi-join on
-(label, subset) against the kept rules followed by a ``left_anti`` - never a
-theta or nested-loop join.  Rules of equal length are never subsets of each
+it and close metrics.  The subset test is the containment join (equi-join on the
+label and the subset's rarest item, then verified), so no rule's subsets are
+enumerated, whatever its length.  Rules of equal length are never subsets of each
 other, so the order inside a length cannot change the result.
 """
 
@@ -14,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emergent.functions.items import INF, finite_growth, proper_subsets
+from emergent.functions.items import INF, finite_growth
+from emergent.operators.containment import containment_join
 from emergent.session import reliable
 
 # Fixed defaults of the source's refiner.
@@ -41,9 +41,8 @@ def remove_redundant(rules: DataFrame, conf_tol: float = CONF_TOL, supp_tol: flo
     kept = rules.filter(F.col("_len") == 1)
     for k in range(2, int(max_len) + 1):
         level = rules.filter(F.col("_len") == k)
-        subs = level.select(label, "antecedent", "confidence", "support", "growth_rate",
-                            F.explode(proper_subsets("antecedent")).alias("_sub"))
-        older = kept.select(label, F.col("antecedent").alias("_sub"), F.col("confidence").alias("_c"),
+        longer = level.select(label, "confidence", "support", "growth_rate", F.col("antecedent").alias("_items"))
+        older = kept.select(label, "antecedent", F.col("confidence").alias("_c"),
                             F.col("support").alias("_s"), F.col("growth_rate").alias("_g"))
         close = (
             (F.abs(F.col("confidence") - F.col("_c")) <= F.lit(conf_tol))
@@ -51,7 +50,8 @@ def remove_redundant(rules: DataFrame, conf_tol: float = CONF_TOL, supp_tol: flo
             & ((F.abs(finite_growth("growth_rate") - finite_growth("_g")) <= F.lit(gr_tol))
                | ((F.col("growth_rate") == F.lit(INF)) & (F.col("_g") == F.lit(INF))))
         )
-        redundant = subs.join(older, [label, "_sub"]).filter(close).select(label, "antecedent")
+        redundant = (containment_join(older, "antecedent", longer, "_items", on=[label]).filter(close)
+                     .select(label, F.col("_items").alias("antecedent")).distinct())
         kept = kept.unionByName(level.join(redundant, [label, "antecedent"], "left_anti"))
         if checkpoint:
             kept = reliable(kept)
@@ -88,6 +88,11 @@ def representative_rules(rules: DataFrame, label: str = "label_id", **weights) -
     return best.select(label, "r.*")
 
 
+def top_representatives(rules: DataFrame, n: int = 10, label: str = "label_id", **weights) -> DataFrame:
+    """R3 + O5: representatives by score, the highest first, the first ``n``; ties by label."""
+    return representative_rules(rules, label, **weights).orderBy(F.col("rep_score").desc(), F.col(label).asc()).limit(n)
+
+
 def diverse_top_rules(rules: DataFrame, top_n: int = 10, max_per_label: int = 2,
                       label: str = "label_id") -> DataFrame:
     """R2: global order growth desc, lift desc; at most ``max_per_label`` per label; first ``top_n``.

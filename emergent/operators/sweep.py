@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from emergent.operators.containment import containment_join
 from emergent.operators.contrast import growth_rate, high_contrast, negative_support
-from emergent.operators.mining import ITEMSET_CAP, TOO_MANY, mine_label_rules, restrict_support
+from emergent.operators.mining import mine_label_rules, restrict_support
 from emergent.operators.mining import OK as OK_MINED
 from emergent.operators.transactions import prune_transactions, total
 from emergent.session import reliable
@@ -31,7 +31,6 @@ HIT_WEIGHT = 10000
 
 OK = "ok"
 NO_RULES = "no_rules"
-STOPPED = "stopped"
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("supp_idx", T.IntegerType()),
@@ -77,12 +76,6 @@ def _matches(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test
                   ["entity_id", "label_id"], "left"))
 
 
-def _fixed_cells(spark, si: int, s: float, confidences: Sequence[float], status: str,
-                 start: int = 0) -> DataFrame:
-    rows = [(si, ci, float(s), float(c), 0, 0, 0, status) for ci, c in enumerate(confidences) if ci >= start]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
-
-
 @dataclass
 class SweepResult:
     report: DataFrame
@@ -92,21 +85,20 @@ class SweepResult:
 def sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs: DataFrame,
           test_pairs: DataFrame, supports: Sequence[float] = SUPPORT_GRID,
           confidences: Sequence[float] = CONFIDENCE_GRID, min_growth: float = 3.0,
-          max_antecedent: int = 3, itemset_cap: int | None = ITEMSET_CAP) -> DataFrame:
+          max_antecedent: int | None = None) -> DataFrame:
     """G1-G5 report (see ``run_sweep``)."""
     return run_sweep(tx_pos, entities, neg_tx, known_pairs, test_pairs, supports, confidences,
-                     min_growth, max_antecedent, itemset_cap).report
+                     min_growth, max_antecedent).report
 
 
 def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_pairs: DataFrame,
               test_pairs: DataFrame, supports: Sequence[float] = SUPPORT_GRID,
               confidences: Sequence[float] = CONFIDENCE_GRID, min_growth: float = 3.0,
-              max_antecedent: int = 3, itemset_cap: int | None = ITEMSET_CAP) -> SweepResult:
-    """One report row per evaluated cell (supp, conf, n_rules, hits, novel, status).
+              max_antecedent: int | None = None) -> SweepResult:
+    """One report row per cell of the grid (supp, conf, n_rules, hits, novel, status).
 
     Statuses: ``ok``; ``no_rules`` (nothing mined at this cell, including an
-    empty pruned set - the sweep continues); ``stopped`` (itemset cap hit: the
-    rest of that support is logged and the sweep ends, supports being ordered).
+    empty pruned set).  Every cell is evaluated.
     """
     spark = tx_pos.sparkSession
     grid = spark.createDataFrame([(i, float(c)) for i, c in enumerate(confidences)],
@@ -124,27 +116,21 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     base = base_contrast = base_matches = None
     if same:
         lo = min(same, key=lambda i: supports[i])
-        base = mine_label_rules(tx_pos, supports[lo], min_conf, max_antecedent=max_antecedent,
-                                itemset_cap=itemset_cap)
-        if base.status == TOO_MANY:
-            base = None
-        elif base.status == OK_MINED:
+        base = mine_label_rules(tx_pos, supports[lo], min_conf, max_antecedent=max_antecedent)
+        if base.status == OK_MINED:
             base_contrast = reliable(growth_rate(negative_support(base.rules, neg_tx, n_neg)), "contrast")
     for si, s in enumerate(supports):
         if base is not None and si in same:
-            mined = restrict_support(base, s, itemset_cap)
+            mined = restrict_support(base, s)
         else:
             ptx = reliable(pruned[si].tx, "tx-pruned", spread=True) if pruned[si].changed else pruned[si].tx
-            mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent, itemset_cap=itemset_cap)
-        if mined.status == TOO_MANY:
-            parts.append(_fixed_cells(spark, si, s, confidences, STOPPED))
-            break
+            mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent)
         mined_rules = mined.rules
         n_mined = at_least(mined_rules, "confidence", {"n_mined": F.count(F.lit(1))})
         if base_contrast is not None and si in same:
             contrasted = base_contrast.filter(F.col("n_rule") >= F.lit(mined.min_count))
         else:
-            contrasted = growth_rate(negative_support(mined_rules, neg_tx, n_neg))
+            contrasted = reliable(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), "contrast")
         rules = high_contrast(contrasted, min_growth)
         high_rules[si] = rules
         n_rules = at_least(rules, "confidence", {"n_rules": F.count(F.lit(1))})

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emergent.functions.items import prefixed
+from emergent.session import reliable
 
 
 def pair_counts(assoc: DataFrame, entity: str = "entity_id", label: str = "label_id") -> DataFrame:
@@ -85,8 +86,8 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
     """
     n = total(tx) if n_total is None else n_total
     thr = float(min_support) * n
-    fq = feature_frequency(tx, features)
-    lq = label_frequency(tx, label)
+    fq = reliable(feature_frequency(tx, features), "feature-frequency")
+    lq = reliable(label_frequency(tx, label), "label-frequency")
     ff = fq.filter(F.col("frequency") >= F.lit(thr))
     lf = lq.filter(F.col("frequency") >= F.lit(thr))
     infrequent = (fq.filter(F.col("frequency") < F.lit(thr)).select(F.lit(1).alias("_x"))
@@ -106,11 +107,16 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
 
 
 def vocabulary_stats(tx: DataFrame, pruned: Pruned, label: str = "label_id",
-                     features: str = "features") -> DataFrame:
-    """A5: vocabulary and transaction counts before and after pruning (one row of scalars)."""
-    spark = tx.sparkSession
-    items_before = item_frequency(tx, label, features).count()
-    items_after = pruned.frequent_features.count() + pruned.frequent_labels.count()
-    tx_after = total(pruned.tx)
-    return spark.createDataFrame([(items_before, items_after, pruned.n_before, tx_after)],
-                                 "items_before bigint, items_after bigint, tx_before bigint, tx_after bigint")
+                     features: str = "features", weight: str = "multiplicity") -> DataFrame:
+    """A5: vocabulary and transaction counts before and after pruning, as one lazy row."""
+    def one(df: DataFrame, name: str, value: Column) -> DataFrame:
+        return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("v")).select(F.lit(name).alias("k"), "v")
+
+    rows = F.count(F.lit(1))
+    parts = (one(item_frequency(tx, label, features), "items_before", rows)
+             .unionByName(one(pruned.frequent_features, "items_after", rows))
+             .unionByName(one(pruned.frequent_labels, "items_after", rows))
+             .unionByName(one(tx, "tx_before", F.sum(weight)))
+             .unionByName(one(pruned.tx, "tx_after", F.sum(weight))))
+    return parts.agg(*(F.sum(F.when(F.col("k") == name, F.col("v"))).alias(name)
+                       for name in ("items_before", "items_after", "tx_before", "tx_after")))

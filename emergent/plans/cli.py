@@ -9,8 +9,8 @@ name and label id at configurable positions) and an association CSV with a
 header (entity id, label id, label name, status).  Outputs (under ``--out``):
 the class x split association table, the non-redundant high-contrast rules,
 the candidates with bridge evidence, representative / diverse rules, the three
-rankings, the hold-out summary and, with ``--sweep``, the sweep report and the
-refined rules of its best cell.  The session comes from ``spark-submit``; the
+rankings with evidence, the hold-out summary and, with ``--sweep``, the sweep
+report and the same tables (``sweep_best_*``) for the rules of its best cell.  The session comes from ``spark-submit``; the
 checkpoint folder is read from ``spark.checkpoint.dir``.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emergent.functions.items import INF
-from emergent.operators import discover, refine, split, sweep
-from emergent.plans.flow import Flow, Inputs, Params
+from emergent.operators import refine, split, sweep
+from emergent.plans.flow import Flow, Inputs, Params, close
 from emergent.session import reliable
 from emergent.sources import delimited, sinks, xml
 
@@ -50,45 +50,38 @@ def inputs_from_files(spark: SparkSession, entities_xml: str, bridge_tsv: str, a
 
 
 def _gr_text(df: DataFrame, c: str) -> DataFrame:
+    if c not in df.columns:
+        return df
     return df.withColumn(c, F.when(F.col(c) == F.lit(INF), F.lit(None).cast("double")).otherwise(F.col(c)))
 
 
 def run(flow: Flow, out_dir: str, with_sweep: bool = False) -> dict[str, str]:
     """Compute and write every result table; returns name -> path."""
-    p = flow.params
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, fmt: str = "csv") -> None:
-        path = os.path.join(out_dir, name)
-        if fmt == "csv":
-            sinks.write_csv(df, path)
-        else:
-            df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+    def put(name: str, df: DataFrame) -> None:
+        paths[name] = os.path.join(out_dir, name)
+        sinks.write_csv(df, paths[name])
 
     sinks.write_splits(flow.assoc.drop("split_key"), os.path.join(out_dir, "splits"))
     paths["splits"] = os.path.join(out_dir, "splits")
-    rules = flow.nonredundant
-    sinks.write_rules(_gr_text(rules, "growth_rate"), os.path.join(out_dir, "rules"), fmt="csv")
-    paths["rules"] = os.path.join(out_dir, "rules")
-    cands = discover.bridge_evidence(flow.candidates_dedup, flow.entity_bridge, flow.label_bridge)
-    sinks.write_candidates(_gr_text(cands.drop("bridge"), "rule_growth_rate"), os.path.join(out_dir, "candidates"))
-    paths["candidates"] = os.path.join(out_dir, "candidates")
-    put("representative_rules", _gr_text(refine.representative_rules(rules), "growth_rate"))
-    put("diverse_top_rules", _gr_text(refine.diverse_top_rules(rules, p.top_n, p.max_per_label), "growth_rate"))
-    put("top_by_confidence", _gr_text(discover.top_by_confidence(flow.candidates_dedup, p.show),
-                                      "rule_growth_rate"))
-    put("top_by_growth", _gr_text(discover.top_by_growth(flow.candidates_dedup, p.show), "rule_growth_rate"))
-    put("long_tail", _gr_text(discover.long_tail(flow.candidates_dedup, p.show, p.show), "rule_growth_rate"))
-    put("holdout_summary", discover.holdout_summary(flow.candidates_dedup, flow.pos_test_pairs,
-                                                    flow.pos_train_pairs))
+
+    def put_all(tables: dict[str, DataFrame], prefix: str) -> None:
+        for name, df in tables.items():
+            out = _gr_text(_gr_text(_gr_text(df, "growth_rate"), "rule_growth_rate"), "conviction")
+            path = os.path.join(out_dir, prefix + name)
+            if name == "rules":
+                sinks.write_rules(out, path, fmt="csv")
+            elif name == "candidates":
+                sinks.write_candidates(out.drop("bridge"), path)
+            else:
+                sinks.write_csv(out.drop("bridge"), path)
+            paths[prefix + name] = path
+
+    put_all(flow.results, "")
     if with_sweep:
-        result = flow.sweep_result
-        put("sweep_report", result.report)
-        best = sweep.best_cell_rules(result)
-        if best is not None:
-            put("sweep_best_rules", _gr_text(refine.remove_redundant(best, p.conf_tol, p.supp_tol, p.gr_tol),
-                                             "growth_rate"))
+        put("sweep_report", flow.sweep_result.report)
+        put_all(flow.best_results, "sweep_best_")
     return paths
 
 
@@ -117,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     inputs = inputs_from_files(spark, a.entities_xml, a.bridge_tsv, a.associations_csv)
     for name, path in run(Flow(spark, None, params, given=inputs), a.out, a.sweep).items():
         print(f"{name}\t{path}")
+    close()
 
 
 if __name__ == "__main__":

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emergent.operators import contrast, discover, mining, refine, split, sweep, transactions
-from emergent.session import reliable
+from emergent.session import release, reliable
 from emergent.sources import standin
 
 
@@ -31,7 +31,7 @@ class Params:
     min_confidence: float = 0.05
     min_growth: float = 1.5
     prune_support: float = 0.04
-    max_antecedent: int = 3
+    max_antecedent: int | None = None   # None: rules of any length
     conf_tol: float = 0.05
     supp_tol: float = 0.02
     gr_tol: float = 1.0
@@ -246,12 +246,52 @@ class Flow:
         return discover.candidates(self.nonredundant, self.entities, self.pos_train_pairs,
                                    self.pos_test_pairs, self.neg_pairs)
 
+    def candidates_of(self, rules: DataFrame) -> DataFrame:
+        """One row per (entity, label) of some rules' matches, written once.
+
+        De-duplicated on ids first; the pair joins and the names follow on what is left.
+        """
+        best = discover.dedup_candidates(discover.rule_matches(rules, self.entities), prefer=self.params.dedup_prefer)
+        d = discover.label_pairs(best, self.entities, self.pos_train_pairs, self.pos_test_pairs, self.neg_pairs)
+        return reliable(d.join(self.label_names, "label_id", "left"), "candidates")
+
     @cached_property
     def candidates_dedup(self) -> DataFrame:
-        """One row per (entity, label), written once: the rankings, the long tail,
-        the hold-out summary and the bridge evidence all read it."""
-        d = discover.dedup_candidates(self.candidates, prefer=self.params.dedup_prefer)
-        return reliable(d.join(self.label_names, "label_id", "left"), "candidates")
+        """The rankings, the long tail, the hold-out summary and the bridge evidence all read it."""
+        return self.candidates_of(self.nonredundant)
+
+    def with_evidence(self, cands: DataFrame) -> DataFrame:
+        return discover.bridge_evidence(cands, self.entity_bridge, self.label_bridge)
+
+    def result_tables(self, rules: DataFrame, cands: DataFrame) -> dict[str, DataFrame]:
+        """R2-R10 of some non-redundant rules and their candidates: what the source reports and writes.
+
+        The main flow and the sweep's best cell both go through here.
+        """
+        p = self.params
+        return {
+            "rules": rules,
+            "candidates": self.with_evidence(cands),
+            "representative_rules": refine.top_representatives(rules, p.top_n),
+            "diverse_top_rules": refine.diverse_top_rules(rules, p.top_n, p.max_per_label),
+            "top_by_confidence": self.with_evidence(discover.top_by_confidence(cands, p.show)),
+            "top_by_growth": self.with_evidence(discover.top_by_growth(cands, p.show)),
+            "long_tail": self.with_evidence(discover.long_tail(cands, p.show, p.show)),
+            "holdout_summary": discover.holdout_summary(cands, self.pos_test_pairs, self.pos_train_pairs),
+        }
+
+    @cached_property
+    def results(self) -> dict[str, DataFrame]:
+        return self.result_tables(self.nonredundant, self.candidates_dedup)
+
+    @cached_property
+    def best_results(self) -> dict[str, DataFrame]:
+        """The same tables from the high-contrast rules of the sweep's best cell."""
+        p = self.params
+        best = sweep.best_cell_rules(self.sweep_result)
+        best = self.high.limit(0) if best is None else best
+        rules = refine.remove_redundant(best, p.conf_tol, p.supp_tol, p.gr_tol)
+        return self.result_tables(rules, self.candidates_of(rules))
 
     @cached_property
     def sweep_result(self) -> sweep.SweepResult:
@@ -266,6 +306,12 @@ class Flow:
                                      discover.bridge_by_name(self.bridge_rows))
 
 
+def close() -> None:
+    """Forget all flows and delete the tables that they wrote."""
+    _FLOWS.clear()
+    release()
+
+
 _FLOWS: dict[tuple[str, str, Params], Flow] = {}
 
 

@@ -4,7 +4,7 @@ Written independently of the Spark code from the same definitions, over the
 raw tables (``lineitem orders customer nation supplier part``).  Floating
 point follows the same operation order as the Spark side (double casts, then
 divide), so equal integer counts give bit-equal doubles.  Item sets are
-enumerated with plain self-joins (a < b < c) rather than any miner.
+enumerated as the subsets of every transaction, of all lengths, rather than by any miner.
 """
 
 from __future__ import annotations
@@ -75,21 +75,18 @@ ptx{sfx} AS (SELECT t.entity_id, t.label_id, t.multiplicity, pe.features FROM tx
              WHERE t.label_id IN (SELECT label_id FROM lf{sfx}))"""
 
 
-def _rules(s: float, min_conf: float, sfx: str, max_ante: int = 3) -> str:
-    """Label rules with antecedents of length 1..3 from ptx{sfx} -> rules{sfx}."""
+def _subsets(items: str) -> str:
+    """All non-empty subsets of a list, unnested."""
+    return (f"unnest(list_transform(range(1, 1 << len({items})), "
+            f"lambda m: list_filter({items}, lambda x, i: ((m >> (i - 1)) & 1) = 1)))")
+
+
+def _rules(s: float, min_conf: float, sfx: str) -> str:
+    """Label rules with antecedents of any length from ptx{sfx} -> rules{sfx}."""
     return f"""
 npt{sfx} AS (SELECT sum(multiplicity) AS n FROM ptx{sfx}),
 mc{sfx} AS (SELECT ceil({_d(s)} * CAST(n AS DOUBLE)) AS c, n FROM npt{sfx}),
-xi{sfx} AS (SELECT entity_id, label_id, multiplicity AS m, unnest(features) AS a FROM ptx{sfx}),
-sets{sfx} AS (
-  SELECT [p.a] AS ante, p.label_id, p.m FROM xi{sfx} p
-  UNION ALL
-  SELECT [p.a, q.a], p.label_id, p.m FROM xi{sfx} p JOIN xi{sfx} q
-    ON p.entity_id = q.entity_id AND p.label_id = q.label_id AND p.a < q.a
-  UNION ALL
-  SELECT [p.a, q.a, r.a], p.label_id, p.m FROM xi{sfx} p JOIN xi{sfx} q
-    ON p.entity_id = q.entity_id AND p.label_id = q.label_id AND p.a < q.a
-    JOIN xi{sfx} r ON r.entity_id = p.entity_id AND r.label_id = p.label_id AND q.a < r.a),
+sets{sfx} AS (SELECT {_subsets('features')} AS ante, label_id, multiplicity AS m FROM ptx{sfx}),
 cnt{sfx} AS (SELECT ante, label_id, sum(m) AS n_rule FROM sets{sfx} GROUP BY ante, label_id),
 acnt{sfx} AS (SELECT ante, sum(n_rule) AS n_ante FROM cnt{sfx} GROUP BY ante),
 labc{sfx} AS (SELECT label_id, sum(multiplicity) AS n_label FROM ptx{sfx} GROUP BY label_id),
@@ -98,7 +95,11 @@ rm{sfx} AS (
          CAST(a.n_ante AS BIGINT) AS n_ante, CAST(l.n_label AS BIGINT) AS n_label,
          CAST(c.n_rule AS DOUBLE) / CAST(mc.n AS DOUBLE) AS support,
          CAST(c.n_rule AS DOUBLE) / CAST(a.n_ante AS DOUBLE) AS confidence,
-         (CAST(c.n_rule AS DOUBLE) / CAST(a.n_ante AS DOUBLE)) / (CAST(l.n_label AS DOUBLE) / CAST(mc.n AS DOUBLE)) AS lift
+         (CAST(c.n_rule AS DOUBLE) / CAST(a.n_ante AS DOUBLE)) / (CAST(l.n_label AS DOUBLE) / CAST(mc.n AS DOUBLE)) AS lift,
+         CAST(c.n_rule AS DOUBLE) / CAST(mc.n AS DOUBLE)
+           - (CAST(a.n_ante AS DOUBLE) / CAST(mc.n AS DOUBLE)) * (CAST(l.n_label AS DOUBLE) / CAST(mc.n AS DOUBLE)) AS leverage,
+         CASE WHEN c.n_rule < a.n_ante THEN ({_d(1.0)} - CAST(l.n_label AS DOUBLE) / CAST(mc.n AS DOUBLE))
+           / ({_d(1.0)} - CAST(c.n_rule AS DOUBLE) / CAST(a.n_ante AS DOUBLE)) END AS conviction
   FROM cnt{sfx} c JOIN acnt{sfx} a USING (ante) JOIN labc{sfx} l USING (label_id) CROSS JOIN mc{sfx} mc
   WHERE c.n_rule >= mc.c),
 rules{sfx} AS (SELECT * FROM rm{sfx} WHERE confidence >= {_d(min_conf)})"""
@@ -128,14 +129,14 @@ def _nonred(p: Params) -> str:
                 f"AND abs({a}.support - {b}.support) <= {_d(p.supp_tol)} "
                 f"AND (abs({_fin(a + '.growth_rate')} - {_fin(b + '.growth_rate')}) <= {_d(p.gr_tol)} "
                 f"OR ({a}.growth_rate = {INF} AND {b}.growth_rate = {INF}))")
-    return f"""
-k1 AS (SELECT * FROM high WHERE len(ante) = 1),
-k2 AS (SELECT h.* FROM high h WHERE len(h.ante) = 2 AND NOT EXISTS (
-        SELECT 1 FROM k1 WHERE k1.label_id = h.label_id AND list_has_all(h.ante, k1.ante) AND {close('h', 'k1')})),
-k12 AS (SELECT * FROM k1 UNION ALL SELECT * FROM k2),
-k3 AS (SELECT h.* FROM high h WHERE len(h.ante) = 3 AND NOT EXISTS (
-        SELECT 1 FROM k12 WHERE k12.label_id = h.label_id AND list_has_all(h.ante, k12.ante) AND {close('h', 'k12')})),
-nonred AS (SELECT * FROM k12 UNION ALL SELECT * FROM k3)"""
+    # One level per length; stand-in entities have five features.
+    levels = ["\nkept1 AS (SELECT * FROM high WHERE len(ante) = 1)"]
+    for k in range(2, 6):
+        levels.append(f"""
+kept{k} AS (SELECT * FROM kept{k - 1} UNION ALL
+        SELECT h.* FROM high h WHERE len(h.ante) = {k} AND NOT EXISTS (SELECT 1 FROM kept{k - 1} s
+          WHERE s.label_id = h.label_id AND list_has_all(h.ante, s.ante) AND {close('h', 's')}))""")
+    return ",".join(levels) + ",\nnonred AS (SELECT * FROM kept5)"
 
 
 def _discovery() -> str:
@@ -183,13 +184,11 @@ cap AS (SELECT coalesce(max(growth_rate) FILTER (WHERE growth_rate <> {INF}), {_
 scored AS (SELECT n.*, (n.confidence * 100) + ((CASE WHEN n.growth_rate = {INF} THEN cap.cap
            ELSE n.growth_rate END) * {_d(2.0)}) + (n.support * 2000) AS rep_score FROM nonred n CROSS JOIN cap)"""
     ranked_cols = (f"entity_id, label_id, label_name, {ANTE}, rule_confidence, "
-                   f"{_gr_out('rule_growth_rate')} AS rule_growth_rate, is_hit")
+                   f"{_gr_out('rule_growth_rate')} AS rule_growth_rate, is_hit, coalesce(s.t, 'indirect') AS bridge_text")
+    from_top = "FROM {} LEFT JOIN bsets s USING (entity_id, label_id)"
     top_conf = f"SELECT * FROM dedup ORDER BY rule_confidence DESC, entity_id, label_id LIMIT {p.show}"
     top_gr = (f"SELECT * FROM dedup ORDER BY rule_growth_rate DESC, rule_confidence DESC, entity_id, label_id "
               f"LIMIT {p.show}")
-    fixed2 = ("(CAST(CAST(floor(floor(g * 100.0 + 0.5) / 100) AS BIGINT) AS VARCHAR) || '.' || "
-              "lpad(CAST(CAST(floor(g * 100.0 + 0.5) - floor(floor(g * 100.0 + 0.5) / 100) * 100 AS BIGINT) "
-              "AS VARCHAR), 2, '0'))")
     q: dict[str, str] = {}
     q["entity_features"] = _with(base) + (
         " SELECT entity_id, entity_name, array_to_string(features, ' ') AS features, "
@@ -231,23 +230,12 @@ SELECT
     q["frequent_itemsets"] = _with(base, _pruned(p.min_support, "")) + f""",
 npt AS (SELECT sum(multiplicity) AS n FROM ptx),
 mc AS (SELECT ceil({_d(p.min_support)} * CAST(n AS DOUBLE)) AS c FROM npt),
-it AS (SELECT entity_id, label_id, multiplicity AS m,
-       unnest(list_concat(features, ['LABEL_' || CAST(label_id AS VARCHAR)])) AS a FROM ptx),
-sets AS (
-  SELECT [p.a] AS items, p.m FROM it p
-  UNION ALL SELECT [p.a, q.a], p.m FROM it p JOIN it q
-    ON p.entity_id = q.entity_id AND p.label_id = q.label_id AND p.a < q.a
-  UNION ALL SELECT [p.a, q.a, r.a], p.m FROM it p JOIN it q
-    ON p.entity_id = q.entity_id AND p.label_id = q.label_id AND p.a < q.a
-    JOIN it r ON r.entity_id = p.entity_id AND r.label_id = p.label_id AND q.a < r.a
-  UNION ALL SELECT [p.a, q.a, r.a, s.a], p.m FROM it p JOIN it q
-    ON p.entity_id = q.entity_id AND p.label_id = q.label_id AND p.a < q.a
-    JOIN it r ON r.entity_id = p.entity_id AND r.label_id = p.label_id AND q.a < r.a
-    JOIN it s ON s.entity_id = p.entity_id AND s.label_id = p.label_id AND r.a < s.a)
+it AS (SELECT list_concat(features, ['LABEL_' || CAST(label_id AS VARCHAR)]) AS items, multiplicity AS m FROM ptx),
+sets AS (SELECT {_subsets('list_sort(items)')} AS items, m FROM it)
 SELECT array_to_string(items, ' ') AS items, CAST(sum(m) AS BIGINT) AS freq FROM sets
 GROUP BY items HAVING sum(m) >= (SELECT c FROM mc)"""
     q["label_rules_m2"] = mine + (f" SELECT {ANTE}, label_id, length, n_rule, n_ante, n_label, support, "
-                                  "confidence, lift FROM rules")
+                                  "confidence, lift, leverage, conviction FROM rules")
     q["label_rules_m1"] = mine + f" SELECT {ANTE}, label_id, length, support, confidence, lift FROM rules"
     q["negative_support"] = contrast + (f" SELECT {ANTE}, label_id, n_neg_match, n_neg_total, support_neg "
                                         "FROM gr")
@@ -274,30 +262,75 @@ SELECT {ANTE}, label_id, {_gr_out('growth_rate')} AS growth_rate, is_jumping, li
     q["candidates_dedup"] = disc + (f" SELECT entity_id, entity_name, label_id, {ANTE}, rule_confidence, "
                                     f"{_gr_out('rule_growth_rate')} AS rule_growth_rate, rule_lift, is_hit, "
                                     "known_negative FROM dedup")
-    q["bridge_evidence"] = disc + """,
-has_id AS (SELECT DISTINCT label_key FROM bridge_rows),
-lab AS (SELECT label_id, label_name, CASE WHEN CAST(label_id AS VARCHAR) LIKE 'MESH:%' THEN CAST(label_id AS VARCHAR)
-        ELSE 'MESH:' || CAST(label_id AS VARCHAR) END AS idk, lower(label_name) AS nk FROM labels),
-lbl AS (
-  SELECT DISTINCT lab.label_id, b.bridge_item FROM lab JOIN bridge_rows b ON b.label_key = lab.idk
-  UNION
-  SELECT DISTINCT lab.label_id, b.bridge_item FROM lab JOIN bridge_rows b ON lower(b.label_name) = lab.nk
-  WHERE lab.idk NOT IN (SELECT label_key FROM has_id)),
-eb AS (SELECT DISTINCT l_partkey AS entity_id, CAST(l_suppkey AS VARCHAR) AS bridge_item FROM lineitem),
-shared AS (SELECT d.entity_id, d.label_id, eb.bridge_item FROM dedup d JOIN eb USING (entity_id)
-           JOIN lbl ON lbl.label_id = d.label_id AND lbl.bridge_item = eb.bridge_item),
-bsets AS (SELECT entity_id, label_id, array_to_string(list_sort(list(bridge_item)), ', ') AS t
-         FROM shared GROUP BY entity_id, label_id)
+    q["bridge_evidence"] = disc + _EVIDENCE + """
 SELECT d.entity_id, d.label_id, coalesce(s.t, 'indirect') AS bridge_text
 FROM dedup d LEFT JOIN bsets s USING (entity_id, label_id)"""
-    q["top_by_confidence"] = disc + f", top AS ({top_conf}) SELECT {ranked_cols} FROM top"
-    q["top_by_growth"] = disc + f", top AS ({top_gr}) SELECT {ranked_cols} FROM top"
-    q["long_tail"] = disc + f""",
+    q["top_by_confidence"] = disc + _EVIDENCE + f", top AS ({top_conf}) SELECT {ranked_cols} {from_top.format('top')}"
+    q["top_by_growth"] = disc + _EVIDENCE + f", top AS ({top_gr}) SELECT {ranked_cols} {from_top.format('top')}"
+    long_tail = f"""
 shown AS (SELECT label_id FROM ({top_conf}) UNION SELECT label_id FROM ({top_gr})),
 rest AS (SELECT *, row_number() OVER (PARTITION BY label_id ORDER BY rule_confidence DESC, entity_id) AS rn2
          FROM dedup WHERE label_id NOT IN (SELECT label_id FROM shown)),
-tail AS (SELECT * FROM rest WHERE rn2 = 1 ORDER BY rule_confidence DESC, entity_id, label_id LIMIT {p.show})
-SELECT {ranked_cols} FROM tail"""
+tail AS (SELECT * FROM rest WHERE rn2 = 1 ORDER BY rule_confidence DESC, entity_id, label_id LIMIT {p.show})"""
+    q["long_tail"] = disc + _EVIDENCE + "," + long_tail + f" SELECT {ranked_cols} {from_top.format('tail')}"
+    top_rep = f"""
+best AS (SELECT *, row_number() OVER (PARTITION BY label_id ORDER BY rep_score DESC, len(ante) ASC,
+         array_to_string(ante, ' ') DESC) AS rn FROM scored)
+SELECT CAST(row_number() OVER (ORDER BY rep_score DESC, label_id) AS INTEGER) AS place, label_id, {ANTE}, rep_score,
+  confidence, support, {_gr_out('growth_rate')} AS growth_rate, is_jumping
+FROM best WHERE rn = 1 ORDER BY rep_score DESC, label_id LIMIT {p.top_n}"""
+    q["representative_top"] = refined + "," + scored + "," + top_rep
+    best = _best(p, base)
+    q["sweep_best_rules"] = best + f" SELECT {rule_cols} FROM nonred"
+    best_disc = best + "," + _discovery()
+    q["sweep_best_candidates"] = best_disc + _EVIDENCE + (
+        f" SELECT entity_id, entity_name, label_id, {ANTE}, rule_confidence, {_gr_out('rule_growth_rate')} AS "
+        f"rule_growth_rate, is_hit, known_negative, coalesce(s.t, 'indirect') AS bridge_text {from_top.format('dedup')}")
+    q["sweep_best_rankings"] = best_disc + _EVIDENCE + "," + long_tail + "," + f"""
+t1 AS ({top_conf}), t2 AS ({top_gr})
+SELECT {ranked_cols}, 'top_by_confidence' AS ranking {from_top.format('t1')}
+UNION ALL SELECT {ranked_cols}, 'top_by_growth' AS ranking {from_top.format('t2')}
+UNION ALL SELECT {ranked_cols}, 'long_tail' AS ranking {from_top.format('tail')}"""
+    q["sweep_best_representatives"] = best + "," + scored + "," + top_rep
+    q["prefix_candidates"] = refined + """,
+r AS (SELECT label_id, list_filter(ante, lambda x: x LIKE 'BRAND\\_%' ESCAPE '\\' OR x LIKE 'TYPE\\_%' ESCAPE '\\') AS a
+      FROM nonred),
+m AS (SELECT e.entity_id, r.label_id FROM r JOIN ent e ON len(r.a) > 0 AND list_has_all(e.features, r.a)
+      WHERE NOT EXISTS (SELECT 1 FROM pp WHERE pp.entity_id = e.entity_id AND pp.label_id = r.label_id))
+SELECT m.entity_id, m.label_id, count(*) AS n_rules, EXISTS (SELECT 1 FROM tp WHERE tp.entity_id = m.entity_id
+  AND tp.label_id = m.label_id) AS is_hit FROM m GROUP BY m.entity_id, m.label_id""".replace("\\\\", "\\")
+    q["bridge_arms"] = _with(base) + """,
+k AS (SELECT DISTINCT label_key FROM bridge_rows WHERE label_key NOT LIKE '%7'),
+nm AS (SELECT DISTINCT lower(label_name) AS n FROM bridge_rows WHERE label_key LIKE '%7'),
+l AS (SELECT ('MESH:' || label_id) IN (SELECT label_key FROM k) AS i, lower(label_name) IN (SELECT n FROM nm) AS m FROM labels)
+SELECT count(*) AS n_labels, count(*) FILTER (WHERE i) AS by_id, count(*) FILTER (WHERE NOT i AND m) AS by_name,
+  count(*) FILTER (WHERE NOT i AND NOT m) AS unmatched FROM l"""
+    q["bridge_case"] = _with(base) + """,
+eb AS (SELECT DISTINCT l_partkey AS entity_id, l_suppkey FROM lineitem),
+lb AS (SELECT s_nationkey AS label_id, s_suppkey FROM supplier),
+x AS (SELECT t.entity_id, t.label_id, list('SUP' || eb.l_suppkey || 'ORF') AS b FROM tp t JOIN eb USING (entity_id)
+      JOIN lb ON lb.label_id = t.label_id AND lb.s_suppkey = eb.l_suppkey GROUP BY t.entity_id, t.label_id)
+SELECT tp.entity_id, tp.label_id, coalesce(array_to_string(list_sort(x.b), ', '), 'indirect') AS bridge_text
+FROM tp LEFT JOIN x USING (entity_id, label_id)"""
+    q["split_sink"] = _with(base) + (
+        " SELECT order_key, line_number, entity_id, label_id, label_name, status, class, split FROM assoc"
+        " WHERE class = 'negative'")
+    q["rule_sink"] = refined + (f" SELECT array_to_string(list_sort(ante), ', ') AS antecedent, label_id, support, confidence, "
+                                f"lift, {_gr_out('growth_rate')} AS growth_rate, is_jumping FROM nonred")
+    q["candidate_sink"] = disc + _EVIDENCE + (
+        " SELECT entity_id, label_id, array_to_string(list_sort(ante), ', ') AS antecedent, rule_confidence, is_hit, "
+        f"coalesce(s.t, 'indirect') AS bridge_text {from_top.format('dedup')}")
+    q["csv_quoted"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS entity_id, 'he said "' || p_name || '", ok' AS label_name,
+  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS label_id, 'Approved' AS status,
+  CASE WHEN p_partkey % 3 = 0 THEN '"' ELSE 'z,' END AS phase FROM part"""
+    q["tsv_quoted"] = """
+SELECT p_brand AS bridge_item, 'the "' || p_name || '" name' AS label_name, 'MESH:' || p_partkey AS label_key
+FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 4 <> 1 AND p_partkey % 6 <> 1"""
+    q["xml_nested_genes"] = """
+SELECT 'P' || p_partkey AS entity_id, CASE WHEN p_partkey % 5 = 0 THEN 'P' || p_partkey ELSE p_name END AS entity_name,
+  'TARGET_' || replace(p_brand, ' ', '_') AS features,
+  'A' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN ', B1' ELSE '' END AS bridge FROM part"""
     q["holdout_summary"] = disc + """,
 reach AS (SELECT count(*) AS n FROM tp WHERE NOT EXISTS (
             SELECT 1 FROM pp WHERE pp.entity_id = tp.entity_id AND pp.label_id = tp.label_id)),
@@ -308,7 +341,6 @@ SELECT hs.*, CASE WHEN n_candidates > 0 THEN CAST(hits AS DOUBLE) / CAST(n_candi
 FROM hs CROSS JOIN reach"""
     q["sweep_report"] = _sweep_sql(p, base)
     q["sweep_best"] = _sweep_sql(p, base, best=True)
-    q["sweep_best_rules"] = _sweep_best_rules_sql(p, base)
     q["xml_entity_scan"] = """
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS entity_name,
   array_to_string(['TARGET_' || replace(p_brand, ' ', '_'),
@@ -326,7 +358,7 @@ FROM part"""
 SELECT {ANTE}, n.label_id,
   array_to_string(list_transform(list_sort(ante), lambda x: '[' || x || ']'), ', ') AS antecedent_display,
   '【' || lb.label_name || '】' AS label_display,
-  CASE WHEN growth_rate = {INF} THEN '∞' ELSE {fixed2.replace('g', 'growth_rate')} END AS growth_display
+  CASE WHEN growth_rate = {INF} THEN '∞' ELSE format('{{:.2f}}', growth_rate) END AS growth_display
 FROM nonred n LEFT JOIN labels lb USING (label_id)"""
     return q
 
@@ -378,11 +410,28 @@ def _sweep_sql(p: Params, base: str, best: bool = False) -> str:
     return sql + " SELECT * FROM report"
 
 
-def _sweep_best_rules_sql(p: Params, base: str) -> str:
+def _best(p: Params, base: str) -> str:
+    """The best cell's high-contrast rules and what is left without redundant ones -> high, nonred."""
     parts = _sweep_ctes(p, base)
     parts.append("""
 high AS (SELECT h.* EXCLUDE (supp_idx) FROM hall h JOIN bestc b ON h.supp_idx = b.supp_idx
          WHERE h.confidence >= b.conf AND b.status = 'ok')""")
     parts.append(_nonred(p))
-    return _with(*parts) + (f" SELECT {ANTE}, label_id, support, confidence, lift, "
-                            f"{_gr_out('growth_rate')} AS growth_rate, is_jumping FROM nonred")
+    return _with(*parts)
+
+
+#: Bridge items that a de-duplicated candidate's entity and label share -> bsets.
+_EVIDENCE = """,
+has_id AS (SELECT DISTINCT label_key FROM bridge_rows),
+lab AS (SELECT label_id, label_name, CASE WHEN CAST(label_id AS VARCHAR) LIKE 'MESH:%' THEN CAST(label_id AS VARCHAR)
+        ELSE 'MESH:' || CAST(label_id AS VARCHAR) END AS idk, lower(label_name) AS nk FROM labels),
+lbl AS (
+  SELECT DISTINCT lab.label_id, b.bridge_item FROM lab JOIN bridge_rows b ON b.label_key = lab.idk
+  UNION
+  SELECT DISTINCT lab.label_id, b.bridge_item FROM lab JOIN bridge_rows b ON lower(b.label_name) = lab.nk
+  WHERE lab.idk NOT IN (SELECT label_key FROM has_id)),
+eb AS (SELECT DISTINCT l_partkey AS entity_id, CAST(l_suppkey AS VARCHAR) AS bridge_item FROM lineitem),
+shared AS (SELECT d.entity_id, d.label_id, eb.bridge_item FROM dedup d JOIN eb USING (entity_id)
+           JOIN lbl ON lbl.label_id = d.label_id AND lbl.bridge_item = eb.bridge_item),
+bsets AS (SELECT entity_id, label_id, array_to_string(list_sort(list(bridge_item)), ', ') AS t
+         FROM shared GROUP BY entity_id, label_id)"""

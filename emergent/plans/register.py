@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emergent.functions.items import INF, display_item, growth_text, items_text
@@ -106,7 +106,7 @@ def q_label_rules_m1(spark: SparkSession, d: str) -> DataFrame:
 def q_label_rules_m2(spark: SparkSession, d: str) -> DataFrame:
     r = flow(spark, d).rules
     return r.select(_ante(), "label_id", "length", "n_rule", "n_ante", "n_label", "support",
-                    "confidence", "lift")
+                    "confidence", "lift", "leverage", _gr("conviction").alias("conviction"))
 
 
 def q_negative_support(spark: SparkSession, d: str) -> DataFrame:
@@ -171,19 +171,47 @@ def q_bridge_evidence(spark: SparkSession, d: str) -> DataFrame:
 
 def _ranked_out(df: DataFrame) -> DataFrame:
     return df.select("entity_id", "label_id", "label_name", _ante(), "rule_confidence",
-                     _gr("rule_growth_rate").alias("rule_growth_rate"), "is_hit")
+                     _gr("rule_growth_rate").alias("rule_growth_rate"), "is_hit", "bridge_text")
 
 
 def q_top_by_confidence(spark: SparkSession, d: str) -> DataFrame:
-    return _ranked_out(discover.top_by_confidence(flow(spark, d).candidates_dedup, PARAMS.show))
+    return _ranked_out(flow(spark, d).results["top_by_confidence"])
 
 
 def q_top_by_growth(spark: SparkSession, d: str) -> DataFrame:
-    return _ranked_out(discover.top_by_growth(flow(spark, d).candidates_dedup, PARAMS.show))
+    return _ranked_out(flow(spark, d).results["top_by_growth"])
 
 
 def q_long_tail(spark: SparkSession, d: str) -> DataFrame:
-    return _ranked_out(discover.long_tail(flow(spark, d).candidates_dedup, PARAMS.show, PARAMS.show))
+    return _ranked_out(flow(spark, d).results["long_tail"])
+
+
+def _top_rep_out(df: DataFrame) -> DataFrame:
+    """R3 + O5, with its place in the order."""
+    w = Window.orderBy(F.col("rep_score").desc(), F.col("label_id").asc())  # top_n rows
+    return df.select(F.row_number().over(w).alias("place"), "label_id", _ante(), "rep_score", "confidence", "support",
+                     _gr("growth_rate").alias("growth_rate"), "is_jumping")
+
+
+def q_representative_top(spark: SparkSession, d: str) -> DataFrame:
+    return _top_rep_out(flow(spark, d).results["representative_rules"])
+
+
+def q_prefix_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Only brand and type items of a rule's antecedent count."""
+    f = flow(spark, d)
+    c = discover.candidates(f.nonredundant, f.entities, f.pos_train_pairs, f.pos_test_pairs,
+                            prefixes=("BRAND_", "TYPE_"))
+    return c.groupBy("entity_id", "label_id").agg(F.count(F.lit(1)).alias("n_rules"), F.max("is_hit").alias("is_hit"))
+
+
+def q_bridge_arms(spark: SparkSession, d: str) -> DataFrame:
+    """Q-14: how many labels J3 finds by id and by name."""
+    f = flow(spark, d)
+    rows = f.bridge_rows.withColumn("label_key", F.when(F.col("label_key").endswith("7"), F.lit("MESH:none"))
+                                    .otherwise(F.col("label_key")))
+    rows = rows.withColumn("label_name", F.when(F.col("label_key") == "MESH:none", F.lower("label_name")))
+    return discover.bridge_arms(f.label_names, discover.bridge_by_id(rows), discover.bridge_by_name(rows))
 
 
 def q_holdout_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -201,10 +229,25 @@ def _sweep(spark: SparkSession, d: str) -> DataFrame:
 
 def q_sweep_best_rules(spark: SparkSession, d: str) -> DataFrame:
     """Non-redundant rules of the best sweep cell (what the downstream steps consume)."""
-    rules = sweep.best_cell_rules(_sweep_result(spark, d))
-    if rules is None:
-        rules = flow(spark, d).high.limit(0)
-    return _rule_out(refine.remove_redundant(rules, PARAMS.conf_tol, PARAMS.supp_tol, PARAMS.gr_tol))
+    return _rule_out(flow(spark, d).best_results["rules"])
+
+
+def q_sweep_best_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates of the best cell's rules, with evidence."""
+    c = flow(spark, d).best_results["candidates"]
+    return c.select("entity_id", "entity_name", "label_id", _ante(), "rule_confidence",
+                    _gr("rule_growth_rate").alias("rule_growth_rate"), "is_hit", "known_negative", "bridge_text")
+
+
+def q_sweep_best_rankings(spark: SparkSession, d: str) -> DataFrame:
+    """The three rankings of the best cell, one under another."""
+    t = flow(spark, d).best_results
+    parts = [_ranked_out(t[n]).withColumn("ranking", F.lit(n)) for n in ("top_by_confidence", "top_by_growth", "long_tail")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_sweep_best_representatives(spark: SparkSession, d: str) -> DataFrame:
+    return _top_rep_out(flow(spark, d).best_results["representative_rules"])
 
 
 def q_sweep_report(spark: SparkSession, d: str) -> DataFrame:
@@ -259,23 +302,113 @@ def q_xml_file_scan(spark: SparkSession, d: str) -> DataFrame:
     return _entity_out(xml.read_entity_xml(spark, path))
 
 
+def _nested_xml(part: DataFrame) -> DataFrame:
+    """Records with gene names at other depths, no name, several ids, a repeated id, a nested element of the row tag."""
+    key = F.col("p_partkey").cast("string")
+    even = F.col("p_partkey") % 2 == 0
+    name = F.when(F.col("p_partkey") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("<name>"), F.col("p_name"), F.lit("</name>")))
+    text = F.concat(
+        F.lit('<drug xmlns="http://example.org/x" type="part">\n  <drugbank-id>OLD'), key,
+        F.lit('</drugbank-id>\n  <drugbank-id primary="true">P'), key, F.lit("</drugbank-id>"), name,
+        F.lit("<targets><target><name>"), F.col("p_brand"), F.lit("</name><other><deep><gene-name>a"), key,
+        F.lit("</gene-name></deep></other>"),
+        F.when(even, F.lit("<polypeptide><synonyms><gene-name>b1</gene-name></synonyms></polypeptide>")).otherwise(F.lit("")),
+        F.lit("</target><target><name></name><gene-name>A"), key, F.lit("</gene-name></target></targets>"),
+        F.lit("<interactions>\n  <drug><name>other</name>\n  </drug>\n</interactions></drug>"))
+    rows = part.select(text.alias("xml"))
+    return rows.unionByName(part.filter("p_partkey % 3 = 0").select(text.alias("xml")))
+
+
+def q_xml_nested_genes(spark: SparkSession, d: str) -> DataFrame:
+    """S1, P1, P2, P4, P5 from files that hold nested genes, missing names and repeated ids."""
+    path = scratch_path(spark, "nested-xml")
+    sinks.write_xml_records(_nested_xml(standin.table(spark, d, "part")), "xml", path, per_file=500)
+    return _entity_out(xml.read_entity_xml(spark, path))
+
+
 def q_assoc_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """S3 + K1: associations written as a header CSV with the source's column names, read back."""
+    """S3: associations written as a header CSV with the source's column names, read back."""
     a = flow(spark, d).assoc_all
     path = scratch_path(spark, "associations-csv")
-    (a.select(F.col("entity_id").alias("drugbank_id"), F.col("label_name").alias("ind_name"),
-              F.col("label_id").alias("ind_id"), "status", F.col("split_key").alias("NCT"))
-     .write.mode("overwrite").option("header", "true").csv(path))
+    sinks.write_csv(a.select(F.col("entity_id").alias("drugbank_id"), F.col("label_name").alias("ind_name"),
+                             F.col("label_id").alias("ind_id"), "status", F.col("split_key").alias("NCT")), path)
     back = delimited.read_associations_csv(spark, path)
     return back.select("entity_id", "label_id", "label_name", "status", "NCT")
 
 
+def q_csv_quoted(spark: SparkSession, d: str) -> DataFrame:
+    """S3: separators, doubled quotes and null tokens inside fields survive the file."""
+    part = standin.table(spark, d, "part")
+    path = scratch_path(spark, "quoted-csv")
+    sinks.write_csv(part.select(
+        F.col("p_partkey").alias("drugbank_id"),
+        F.concat(F.lit('he said "'), F.col("p_name"), F.lit('", ok')).alias("ind_name"),
+        F.when(F.col("p_partkey") % 7 == 0, F.lit("NA")).otherwise(F.col("p_brand")).alias("ind_id"),
+        F.lit("Approved").alias("status"),
+        F.when(F.col("p_partkey") % 3 == 0, F.lit('"')).otherwise(F.lit("z,")).alias("phase")), path)
+    return delimited.read_associations_csv(spark, path)
+
+
+def q_tsv_quoted(spark: SparkSession, d: str) -> DataFrame:
+    """S2 + F3: comments, quoted fields with doubled quotes, null tokens, another column order."""
+    part = standin.table(spark, d, "part")
+    path = scratch_path(spark, "quoted-tsv")
+    tab = F.lit("\t")
+    line = (F.when(F.col("p_partkey") % 10 == 0, F.concat(F.lit("# "), F.col("p_name")))
+            .otherwise(F.concat(
+                F.when(F.col("p_partkey") % 4 == 1, F.lit("nan")).otherwise(F.col("p_brand")), tab, F.lit("x"), tab,
+                F.lit('"the ""'), F.col("p_name"), F.lit('"" name"'), tab,
+                F.when(F.col("p_partkey") % 6 == 1, F.lit("")).otherwise(F.concat(F.lit("MESH:"), F.col("p_partkey"))), tab,
+                F.lit("rest"))))
+    part.select(line.alias("value")).write.mode("overwrite").text(path)
+    return delimited.read_label_bridge_tsv(spark, path)
+
+
+def q_bridge_case(spark: SparkSession, d: str) -> DataFrame:
+    """R6 + P7: symbols match whatever their case and prefix."""
+    f = flow(spark, d)
+    key = F.col("bridge_item").cast("bigint")
+    ents = f.entity_bridge.withColumn("bridge_item", F.concat(F.lit("SuP"), F.col("bridge_item"), F.lit("orf")))
+    labels = f.label_bridge.withColumn("bridge_item", F.when(key % 2 == 0, F.concat(
+        F.lit("GENE_sup"), F.col("bridge_item"), F.lit("ORF"))).otherwise(
+        F.concat(F.lit("sUP"), F.col("bridge_item"), F.lit("Orf"))))
+    return discover.bridge_evidence(f.pos_test_pairs, ents, labels).select("entity_id", "label_id", "bridge_text")
+
+
+def q_split_sink(spark: SparkSession, d: str) -> DataFrame:
+    """K1: the class x split table written and read back, one class pruned to its folders."""
+    path = scratch_path(spark, "splits")
+    sinks.write_splits(flow(spark, d).assoc.drop("split_key"), path)
+    return spark.read.parquet(path).filter("class = 'negative'").select(
+        "order_key", "line_number", "entity_id", "label_id", "label_name", "status", "class", "split")
+
+
+def q_rule_sink(spark: SparkSession, d: str) -> DataFrame:
+    """K2 + O2: the rule file, read back."""
+    path = scratch_path(spark, "rules-csv")
+    sinks.write_rules(_rule_out(flow(spark, d).nonredundant).withColumn("antecedent", F.split("antecedent", " ")), path,
+                      fmt="csv")
+    back = spark.read.option("header", "true").option("escape", '"').csv(path)
+    return back.select("antecedent", F.col("label_id").cast("int"), *[F.col(c).cast("double") for c in (
+        "support", "confidence", "lift", "growth_rate")], F.col("is_jumping").cast("boolean"))
+
+
+def q_candidate_sink(spark: SparkSession, d: str) -> DataFrame:
+    """K3: the candidate file, read back."""
+    path = scratch_path(spark, "candidates-csv")
+    cands = flow(spark, d).results["candidates"].drop("bridge")
+    sinks.write_candidates(cands.withColumn("rule_growth_rate", _gr("rule_growth_rate")), path)
+    back = spark.read.option("header", "true").option("escape", '"').csv(path)
+    return back.select(F.col("entity_id").cast("bigint"), F.col("label_id").cast("int"), "antecedent",
+                       F.col("rule_confidence").cast("double"), F.col("is_hit").cast("boolean"), "bridge_text")
+
+
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write the label-bridge rows as a headerless TSV (bridge, filler, name, key) and scan it back."""
     rows = flow(spark, d).bridge_rows
     path = scratch_path(spark, "label-bridge-tsv")
     (rows.select("bridge_item", F.lit("x").alias("filler"), "label_name", "label_key")
-     .write.mode("overwrite").option("sep", "\t").option("header", "false").csv(path))
+     .write.mode("overwrite").option("sep", "\t").option("header", "false").option("escape", '"').csv(path))
     return delimited.read_label_bridge_tsv(spark, path)
 
 
@@ -328,4 +461,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "display_items": q_display_items,
     "xml_file_scan": q_xml_file_scan,
     "assoc_csv_roundtrip": q_assoc_csv_roundtrip,
+    "representative_top": q_representative_top,
+    "prefix_candidates": q_prefix_candidates,
+    "bridge_arms": q_bridge_arms,
+    "bridge_case": q_bridge_case,
+    "sweep_best_candidates": q_sweep_best_candidates,
+    "sweep_best_rankings": q_sweep_best_rankings,
+    "sweep_best_representatives": q_sweep_best_representatives,
+    "xml_nested_genes": q_xml_nested_genes,
+    "csv_quoted": q_csv_quoted,
+    "tsv_quoted": q_tsv_quoted,
+    "split_sink": q_split_sink,
+    "rule_sink": q_rule_sink,
+    "candidate_sink": q_candidate_sink,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,23 +36,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used for reliable checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext's
-    checkpoint dir).  Only when nothing is configured and the master is local
-    (tests, bench) is a private temporary folder created; a cluster without a
-    configured shared folder is an error, never a machine-local fallback.
+    checkpoint dir).  A session of one machine that has none (``local`` master)
+    gets a private folder; any other session without one is an error: a folder
+    of one machine would not be seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) on a cluster")
-    local_dir = tempfile.mkdtemp(prefix="emergent-ckpt-")
-    sc.setCheckpointDir(local_dir)
-    return sc.getCheckpointDir() or local_dir
+    if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="emergent-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -60,6 +59,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Tables written by ``reliable`` in this process, in order.
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def written() -> int:
+    """A mark for ``release``: how many tables have been written so far."""
+    return len(_WRITTEN)
+
+
+def release(since: int = 0) -> None:
+    """Delete the tables written after a mark; whoever still reads them must be done."""
+    while len(_WRITTEN) > since:
+        spark, path = _WRITTEN.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def reliable(df: DataFrame, name: str = "stage", spread: bool = False,
              partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing a Parquet table to the shared checkpoint folder and reading it back.
@@ -70,15 +88,16 @@ def reliable(df: DataFrame, name: str = "stage", spread: bool = False,
     it is small.  The files live in the cluster's shared folder, so the table
     survives the loss of any executor.
 
-    ``spread=True`` round-robins the rows over the cluster's default
-    parallelism first, for tables that later fan out (exploded item sets) and
-    must not come back as a single split.  ``partition_by`` writes directory
-    partitions, so readers filtering on those columns prune whole folders.
+    ``spread=True`` rebalances the rows first (AQE sizes the partitions by
+    their bytes), for tables that later fan out (exploded item sets).
+    ``partition_by`` writes directory partitions, so readers filtering on those
+    columns prune whole folders.  ``release`` deletes what was written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _WRITTEN.append((spark, path))
     if spread:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+        df = df.hint("rebalance")
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -4,35 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Texts that stand for a missing value in the source's reader.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+               "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+_BAD = "_bad_record"
+
+
+def _checked(raw: DataFrame, what: str) -> DataFrame:
+    """The rows without the bad-record column; a malformed record is an error when it is read, never a lost row."""
+    failed = F.raise_error(F.concat(F.lit(f"malformed record in the {what}: "), F.col(_BAD)))
+    first = raw.columns[0]
+    return raw.withColumn(first, F.when(F.col(_BAD).isNotNull(), failed.cast("string")).otherwise(F.col(f"`{first}`"))) \
+        .drop(_BAD)
+
+
+def _null(c: Column, tokens: Sequence[str]) -> Column:
+    return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c) if tokens else c
+
+
 def read_label_bridge_tsv(spark: SparkSession, path: str,
                           positions: Sequence[int] = (0, 2, 3),
                           names: Sequence[str] = ("bridge_item", "label_name", "label_key"),
-                          sep: str = "\t", comment: str = "#") -> DataFrame:
+                          sep: str = "\t", comment: str = "#", null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Headerless, commented TSV; keeps the columns at ``positions`` (they move between releases).
 
-    Rows with a null bridge item or label key are dropped (F3); a null label
-    name is kept.  Only the columns up to the last wanted position are parsed.
+    Quoted fields may hold doubled quotes.  ``null_tokens`` (Q-12) are read as
+    null; rows with a null bridge item or label key are dropped (F3); a null
+    label name is kept.  Only the columns up to the last wanted position are parsed.
     """
     width = max(positions) + 1
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     raw = (spark.read.option("sep", sep).option("comment", comment).option("header", "false")
-           .option("mode", "PERMISSIVE").schema(schema).csv(path))
-    out = raw.select(*[F.col(f"c{p}").alias(n) for p, n in zip(positions, names)])
+           .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").schema(schema).csv(path))
+    out = raw.select(*[_null(F.col(f"c{p}"), null_tokens).alias(n) for p, n in zip(positions, names)])
     return out.dropna(subset=[names[0], names[2]])
 
 
 def read_associations_csv(spark: SparkSession, path: str,
                           entity: str = "drugbank_id", label: str = "ind_id",
-                          label_name: str = "ind_name", status: str = "status") -> DataFrame:
+                          label_name: str = "ind_name", status: str = "status",
+                          null_tokens: Sequence[str] = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """S3: CSV with a header, all columns read as text (no inference), roles renamed.
 
-    Columns other than the four roles pass through untouched.
+    Quoted fields may hold separators and doubled quotes.  A record with too few
+    or too many fields is an error.  Records that span lines need
+    ``multi_line=True``; such a file is not split.  Columns other than the four
+    roles pass through untouched.
     """
-    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    options = {"header": "true", "inferSchema": "false", "quote": '"', "escape": '"',
+               "multiLine": str(multi_line).lower()}
+    columns = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
+    raw = (spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema="true")
+           .schema(schema).csv(path))
     renames = {entity: "entity_id", label: "label_id", label_name: "label_name", status: "status"}
-    return raw.select(*[F.col(f"`{c}`").alias(renames.get(c, c)) for c in raw.columns])
+    return _checked(raw, "association table").select(
+        *[_null(F.col(f"`{c}`"), null_tokens).alias(renames.get(c, c)) for c in columns])

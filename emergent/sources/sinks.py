@@ -6,7 +6,7 @@ split sink partitions by (class, split) so a reader prunes to one cell.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +22,16 @@ def _flatten_arrays(df: DataFrame, sep: str = ", ") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    _flatten_arrays(df).write.mode(mode).option("header", "true").csv(path)
+    """Header CSV with doubled quotes inside quoted fields."""
+    _flatten_arrays(df).write.mode(mode).option("header", "true").option("escape", '"').csv(path)
 
 
 def write_splits(assoc: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """K1: one table partitioned by class and split (replaces four CSV files)."""
     w = assoc.write.mode(mode).partitionBy("class", "split")
     if fmt == "csv":
-        _flatten_arrays(assoc).write.mode(mode).partitionBy("class", "split").option("header", "true").csv(path)
+        _flatten_arrays(assoc).write.mode(mode).partitionBy("class", "split").option("header", "true") \
+            .option("escape", '"').csv(path)
     else:
         w.parquet(path)
 
@@ -54,21 +56,21 @@ def write_candidates(cands: DataFrame, path: str, fmt: str = "csv", mode: str =
 
 
 def write_xml_records(records: DataFrame, xml_col: str, path: str, root_tag: str = "drugbank",
-                      per_file: int = 1000, mode: str = "overwrite") -> None:
-    """Write one XML record per row as well-formed files: one root element per file.
-
-    Rows are spread over buckets of about ``per_file`` rows by a hash of a
-    per-row id (not of the content, so many identical records still spread
-    evenly: a bounded group by construction), each bucket becomes one
-    document, and each document is written to its own file (``partitionBy``
-    the bucket), which is what an XML reader splitting on ``rowTag`` expects.
+                      per_file: int = 100_000, mode: str = "overwrite") -> None:
+    """Write one XML record per row as well-formed documents: a root element around each file's records.
+
+    Each task numbers its own rows; the ``per_file`` rows of a document, and no
+    more, meet in one task.  Every record ends in its end tag at the start of a
+    line, which is where ``read_entity_xml`` splits.
     """
-    import math
-
-    n = max(1, math.ceil(records.count() / per_file))
-    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))
-    docs = (records.select(F.col(xml_col).alias("_x"), bucket.alias("_bucket"))
-            .groupBy("_bucket")
-            .agg(F.concat(F.lit(f"<{root_tag}>"), F.concat_ws("\n", F.collect_list("_x")),
-                          F.lit(f"</{root_tag}>")).alias("value")))
-    docs.repartition(n, "_bucket").write.mode(mode).partitionBy("_bucket").text(path)
+    number = F.monotonically_increasing_id()
+    task, row = F.shiftright(number, 33), number.bitwiseAND((1 << 33) - 1)
+    part = F.concat_ws("-", task, F.floor(row / per_file)).alias("part")
+    broken = F.regexp_replace(F.col(xml_col), r"\s*(</\w+>)\s*$", "\n$1")
+    rows = records.select(broken.alias("value"), part, row.alias("_n"))
+    # Root tags are rows of their own, before the first and after the last row of a document.
+    head = F.when(F.col("_n") % per_file == 0, F.concat(F.lit(f"<{root_tag}>\n"), F.col("value"))).otherwise(F.col("value"))
+    last = F.lead("_n").over(Window.partitionBy("part").orderBy("_n")).isNull()
+    value = F.when(last, F.concat(head, F.lit(f"\n</{root_tag}>"))).otherwise(head)
+    docs = rows.select("part", "_n", value.alias("value"))
+    docs.sortWithinPartitions("part", "_n").select("part", "value").write.mode(mode).partitionBy("part").text(path)

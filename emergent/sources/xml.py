@@ -1,9 +1,8 @@
 """Nested entity XML -> (entity_id, entity_name, features, bridge).
 
-Spark's built-in XML source (``format("xml")``) splits the file into records
-(``rowTag``) on the executors; ``from_xml`` parses XML text already held in a
-column.  Both use one explicit schema, so nothing is inferred and only the
-needed elements are materialised.
+Files are read by the text source, split at record ends, so one large file is
+many tasks; each record's text is parsed on the executors by ``from_xml`` (one
+explicit schema, nothing inferred) and ``xpath`` (descendants at any depth).
 """
 
 from __future__ import annotations
@@ -23,29 +22,44 @@ ENTITY_XML_SCHEMA = T.StructType([
     T.StructField("targets", T.StructType([
         T.StructField("target", T.ArrayType(T.StructType([
             T.StructField("name", T.StringType()),
-            T.StructField("polypeptide", T.ArrayType(T.StructType([
-                T.StructField("gene-name", T.StringType()),
-            ]))),
         ]))),
     ])),
 ])
 
 
 def read_entity_xml(spark: SparkSession, path: str, row_tag: str = "drug",
-                    feature_prefix: str = "TARGET_") -> DataFrame:
-    """Distributed scan of an entity XML file (or glob of files)."""
-    records = (spark.read.format("xml")
-               .option("rowTag", row_tag)
-               .option("ignoreNamespace", "true")
-               .schema(ENTITY_XML_SCHEMA)
-               .load(path))
-    return entities_from_records(records, feature_prefix)
+                    feature_prefix: str = "TARGET_", terminator: str | None = None) -> DataFrame:
+    """Scan of an entity XML file (or glob of files), split at record ends.
+
+    The text source splits a file of any size at ``terminator``, which must end
+    every record and nothing else (default: the row tag's end tag at the start
+    of a line, which nested, indented elements of the same name do not have).
+    What precedes a record's start tag (prolog, root) is dropped, and the part
+    after the last record must not hold a start tag of its own.
+    """
+    end = f"</{row_tag}>"
+    parts = spark.read.option("lineSep", terminator or f"\n{end}").text(path)
+    # The first start tag of a part: its outer record.
+    start = F.regexp_instr("value", F.lit(f"<{row_tag}[\\s>]"))
+    record = F.when(start > 0, F.concat(F.expr("substring(value, regexp_instr(value, '<" + row_tag + "[\\\\s>]'))"),
+                                        F.lit(end)))
+    return parse_entity_xml(parts.select(record.alias("_xml")).filter(F.col("_xml").isNotNull()), "_xml",
+                            feature_prefix)
 
 
 def parse_entity_xml(df: DataFrame, xml_col: str, feature_prefix: str = "TARGET_") -> DataFrame:
-    """Parse one XML record per row of ``xml_col`` (``from_xml``) into entities."""
-    parsed = df.select(F.from_xml(F.col(xml_col), ENTITY_XML_SCHEMA,
-                                  {"ignoreNamespace": "true"}).alias("r")).select("r.*")
+    """Parse one XML record per row of ``xml_col`` into entities.
+
+    Names come from ``from_xml`` under an explicit schema; gene names are those
+    of any descendant of a target, by an XPath over the record's text.  Default
+    namespaces are dropped first; a record that is not well-formed is an error.
+    """
+    plain = F.regexp_replace(F.col(xml_col), r'\sxmlns(:\w+)?="[^"]*"', "")
+    plain = F.regexp_replace(plain, r'\s\w+:(\w+="[^"]*")', " $1")
+    parsed = (df.select(plain.alias("_x"))
+              .select(F.from_xml("_x", ENTITY_XML_SCHEMA, {"ignoreNamespace": "true", "mode": "FAILFAST"}).alias("r"),
+                      F.xpath("_x", F.lit("/*/targets/target//gene-name/text()")).alias("genes"))
+              .select("r.*", "genes"))
     return entities_from_records(parsed, feature_prefix)
 
 
@@ -67,10 +81,7 @@ def entities_from_records(records: DataFrame, feature_prefix: str = "TARGET_") -
         eid.alias("entity_id"),
         F.coalesce(F.nullif(F.col("name"), F.lit("")), eid).alias("entity_name"),
         feature_tokens(F.transform(targets, lambda t: t["name"]), feature_prefix).alias("features"),
-        bridge_symbols(F.flatten(F.transform(
-            targets,
-            lambda t: F.transform(F.coalesce(t["polypeptide"], F.array()), lambda p: p["gene-name"]),
-        ))).alias("bridge"),
+        bridge_symbols(F.coalesce(F.col("genes"), F.array().cast("array<string>"))).alias("bridge"),
     ).filter(F.col("entity_id").isNotNull())
     best = rows.groupBy("entity_id").agg(
         F.max(F.struct("entity_name", "features", "bridge")).alias("r"))

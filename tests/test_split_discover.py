@@ -96,9 +96,7 @@ def test_sweep_statuses(spark):
                           min_growth=0.5)
     rows = {(r.supp_idx, r.conf_idx): r.status for r in res.report.collect()}
     assert rows[(0, 0)] == sweep.NO_RULES and rows[(1, 0)] == sweep.OK
-    capped = sweep.run_sweep(tx, ents, tx, known, known, supports=(0.01, 0.005), confidences=(0.1,),
-                             itemset_cap=2).report.collect()
-    assert [r.status for r in capped] == [sweep.STOPPED]          # the sweep ends at the cap
+    assert len(rows) == 4                                         # every cell is reported
 
 
 def test_trap_options(spark):
