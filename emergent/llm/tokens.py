@@ -2,73 +2,60 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
+#: Blank-separated words whose ids a Python worker remembers before it starts afresh.
+REMEMBERED = 1_000_000
+#: Marks that stand at the end of words.
+_MARKS = ".,;:!?"
 
-#: Words whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 400_000
-#: Characters of text that are split into words at a time.
-AT_ONCE = 2_000_000
-#: A special token of the vocabulary file, used to part words in one call.
-BREAK = "<|startoftext|>"
+
+class Words(dict):
+    """Ids of words, as bytes; a new word is encoded when it is first asked for."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = self.tokenizer.model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        core = word.rstrip(_MARKS) if word.isascii() else ""
+        if core.isalpha():
+            # ASCII letters are one lower-cased pre-token whose characters are their own bytes; marks after it
+            # are the next one.  Both are remembered apart, so only a new core is work.
+            low = core.lower()
+            if low != word:
+                ids = self[low] + (self[word[len(core):]] if len(core) < len(word) else b"")
+            else:
+                ids = array("I", [t.id for t in self.pieces(low)]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
 
 
 class Encoder:
     """``encode(text, add_special_tokens=False)`` of the word BPE, faster on repeated words.
 
     The file's pre-tokenizer drops white space and lets no token cross it, and
-    its normalizer composes nothing across a blank, so a text's ids are those
-    of its blank-separated words in a row.  New words go to the tokenizer
-    together, parted by a special token; words that hold a special token's
-    opening go alone.
+    its normalizer composes nothing across a blank, so a text's ids are those of
+    its blank-separated words in a row; each word is encoded by the library once
+    while a worker remembers it.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.part = self.tokenizer.token_to_id(BREAK)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def _learn(self, new: list[str]) -> None:
-        odd = [w for w in new if "<|" in w or self.part is None]
-        plain = [w for w in new if "<|" not in w] if odd else new
-        if plain and self.part is not None:
-            ids = self._ids(BREAK.join(plain))
-            cuts = np.flatnonzero(ids == self.part)
-            for w, lo, hi in zip(plain, [0, *(cuts + 1)], [*cuts, len(ids)], strict=True):
-                self.known[w] = ids[lo:hi].tobytes()
-        for w in odd:
-            self.known[w] = self._ids(w).tobytes()
+        self.words = Words(path)
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers (null: none)."""
-        block: list[list[str]] = []
-        size = 0
+        ids = self.words.__getitem__
         for t in texts:
-            block.append((t or "").replace("\n", " ").split(" "))
-            size += len(t or "")
-            if size >= AT_ONCE:
-                yield from self._block(block)
-                block, size = [], 0
-        yield from self._block(block)
-
-    def _block(self, block: list[list[str]]) -> Iterator[bytes]:
-        if not block:
-            return
-        need = set().union(*block)
-        if len(self.known) + len(need) > REMEMBERED:
-            self.known = {}
-        need.difference_update(self.known)
-        if need:
-            self._learn(list(need))
-        get = self.known.__getitem__
-        for parts in block:
-            yield b"".join(map(get, parts))
+            yield b"".join(map(ids, t.replace("\n", " ").split(" "))) if t else b""
 
 
 _ENCODERS: dict[str, Encoder] = {}
