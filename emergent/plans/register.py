@@ -346,7 +346,7 @@ def q_csv_quoted(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("p_partkey") % 7 == 0, F.lit("NA")).otherwise(F.col("p_brand")).alias("ind_id"),
         F.lit("Approved").alias("status"),
         F.when(F.col("p_partkey") % 3 == 0, F.lit('"')).otherwise(F.lit("z,")).alias("phase")), path)
-    return delimited.read_associations_csv(spark, path)
+    return delimited.read_associations_csv(spark, path, null_tokens=delimited.SOURCE_NULL_TOKENS)
 
 
 def q_tsv_quoted(spark: SparkSession, d: str) -> DataFrame:
@@ -361,7 +361,7 @@ def q_tsv_quoted(spark: SparkSession, d: str) -> DataFrame:
                 F.when(F.col("p_partkey") % 6 == 1, F.lit("")).otherwise(F.concat(F.lit("MESH:"), F.col("p_partkey"))), tab,
                 F.lit("rest"))))
     part.select(line.alias("value")).write.mode("overwrite").text(path)
-    return delimited.read_label_bridge_tsv(spark, path)
+    return delimited.read_label_bridge_tsv(spark, path, null_tokens=delimited.SOURCE_NULL_TOKENS)
 
 
 def q_bridge_case(spark: SparkSession, d: str) -> DataFrame:

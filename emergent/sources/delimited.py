@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-#: Texts that stand for a missing value in the source's reader.
-NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+#: Texts that the source's reader takes as missing (pass them as ``null_tokens`` to do the same).
+SOURCE_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 _BAD = "_bad_record"
@@ -31,7 +31,7 @@ def _null(c: Column, tokens: Sequence[str]) -> Column:
 def read_label_bridge_tsv(spark: SparkSession, path: str,
                           positions: Sequence[int] = (0, 2, 3),
                           names: Sequence[str] = ("bridge_item", "label_name", "label_key"),
-                          sep: str = "\t", comment: str = "#", null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+                          sep: str = "\t", comment: str = "#", null_tokens: Sequence[str] = ("",)) -> DataFrame:
     """Headerless, commented TSV; keeps the columns at ``positions`` (they move between releases).
 
     Quoted fields may hold doubled quotes.  ``null_tokens`` (Q-12) are read as
@@ -49,7 +49,7 @@ def read_label_bridge_tsv(spark: SparkSession, path: str,
 def read_associations_csv(spark: SparkSession, path: str,
                           entity: str = "drugbank_id", label: str = "ind_id",
                           label_name: str = "ind_name", status: str = "status",
-                          null_tokens: Sequence[str] = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
+                          null_tokens: Sequence[str] = ("",), multi_line: bool = False) -> DataFrame:
     """S3: CSV with a header, all columns read as text (no inference), roles renamed.
 
     Quoted fields may hold separators and doubled quotes.  A record with too few

@@ -41,8 +41,7 @@ def read_entity_xml(spark: SparkSession, path: str, row_tag: str = "drug",
     parts = spark.read.option("lineSep", terminator or f"\n{end}").text(path)
     # The first start tag of a part: its outer record.
     start = F.regexp_instr("value", F.lit(f"<{row_tag}[\\s>]"))
-    record = F.when(start > 0, F.concat(F.expr("substring(value, regexp_instr(value, '<" + row_tag + "[\\\\s>]'))"),
-                                        F.lit(end)))
+    record = F.when(start > 0, F.concat(F.col("value").substr(start, F.length("value")), F.lit(end)))
     return parse_entity_xml(parts.select(record.alias("_xml")).filter(F.col("_xml").isNotNull()), "_xml",
                             feature_prefix)
 
