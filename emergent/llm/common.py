@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emergent.session import scratch_path
 
@@ -57,9 +58,9 @@ class Scratch:
         """Write ``df`` once and return the reading of it."""
         (df.write.mode("overwrite").partitionBy(*partition_by) if partition_by
          else df.write.mode("overwrite")).parquet(self.path(name))
-        if partition_by:
-            return self.spark.read.parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        fields = [f for f in df.schema.fields if f.name not in partition_by]
+        schema = T.StructType(fields + [df.schema[c] for c in partition_by])
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""

@@ -18,9 +18,9 @@ difference cover modulo 64 takes 14 %.
    ``100 - d``.  Comparisons are of bytes, not of hashes.
 4. Of each class the earliest start stays; the others' bytes are removed.
 
-A sample with more than ``CROWD`` occurrences is split: equal surroundings are
-combined before the shuffle, and what differs is told apart string by string
-under a 128-bit hash, spread over all tasks.  Whole copies of a text leave
+A sample with more than ``CROWD`` occurrences is split: every task sorts the
+records that it has itself, and only the earliest of its equal strings meet
+those of other tasks, dealt by a 128-bit hash of the string.  Whole copies of a text leave
 before step 2: all their strings start earlier.
 
 Defined results: a null text is empty; texts shorter than the length keep all;
@@ -323,30 +323,88 @@ def _sorted_buckets(records: DataFrame, length: int) -> DataFrame:
     return arrow_map(dealt, run, RUN_SQL)
 
 
-def _crowded(records: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated suffixes among records of crowded samples, without a group in one task."""
-    place = F.struct("id", "key", "first")
-    firsts = records.groupBy("left", "around").agg(F.min(place).alias("p"))
-    # Records whose surroundings occur earlier repeat as a whole.
-    whole = (records.join(firsts.select("p.key", "p.first"), ["key", "first"], "left_anti")
-             .select("key", "first", (F.col("first") + F.length("around") - length + 1).alias("past")))
+def _crowded(records: DataFrame, scratch: Scratch, length: int, buckets: int) -> DataFrame:
+    """Runs of repeated suffixes among records of crowded samples, without a group in one task.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [("x", pa.int64()), ("y", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("first", pa.int64())]
+    Records stay where they are: each task sorts what it has, ``AT_ONCE`` at a
+    time, and knows all but the earliest of equal strings as repeated.  The
+    earliest are dealt by a 128-bit hash of the string, in arrays, so a string
+    arrives once from each sorted lot, however often it occurs.
+    """
+
+    def sort_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
         for b in batches:
-            rows = []
-            for around, i, key, first in rows_of(b, "around", "id", "key", "first"):
-                for k in range(len(around) - length + 1):
-                    d = xxhash.xxh3_128_digest(around[k:k + length])
-                    rows.append((int.from_bytes(d[:8], signed=True), int.from_bytes(d[8:], signed=True), i, key, first + k))
-            yield _columns(kinds, list(zip(*rows)) if rows else [[]] * 5)
+            for lo in range(0, b.num_rows, AT_ONCE):
+                held.append(b.slice(lo, AT_ONCE))
+                n += held[-1].num_rows
+                if n >= AT_ONCE:
+                    yield from _own_first(pa.Table.from_batches(held), length, buckets)
+                    held, n = [], 0
+        if n:
+            yield from _own_first(pa.Table.from_batches(held), length, buckets)
+
+    lots = scratch.save(arrow_map(records, sort_own, "kind int, bucket int, x binary, id binary, key binary, "
+                                                     "first binary"), "lots", partition_by=("kind",))
+
+    def own_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, first, past in rows_of(b, "key", "first", "x"):
+                yield _columns(RUN, [np.frombuffer(c, np.int64) for c in (key, first, past)])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        now = None
+
+        def out() -> pa.RecordBatch:
+            x, id_, key, first = (np.concatenate(c) for c in zip(*held))
+            x = x.reshape(-1, 2)
+            by = np.lexsort((first, key, id_, x[:, 1], x[:, 0]))
+            again = by[1:][(x[by[1:]] == x[by[:-1]]).all(axis=1)]
+            return _columns(RUN, _runs(key[again], first[again]))
+
+        for b in batches:
+            for bucket, x, *places in rows_of(b, "bucket", "x", "id", "key", "first"):
+                if bucket != now and held:
+                    yield out()
+                    held.clear()
+                now = bucket
+                held.append((np.frombuffer(x, "<u8"), *(np.frombuffer(c, np.int64) for c in places)))
+        if held:
+            yield out()
 
-    strings = arrow_map(firsts.select("around", "p.id", "p.key", "p.first"), run,
-                        "x long, y long, id long, key long, first long")
-    earliest = strings.groupBy("x", "y").agg(F.min(place).alias("p")).select("p.key", "p.first")
-    single = (strings.select("key", "first").join(earliest, ["key", "first"], "left_anti")
-              .select("key", "first", (F.col("first") + 1).alias("past")))
-    return whole.unionByName(single)
+    dealt = (lots.filter("kind = 1").select("bucket", "x", "id", "key", "first")
+             .repartition("bucket").sortWithinPartitions("bucket"))
+    return (arrow_map(lots.filter("kind = 0").select("key", "first", "x"), own_runs, RUN_SQL)
+            .unionByName(arrow_map(dealt, meet, RUN_SQL)))
+
+
+def _own_first(t: pa.Table, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A lot of records: runs of strings that repeat in it (kind 0), and the earliest of each by bucket (kind 1)."""
+    kinds = [("kind", pa.int32()), ("bucket", pa.int32())] + [(c, pa.binary()) for c in ("x", "id", "key", "first")]
+    id_, key, first, left = (t.column(k).to_numpy().astype(np.int64) for k in ("id", "key", "first", "left"))
+    by = np.lexsort((first, key, id_))
+    id_, key, first, left = id_[by], key[by], first[by], left[by]
+    around = t.column("around").take(pa.array(by)).to_pylist()
+    record, offset = sort_bucket(left, around, length)
+    run_key, run_first, run_past = _runs(key[record], first[record] + offset)
+    yield _columns(kinds, [[0], [0], [run_past.tobytes()], [b""], [run_key.tobytes()], [run_first.tobytes()]])
+    n = np.array([len(a) - length + 1 for a in around])
+    base = np.cumsum(n) - n
+    fresh = np.ones(int(n.sum()), bool)
+    fresh[base[record] + offset] = False
+    own = np.repeat(np.arange(len(n)), n)[fresh]
+    at = (np.arange(len(fresh)) - np.repeat(base, n))[fresh]
+    x = np.frombuffer(b"".join(xxhash.xxh3_128_digest(around[r][k:k + length])
+                               for r, k in zip(own.tolist(), at.tolist())), "<u8").reshape(-1, 2)
+    bucket = (x[:, 0] % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        some = order[cuts[k]:cuts[k + 1]]
+        yield _columns(kinds, [[1], [k], [x[some].tobytes()], [id_[own[some]].tobytes()], [key[own[some]].tobytes()],
+                               [(first[own[some]] + at[some]).tobytes()]])
 
 
 # ---- step 4 and the operator ------------------------------------------------------
@@ -360,7 +418,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int, buckets: int)
     hits = scratch.save(_repeated(docs, length, buckets).join(again.select("key"), "key", "left_anti"), "hits")
     records = scratch.save(_records(docs, hits, length), "records")
     runs = (_sorted_buckets(records.filter("not hot"), length)
-            .unionByName(_crowded(records.filter("hot"), length))
+            .unionByName(_crowded(records.filter("hot"), scratch, length, buckets))
             .unionByName(again.select("key", F.lit(0).cast("long").alias("first"),
                                       (F.col("n") - length + 1).cast("long").alias("past"))))
     return scratch.save(runs, "runs")
@@ -385,7 +443,7 @@ def deduplicated(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         docs = docs.withColumn("key", F.col("doc"))
     docs = docs.withColumn("id", F.coalesce("doc", F.lit(-(1 << 63))))
     runs = repeated_runs(docs.select("key", "id", "text"), scratch, length, buckets)
-    scratch.drop("hits", "records", "copies")
+    scratch.drop("hits", "records", "copies", "lots")
     scratch.release()
     found = runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("first", "past"))).alias("runs"))
     joined = docs.join(found, "key", "left").select("doc", "text", "runs")
