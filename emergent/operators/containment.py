@@ -6,7 +6,9 @@ exploded once by item; the equi-join on (on..., key) is a broadcast or
 sort-merge hash join chosen by AQE, and ``array_except`` verifies the full
 containment.  Every target row matches a given set at most once (one key per
 set), so counts over the result are exact.  Picking the rarest key bounds the
-fan-out of popular items; AQE's skew-join splits any remaining hot key.
+fan-out of popular items.  A key that still has more than ``ROWS_A_KEY`` target
+rows is salted: its target rows are dealt into parts by a hash of the whole row,
+and its sets are repeated once for each part.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Target rows of one join key that go to one part.
+ROWS_A_KEY = 200_000
+
 
 def rarest_item_keys(sets: DataFrame, set_col: str, targets: DataFrame, items_col: str,
                      on: Sequence[str] = ()) -> DataFrame:
-    """(on..., set_col, _key): the set's item with the fewest target rows, ties by item."""
+    """(on..., set_col, _key, _freq): the set's item with the fewest target rows, ties by item."""
     on = list(on)
     freq = (targets.select(*on, F.explode(items_col).alias("_item"))
             .groupBy(*on, "_item").agg(F.count(F.lit(1)).alias("_freq")))
@@ -29,18 +34,26 @@ def rarest_item_keys(sets: DataFrame, set_col: str, targets: DataFrame, items_co
              .groupBy(*on, set_col)
              .agg(F.min(F.struct(F.coalesce(F.col("_freq"), F.lit(0)).alias("f"), F.col("_item").alias("i")))
                   .alias("_best")))
-    return keyed.select(*on, set_col, F.col("_best.i").alias("_key"))
+    return keyed.select(*on, set_col, F.col("_best.i").alias("_key"), F.col("_best.f").alias("_freq"))
 
 
 def containment_join(sets: DataFrame, set_col: str, targets: DataFrame, items_col: str,
-                     on: Sequence[str] = ()) -> DataFrame:
+                     on: Sequence[str] = (), rows_a_key: int | None = None) -> DataFrame:
     """Rows of ``sets`` x ``targets`` with equal ``on`` columns and ``set_col ⊆ items_col``.
 
     Column names of the two sides must be disjoint apart from ``on``.
     """
     on = list(on)
+    parts = F.floor(F.col("_freq") / F.lit(rows_a_key or ROWS_A_KEY)).cast("int")
     keys = rarest_item_keys(sets, set_col, targets, items_col, on)
-    sets_k = sets.join(keys, on + [set_col])
-    tgt = targets.select("*", F.explode(items_col).alias("_key"))
-    joined = tgt.join(sets_k, on + ["_key"])
-    return joined.filter(F.size(F.array_except(F.col(set_col), F.col(items_col))) == 0).drop("_key")
+    sets_k = (sets.join(keys, on + [set_col])
+              .withColumn("_part", F.explode(F.sequence(F.lit(0), parts))).drop("_freq"))
+    salted = (keys.withColumn("_parts", parts).filter("_parts > 0")
+              .groupBy(*on, "_key").agg(F.max("_parts").alias("_parts")))
+    # The row's own content decides its part, so a repeated task deals it alike.
+    tgt = targets.select("*", F.xxhash64(*targets.columns).alias("_h"), F.explode(items_col).alias("_key"))
+    tgt = (tgt.join(salted, on + ["_key"], "left")
+           .withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0))
+                       .otherwise(F.pmod("_h", F.col("_parts") + 1).cast("int"))).drop("_h", "_parts"))
+    joined = tgt.join(sets_k, on + ["_key", "_part"])
+    return joined.filter(F.size(F.array_except(F.col(set_col), F.col(items_col))) == 0).drop("_key", "_part")

@@ -21,7 +21,8 @@ def negative_support(rules: DataFrame, neg_tx: DataFrame, n_negative: int | None
     """Per rule, matching negative transactions (containment join keyed by (label, rarest item))."""
     n_neg = total(neg_tx, weight) if n_negative is None else int(n_negative)
     rule_keys = rules.select(label, "antecedent")
-    targets = neg_tx.select(label, F.col(features).alias("_nfeat"), F.col(weight).alias("_nw"))
+    # Equal transactions of different entities count together before the join.
+    targets = neg_tx.groupBy(label, F.col(features).alias("_nfeat")).agg(F.sum(weight).alias("_nw"))
     matched = (containment_join(rule_keys, "antecedent", targets, "_nfeat", on=[label])
                .groupBy(label, "antecedent").agg(F.sum("_nw").alias("n_neg_match")))
     out = rules.join(matched, [label, "antecedent"], "left")

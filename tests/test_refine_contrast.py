@@ -12,7 +12,8 @@ RULE_SCHEMA = ("antecedent array<string>, label_id int, support double, confiden
                "lift double, growth_rate double")
 
 
-def test_containment_join_brute_force(spark):
+@pytest.mark.parametrize("rows_a_key", [None, 4])
+def test_containment_join_brute_force(spark, rows_a_key):
     rnd = random.Random(11)
     vocab = [f"i{k}" for k in range(8)]
     sets = [(sorted(rnd.sample(vocab, rnd.randint(1, 3))), rnd.randrange(3)) for _ in range(30)]
@@ -21,12 +22,32 @@ def test_containment_join_brute_force(spark):
     sdf = spark.createDataFrame([(list(s), lab) for s, lab in sets], "S array<string>, label_id int")
     tdf = spark.createDataFrame(targets, "tid int, items array<string>, label_id int")
     got = sorted((tuple(r.S), r.label_id, r.tid)
-                 for r in containment.containment_join(sdf, "S", tdf, "items", on=["label_id"]).collect())
+                 for r in containment.containment_join(sdf, "S", tdf, "items", on=["label_id"],
+                                                        rows_a_key=rows_a_key).collect())
     want = sorted((s, lab, t) for s, lab in sets for t, items, tl in targets
                   if tl == lab and set(s) <= set(items))
     assert got == want
 
 
+def test_item_in_a_third_of_all_rows_is_spread(spark):
+    # With broadcasts off, no task of the join's target side reads more than a fifth of the hot item's rows.
+    rows = [(t, ["hot", f"x{t % 7}"] if t % 3 == 0 else [f"x{t % 7}", f"y{t}"]) for t in range(3000)]
+    tdf = spark.createDataFrame(rows, "tid int, items array<string>")
+    sdf = spark.createDataFrame([(["hot"],), (["hot", "x1"],)], "S array<string>")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = containment.containment_join(sdf, "S", tdf, "items", rows_a_key=50)
+        got = sorted((tuple(r.S), r.tid) for r in joined.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == sorted((s, t) for s in (("hot",), ("hot", "x1")) for t, items in rows if set(s) <= set(items))
+    key = containment.rarest_item_keys(sdf, "S", tdf, "items").filter("S = array('hot')").first()
+    assert key["_freq"] == 1000
+    parts = (tdf.filter("array_contains(items, 'hot')").groupBy(F.pmod(F.xxhash64("tid", "items"), F.lit(21))).count())
+    assert parts.agg(F.max("count")).first()[0] <= 200
+
+
 def test_growth_rate_anchor(spark):
     # Positive support 28/1909, one of 3611 negatives matches -> growth 52.96 (source log arithmetic).
     rules = spark.createDataFrame([(["F1"], 1, 28 / 1909)], "antecedent array<string>, label_id int, support double")
