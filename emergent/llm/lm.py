@@ -26,7 +26,7 @@ rows count each time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -147,10 +147,14 @@ def build_segment(h: np.ndarray, counts: np.ndarray, most_words: int) -> tuple[n
 class Filter:
     """The assembled log-frequency Bloom filter."""
 
-    def __init__(self, segments: list[np.ndarray]):
-        self.size = np.array([len(s) for s in segments], dtype=np.int64)
-        self.at = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.words = np.concatenate(segments) if segments else np.zeros(0, U)
+    def __init__(self, sizes: np.ndarray, segments: Iterable[tuple[int, bytes | np.ndarray]]):
+        """``sizes`` are the words of each bucket's segment (at least one); absent segments are empty."""
+        self.size = np.maximum(sizes, 1).astype(np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.words = np.zeros(int(self.size.sum()), U)
+        for bucket, segment in segments:
+            part = np.frombuffer(segment, U)
+            self.words[self.at[bucket]:self.at[bucket] + len(part)] = part
         self.estimate = estimates()
 
     def counts(self, h: np.ndarray) -> np.ndarray:
@@ -318,7 +322,7 @@ class Model:
 
 
 def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0, buckets: int | None = None,
-          most_bytes: int = 64 << 20, exact_tokens: int = 4_000_000) -> tuple[Model, DataFrame]:
+          most_bytes: int = 32 << 20, exact_tokens: int = 1_500_000) -> tuple[Model, DataFrame]:
     """Count, build and collect the model from ``texts(text binary)``; also returns the saved bucket table.
 
     What reaches the driver is bounded: the filter by ``most_bytes``, the exact
@@ -346,10 +350,13 @@ def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0
     keys = np.concatenate([np.frombuffer(r["h"], U) for r in got] or [np.zeros(0, U)])
     counts = np.concatenate([np.frombuffer(r["c"], np.int64) for r in got] or [np.zeros(0, np.int64)])
     by = np.argsort(keys)
-    segments = [np.zeros(1, U)] * buckets
-    for r in table.select("bucket", "segment").toLocalIterator():
-        segments[r["bucket"]] = np.frombuffer(r["segment"], U)
-    return Model(Filter(segments), keys[by], counts[by], tokens, distinct, order, mu, threshold), table
+    keys, counts = keys[by], counts[by]
+    sizes = np.zeros(buckets, np.int64)
+    for r in table.select("bucket", (F.length("segment") / 8).cast("int").alias("n")).collect():
+        sizes[r["bucket"]] = r["n"]
+    # One segment at a time, into its place.
+    filt = Filter(sizes, ((r["bucket"], r["segment"]) for r in table.select("bucket", "segment").toLocalIterator()))
+    return Model(filt, keys, counts, tokens, distinct, order, mu, threshold), table
 
 
 def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep: dict[str, Column],
