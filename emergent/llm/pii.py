@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ LONGEST = 39
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _PART = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -91,7 +92,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     matches of four parts one after the other.
     """
     out = [(lo, hi, 0) for lo, hi in _emails(text)] if "@" in text else []
-    for chain in _DOTTED.finditer(text):
+    for chain in _DOTTED.finditer(text) if "." in text else ():
+        if text.count(".", *chain.span()) < 3:
+            continue
         parts = list(_PART.finditer(text, *chain.span()))
         for k in range(0, len(parts) - 3, 4):
             if all(_small(p.group()) for p in parts[k:k + 4]):
@@ -449,7 +452,19 @@ def both(text: str | None, field: Field) -> tuple[list[tuple[int, int, int]], li
     if not text or not _ANY.search(text):
         return [], []
     base = base_spans(text)
-    added = [s for s in field.spans(text) if not any(lo < s[1] and s[0] < hi for lo, hi, _ in base)]
+    # The base as stretches apart from one another, so that one look-up tells whether a span meets any.
+    starts, ends = [], []
+    for lo, hi, _ in base:
+        if ends and lo < ends[-1]:
+            ends[-1] = max(hi, ends[-1])
+        else:
+            starts.append(lo)
+            ends.append(hi)
+    added = []
+    for s in field.spans(text):
+        k = bisect_left(starts, s[1]) - 1  # the last stretch that starts before the span ends
+        if k < 0 or ends[k] <= s[0]:
+            added.append(s)
     return base, sorted(base + added)
 
 
