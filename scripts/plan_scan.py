@@ -1,6 +1,10 @@
 """Execute every registered query and scan its final physical plan for nested-loop / cartesian joins.
 
-usage: python scripts/plan_scan.py [sf_dir]
+usage: python scripts/plan_scan.py [sf_dir] [--no-broadcast]
+
+``--no-broadcast`` shows the plans that large or skewed sides would get.  Python
+nodes are flagged in the mining engine's queries only: the training-data
+operators may use them.
 """
 
 from __future__ import annotations
@@ -10,17 +14,21 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from emergent.plans import register as _register  # noqa: E402
 from emergent.session import local_session  # noqa: E402
 
 BAD = ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "BatchEvalPython", "ArrowEvalPython")
 
 
 def main() -> int:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session()
+    if "--no-broadcast" in sys.argv:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     flagged = 0
-    for name, q in entry.queries().items():
+    for name, q in _register.QUERIES.items():
         df = q(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
