@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from emergent.llm.common import Scratch, arrow_map, rows_of
 
 #: Confidence of the error bound, in standard deviations of the estimate.
-EPSILON = 2.5
+EPSILON = 1.9
+#: Best estimates of a block that are scored exactly first, to know what the rest must reach.
+FIRST = 256
 #: Vectors of a block of codes, and queries of a block.
 CODES, QUERIES = 16_384, 1024
 
@@ -67,11 +69,12 @@ def search(queries: np.ndarray, vectors: np.ndarray, codes: np.ndarray, length:
     for lo in range(0, len(queries), 128):
         estimate = turned[lo:lo + 128] @ signs.T * scale
         for i, row in enumerate(estimate, lo):
-            if len(row) <= k:
+            if len(row) <= max(FIRST, k):
                 at = np.arange(len(row))
             else:
-                first = np.argpartition(-row, k - 1)[:k]
-                worst = (exact[first] * queries[i]).sum(axis=1).min()
+                m = max(FIRST, k)
+                first = np.argpartition(row, len(row) - m)[len(row) - m:]
+                worst = np.partition((exact[first] * queries[i]).sum(axis=1), m - k)[m - k]
                 # A hair of slack for the single-precision estimate.
                 slack = 1e-5 * (1 + abs(worst))
                 at = np.flatnonzero(row + spread * np.float32(size[i]) + np.float32(base[i]) >= worst - slack)
