@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from emergent.llm.common import Scratch, arrow_map, rows_of, text_bytes, words
 
 #: Tokens of a block whose n-grams are counted or scored together.
-BLOCK = 3_000_000
+BLOCK = 2_000_000
 #: Bytes of text that are split into words at a time, and words a worker remembers.
-AT_ONCE, REMEMBERED = 4 << 20, 1_000_000
+AT_ONCE, REMEMBERED = 2 << 20, 400_000
 #: Blanks cannot occur in words, so these two hashes are those of no word.
 START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(b" end")
 #: Quantisation base, bits of the filter for each item, bits that an item sets (all in one 64-bit word).
