@@ -8,6 +8,8 @@ from typing import Any
 
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from emergent.llm.common import hadoop_to_local
 
@@ -20,6 +22,21 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+#: Bytes of files that a task reads back.
+READ_BYTES = 32 << 20
+
+
+def by_place(index: DataFrame, *columns: str) -> DataFrame:
+    """Index rows dealt by file and offset to as many tasks as their records' bytes need, in order.
+
+    The rows are small whatever they point at, so the number of tasks comes from
+    the sum of the lengths, not from the size of the rows.
+    """
+    size = index.agg(F.sum("length")).first()[0] or 0
+    return (index.select(*columns).repartitionByRange(max(1, -(-size // READ_BYTES)), "file", "offset")
+            .sortWithinPartitions("file", "offset"))
+
+
 class Part:
     """One task attempt's output file; its name is unique, so a retried task never meets a half-written one.
 

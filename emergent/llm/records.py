@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from emergent.llm.common import Scratch, arrow_map, rows_of
 from emergent.llm.crc32c import crc32c, masked
-from emergent.llm.ranges import Part, coalesced
+from emergent.llm.ranges import Part, by_place, coalesced
 from emergent.llm.tokens import encoder
 
 HEAD = "<q?B2x"
@@ -105,8 +105,7 @@ def read_records(index: DataFrame) -> DataFrame:
     The rows are dealt by file and offset, so each task's reads coalesce; for a
     shuffled epoch, order the result by any key: only the index was needed.
     """
-    src = index.select("file", "offset", "length", "start").repartitionByRange("file", "offset") \
-        .sortWithinPartitions("file", "offset")
+    src = by_place(index, "file", "offset", "length", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emergent.llm.common import Scratch, arrow_map, rows_of, text_bytes
-from emergent.llm.ranges import Part, coalesced
+from emergent.llm.ranges import Part, by_place, coalesced
 
 #: Fixed value: the profile of revisits found by an equal payload digest.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -117,8 +117,7 @@ def read_archives(index: DataFrame, with_payload: bool = False) -> DataFrame:
     Columns: page_id, record_type, url, payload_digest, payload_bytes,
     refers_to, and the payload (null for revisits) if asked for.
     """
-    src = index.select("file", "offset", "length").repartitionByRange("file", "offset") \
-        .sortWithinPartitions("file", "offset")
+    src = by_place(index, "file", "offset", "length")
     names = ["page_id", "record_type", "url", "payload_digest", "payload_bytes", "refers_to", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
     keep = 7 if with_payload else 6
