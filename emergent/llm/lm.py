@@ -4,14 +4,14 @@ Training counts n-grams of all orders exactly: tasks count blocks of their
 texts and deal arrays of 64-bit n-gram hashes by hash bucket, so a frequent
 n-gram arrives once per block.  A bucket quantises its counts to levels
 ``1 + floor(log_b c)`` and puts (n-gram, 1) ... (n-gram, level) into its own
-segment of the filter.  A segment holds at most ``most_bytes / buckets`` bytes:
-where the bucket's n-grams need more, the least frequent count values are left
-out as a whole, the smallest threshold that fits, and such an n-gram is scored by
-its shorter history.  So the filter that is broadcast never exceeds
-``most_bytes``, and grows with the corpus below that.
+segment of the filter.  Every n-gram is in its segment, so the filter grows with
+the corpus; it stays in the written table, by bucket, and is neither collected
+nor broadcast.
 
 A probe asks for level 1, 2, ... until one is missing; the number of hits gives
-the count's estimate, for all orders.  Probabilities interpolate:
+the count's estimate, for all orders.  Texts are scored in blocks: a block's
+distinct n-grams are dealt by bucket to the segments, the levels come back to
+the block, and the block's texts are scored with them.  Probabilities interpolate:
 ``p(w | h) = (c(hw) + mu p(w | h')) / (c(h) + mu)``, down to an add-one unigram.
 
 The base score uses exact counts of single tokens.  Those of the most frequent
@@ -32,6 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,10 @@ from emergent.llm.common import Scratch, arrow_map, rows_of, text_bytes, words
 BLOCK = 2_000_000
 #: Bytes of text that are split into words at a time, and words a worker remembers.
 AT_ONCE, REMEMBERED = 2 << 20, 400_000
+#: Bytes of text, and texts, that are scored together.
+SCORED_BYTES, SCORED_TEXTS = 4 << 20, 50_000
+#: Parts of the blocks that are scored one after the other, so that only one part's n-grams are on disk.
+PARTS = 4
 #: Blanks cannot occur in words, so these two hashes are those of no word.
 START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(b" end")
 #: Quantisation base, bits of the filter for each item, bits that an item sets (all in one 64-bit word).
@@ -126,9 +131,11 @@ def _place(h: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> tu
     return word, bits
 
 
-def build_segment(h: np.ndarray, counts: np.ndarray, most_words: int) -> tuple[np.ndarray, int]:
-    """A bucket's part of the filter and the smallest count in it."""
+def build_segment(h: np.ndarray, counts: np.ndarray, most_words: int | None = None) -> tuple[np.ndarray, int]:
+    """A bucket's part of the filter, as large as its n-grams need unless bounded, and the smallest count in it."""
     level = level_of(counts)
+    if most_words is None:
+        most_words = max(1, -(-int(level.sum()) * BITS_AN_ITEM // 64))
     room = most_words * 64 // BITS_AN_ITEM
     order = np.argsort(-counts, kind="stable")
     fits = np.cumsum(level[order]) <= room
@@ -159,6 +166,10 @@ class Filter:
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Estimated counts by repeated probes."""
+        return self.estimate[self.levels(h)]
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """Levels by repeated probes, 0 where there is none."""
         level = np.zeros(len(h), dtype=np.int64)
         bucket = bucket_of(h, len(self.size))
         at, size, live, q = self.at[bucket], self.size[bucket], np.arange(len(h)), 1
@@ -170,7 +181,7 @@ class Filter:
             q += 1
             if q >= len(self.estimate):
                 break
-        return self.estimate[level]
+        return level
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], *cols: str) -> Iterator[list[tuple]]:
@@ -196,11 +207,11 @@ def _counted(tokens: np.ndarray, begin: np.ndarray, order: int) -> list[tuple[np
     return out
 
 
-def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int, most_bytes: int) -> DataFrame:
+def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int) -> DataFrame:
     """Count all n-grams of ``texts(text binary)`` and build the filter's segments.
 
-    One saved row per bucket: segment, its smallest count, and the bucket's
-    tokens with exact counts (hashes, counts, number by power of two).
+    One saved row per bucket: segment, and the bucket's tokens with exact
+    counts (hashes, counts, number by power of two).
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,14 +260,14 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
                                       len(h)).astype(np.int64)
 
             h, c = total(range(1, order + 1))
-            segment, least = build_segment(h, c, max(1, most_bytes // 8 // buckets))
+            segment, _ = build_segment(h, c)
             h, c = total(range(0, 1))
             by = np.bincount(np.floor(np.log2(c)).astype(np.int64), minlength=48)[:48] if len(c) else np.zeros(48, int)
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([segment.tobytes()]), pa.array([least], pa.int64()),
+                [pa.array([now], pa.int32()), pa.array([segment.tobytes()]),
                  pa.array([h.tobytes()]), pa.array([c.tobytes()]), pa.array([int(c.sum())], pa.int64()),
                  pa.array([by.tolist()], pa.list_(pa.int64()))],
-                names=["bucket", "segment", "least", "h", "c", "tokens", "by_power"])
+                names=["bucket", "segment", "h", "c", "tokens", "by_power"])
 
         for b in batches:
             for bucket, kind, h, c in rows_of(b, "bucket", "kind", "h", "c"):
@@ -268,7 +279,7 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
         if held:
             yield out()
 
-    return scratch.save(arrow_map(dealt, build, "bucket int, segment binary, least long, h binary, c binary, "
+    return scratch.save(arrow_map(dealt, build, "bucket int, segment binary, h binary, c binary, "
                                                 "tokens long, by_power array<long>"), "buckets")
 
 
@@ -281,16 +292,35 @@ def _wide_counts(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint8 if raw[:1] == b"\1" else "<u4", offset=1).astype(np.float64)
 
 
+def _asked(tokens: np.ndarray, begin: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-gram hashes of all orders, and where those of the occurrences are among them, order by order."""
+    inside = np.arange(len(tokens)) - np.repeat(begin[:-1], np.diff(begin))
+    return np.unique(np.concatenate([h[inside >= n - 1] for n, h in enumerate(grams(tokens, order), 1)]),
+                     return_inverse=True)
+
+
+def _dealt(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes' order by bucket, the buckets that have any, and where each one's begin (and the last ends)."""
+    own = bucket_of(h, buckets)
+    by = np.argsort(own, kind="stable")
+    some, at = np.unique(own[by], return_index=True)
+    return by, some, np.append(at, len(h))
+
+
 class Model:
-    """What scoring broadcasts: the filter and the exact counts of the most frequent tokens."""
+    """What scoring broadcasts: the exact counts of the most frequent tokens and a few numbers."""
 
-    def __init__(self, filt: Filter, keys: np.ndarray, counts: np.ndarray, tokens: int, distinct: int,
-                 order: int, mu: float, threshold: int):
-        self.filter, self.keys, self.counts = filt, keys, counts
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, order: int, mu: float,
+                 threshold: int, buckets: int):
+        self.keys, self.counts, self.buckets = keys, counts, buckets
         self.tokens, self.distinct, self.order, self.mu, self.threshold = tokens, distinct, order, mu, threshold
+        self.estimate = estimates()
+
+    def score(self, texts: list[bytes], answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
+        """Per text: tokens, known ones and sum of log10(c + 1) among the frequent, model score; and the rest's hashes.
 
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Per text: tokens, known ones and sum of log10(c + 1) among the frequent, model score; and the rest's hashes."""
+        ``answers`` are the levels of the texts' distinct n-grams, bucket by bucket.
+        """
         t, begin = token_hashes(texts)
         inside = np.arange(len(t)) - np.repeat(begin[:-1], np.diff(begin))
         own = inside > 0
@@ -304,33 +334,39 @@ class Model:
         logs = add(np.where(own, np.log10(exact + 1)[inverse], 0.0))
         rest = own & ~found[inverse] if self.threshold > 1 else np.zeros(len(t), bool)
 
-        grams_of = grams(t, self.order)
-        count = [self.filter.counts(mix(distinct + U(1)))[inverse]]
-        p = (count[0] + 1) / (self.tokens + self.distinct + 1)
-        for n in range(2, self.order + 1):
-            have = np.flatnonzero(inside >= n - 1)
+        h, where = _asked(t, begin, self.order)
+        estimated = np.zeros(len(h))
+        levels = np.frombuffer(b"".join(x for _, x in sorted(answers)), np.uint8)
+        estimated[_dealt(h, self.buckets)[0]] = self.estimate[levels]
+        history, p, done = None, None, 0
+        for n in range(1, self.order + 1):
+            have = inside >= n - 1
             c = np.zeros(len(t))
-            c[have] = self.filter.counts(grams_of[n - 1][have])
-            history = np.zeros(len(t))
-            history[1:] = count[-1][:-1]
-            better = (np.minimum(c, history) + self.mu * p) / (history + self.mu)
-            p = np.where(inside >= n - 1, better, p)
-            count.append(c)
+            here = int(have.sum())
+            c[have] = estimated[where[done:done + here]]
+            done += here
+            if n == 1:
+                p = (c + 1) / (self.tokens + self.distinct + 1)
+            else:
+                before = np.zeros(len(t))
+                before[1:] = history[:-1]
+                p = np.where(have, (np.minimum(c, before) + self.mu * p) / (before + self.mu), p)
+            history = c
         score = add(np.where(own, np.log10(p), 0.0))
         split = np.split(t[rest], np.cumsum(add(rest.astype(np.int64)))[:-1])
         return n_tokens, n_known, logs, score, split
 
 
 def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0, buckets: int | None = None,
-          most_bytes: int = 32 << 20, exact_tokens: int = 1_500_000) -> tuple[Model, DataFrame]:
-    """Count, build and collect the model from ``texts(text binary)``; also returns the saved bucket table.
+          exact_tokens: int = 1_500_000) -> tuple[Model, DataFrame]:
+    """Count and build the model from ``texts(text binary)``; also returns the saved bucket table, with the filter.
 
-    What reaches the driver is bounded: the filter by ``most_bytes``, the exact
-    counts by 16 bytes times ``exact_tokens``, and a few numbers per bucket.
+    What reaches the driver is bounded: the exact counts by 16 bytes times
+    ``exact_tokens``, and a few numbers.
     """
     spark = texts.sparkSession
     buckets = buckets or max(512, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = count_ngrams(texts, scratch, order=order, buckets=buckets, most_bytes=most_bytes)
+    table = count_ngrams(texts, scratch, order=order, buckets=buckets)
     powers = [r["n"] for r in table.select(F.posexplode("by_power").alias("power", "n")).groupBy("power")
               .agg(F.sum("n").alias("n")).orderBy("power").collect()]
     tokens = table.agg(F.sum("tokens")).first()[0] or 0
@@ -351,12 +387,79 @@ def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0
     counts = np.concatenate([np.frombuffer(r["c"], np.int64) for r in got] or [np.zeros(0, np.int64)])
     by = np.argsort(keys)
     keys, counts = keys[by], counts[by]
-    sizes = np.zeros(buckets, np.int64)
-    for r in table.select("bucket", (F.length("segment") / 8).cast("int").alias("n")).collect():
-        sizes[r["bucket"]] = r["n"]
-    # One segment at a time, into its place.
-    filt = Filter(sizes, ((r["bucket"], r["segment"]) for r in table.select("bucket", "segment").toLocalIterator()))
-    return Model(filt, keys, counts, tokens, distinct, order, mu, threshold), table
+    scratch.release()
+    return Model(keys, counts, tokens, distinct, order, mu, threshold, buckets), table
+
+
+def _runs_of(batches: Iterator[pa.RecordBatch], col: str) -> Iterator[pa.Table]:
+    """Runs of rows with one value of a column, each as a table."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for b in batches:
+        x = b.column(b.schema.get_field_index(col)).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(x)) + 1).tolist(), len(x)] if len(x) else []
+        for lo, hi in zip(cuts, cuts[1:]):
+            if held and x[lo] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = x[lo]
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of their block and their place in it; a block is a run of rows of one task."""
+    block, row, size = TaskContext.get().partitionId() << 32, 0, 0
+    for b in batches:
+        places = []
+        for t, in rows_of(b, "_text"):
+            if row and (size + len(t) > SCORED_BYTES or row >= SCORED_TEXTS):
+                block, row, size = block + 1, 0, 0
+            places.append((block, row))
+            row, size = row + 1, size + len(t)
+        blocks, rows = zip(*places) if places else ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(rows, pa.int32()), *b.columns],
+                                         names=["_block", "_row", *b.schema.names])
+
+
+def _answers(texts: DataFrame, table: DataFrame, order: int, buckets: int) -> DataFrame:
+    """``(_block, _bucket, _levels)``: the levels of each block's distinct n-grams, in the order of their hashes."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs_of(batches, "_block"):
+            h, _ = _asked(*token_hashes(t.column("_text").to_pylist()), order)
+            by, some, at = _dealt(h, buckets)
+            h = h[by]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), pa.array([t.column("_block")[0].as_py()] * len(some), pa.int64()),
+                 pa.array([h[lo:hi].tobytes() for lo, hi in zip(at, at[1:])], pa.binary())],
+                names=["bucket", "block", "x"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, filt = None, None
+        for b in batches:
+            for t in _runs_of(iter([b]), "bucket"):
+                rows = list(zip(t.column("block").to_pylist(), t.column("x").to_pylist()))
+                bucket = t.column("bucket")[0].as_py()
+                if bucket != now:  # the segment comes first, if the bucket has one
+                    segment = [np.frombuffer(x, U) for block, x in rows if block < 0]
+                    now, filt = bucket, Filter(np.array([sum(map(len, segment))]), enumerate(segment))
+                rows = [(block, np.frombuffer(x, U)) for block, x in rows if block >= 0]
+                if not rows:
+                    continue
+                levels = filt.levels(np.concatenate([h for _, h in rows])).astype(np.uint8)
+                cuts = np.cumsum([0, *(len(h) for _, h in rows)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block for block, _ in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int32()),
+                     pa.array([levels[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary())],
+                    names=["_block", "_bucket", "_levels"])
+
+    asked = arrow_map(texts.select("_block", "_row", "_text").repartition("_block")
+                      .sortWithinPartitions("_block", "_row"), ask, "bucket int, block long, x binary")
+    segments = table.select("bucket", F.lit(-1).cast("long").alias("block"), F.col("segment").alias("x"))
+    met = asked.unionByName(segments).repartition("bucket").sortWithinPartitions("bucket", "block")
+    return arrow_map(met, look, "_block long, _bucket int, _levels binary")
 
 
 def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep: dict[str, Column],
@@ -369,36 +472,40 @@ def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep:
     kinds = {f.name: f for f in src.schema.fields}
     types = ", ".join(f"{k} {kinds[k].dataType.simpleString()}" for k in names)
 
+    blocks = scratch.save(arrow_map(src, _blocked, f"_block long, _row int, _text binary, {types}"), "blocks")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
-            texts = [t for t, in rows_of(b, "_text")]
-            done, at = [], 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= AT_ONCE):
-                    size += len(texts[end])
-                    end += 1
-                done.append(m.score(texts[at:end]))
-                at = end
-            if not texts:
-                continue
-            made = [np.concatenate([d[k] for d in done]) for k in range(4)]
-            rest = [x.view(np.int64) for d in done for x in d[4]]
-            cols = [b.column(b.schema.get_field_index(k)) for k in names]
+        for t in _runs_of(batches, "_block"):
+            told = int((t.column("_row").to_numpy() < 0).sum())
+            answered, t = t.slice(0, told), t.slice(told)
+            n_tokens, n_known, logs, sums, rest = m.score(
+                t.column("_text").to_pylist(),
+                list(zip(answered.column("_bucket").to_pylist(), answered.column("_levels").to_pylist())))
+            cols = [t.column(k).combine_chunks() for k in ("_block", "_row", *names)]
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(made[0]), pa.array(made[1]), pa.array(made[2]), pa.array(made[3]),
-                 pa.array(rest, pa.list_(pa.int64()))],
-                names=[*names, "n_tokens", "n_known", "logs", "score", "rest"])
-
-    scored = arrow_map(src, run, f"{types}, n_tokens long, n_known long, logs double, score double, rest array<long>")
+                [*cols, pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(sums),
+                 pa.array([x.view(np.int64) for x in rest], pa.list_(pa.int64()))],
+                names=["_block", "_row", *names, "n_tokens", "n_known", "logs", "score", "rest"])
+
+    rows: DataFrame | None = None
+    for k in range(PARTS):
+        part = blocks.filter(F.pmod(F.xxhash64("_block"), F.lit(PARTS)) == k)
+        answers = _answers(part, table, model.order, model.buckets).withColumn("_row", F.lit(-1))
+        both = (part.unionByName(answers, allowMissingColumns=True).repartition("_block")
+                .sortWithinPartitions("_block", "_row"))
+        done = scratch.save(arrow_map(both, run, f"_block long, _row int, {types}, n_tokens long, n_known long, "
+                                                 "logs double, score double, rest array<long>"), f"scored{k}")
+        del both, answers
+        scratch.release()
+        rows = done if rows is None else rows.unionByName(done)
+    scratch.drop("blocks")
     smoothed = float(np.log10(model.tokens + model.distinct + 1))
     out = [*names, "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
            (F.col("logs") - F.col("n_tokens") * F.lit(smoothed)).alias("base_score"), "score"]
     if model.threshold <= 1:  # every training token's count was broadcast
-        return scored.drop("rest").select(*out)
-    # Occurrences of other tokens meet their counts in a join; the rows wait in a written table.
-    rows = scratch.save(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+        return rows.select(*out)
+    # Occurrences of other tokens meet their counts in a join.
     threshold = model.threshold
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,8 +516,8 @@ def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep:
                                                   pa.array(c[c < threshold])], names=["h", "c"])
 
     seen = arrow_map(table.select("h", "c"), rare, "h long, c long")
-    more = (rows.select("_row", F.explode("rest").alias("h")).join(seen, "h").groupBy("_row")
+    more = (rows.select("_block", "_row", F.explode("rest").alias("h")).join(seen, "h").groupBy("_block", "_row")
             .agg(F.count("*").alias("_known"), F.sum(F.log10(F.col("c") + 1)).alias("_logs")))
-    return (rows.drop("rest").join(more, "_row", "left")
+    return (rows.drop("rest").join(more, ["_block", "_row"], "left")
             .withColumn("n_known", F.col("n_known") + F.coalesce("_known", F.lit(0)))
             .withColumn("logs", F.col("logs") + F.coalesce("_logs", F.lit(0.0))).select(*out))

@@ -67,6 +67,30 @@ def test_filter_keeps_its_bound_and_misses_nothing():
     assert (lm.Filter(np.array([len(seg)]), [(0, seg)]).counts(kept) > 0).all()
 
 
+@pytest.mark.parametrize("buckets", [16, 1 << 22])
+def test_every_ngram_is_learned(llm_spark, monkeypatch, buckets):
+    """However little of any fixed size a bucket would get, the scores are those of all counts."""
+    monkeypatch.setattr(lm, "SCORED_BYTES", 500, raising=False)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = {i: " ".join(rng.choices(words, k=rng.randint(20, 60))) for i in range(60)}
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    df = llm_spark.createDataFrame([(i, t, "x", "y", 1) for i, t in texts.items()], DOCS).repartition(3)
+    learned = df.filter(~langid.held_out("doc_id", 7)).select(text_bytes("text").alias("text"))
+    scratch = Scratch(llm_spark, "t")
+    model, table = lm.train(learned, scratch, buckets=buckets)
+    got = {r["doc_id"]: r["score"] for r in lm.score(df, model, table, scratch, {"doc_id": F.col("doc_id")}).collect()}
+    rows = {i: [" start", *t.split(), " end"] for i, t in texts.items()}
+    one = Counter(w for i, r in rows.items() if not held(i) for w in r)
+    two = Counter(x for i, r in rows.items() if not held(i) for x in zip(r, r[1:]))
+    about = lambda c: lm.estimates()[lm.level_of(np.array([c]))[0]] if c else 0
+    n, v = sum(one.values()) - one[" start"], len(one) - 1
+    for i, r in rows.items():
+        want = sum(math.log10((min(about(two[a, b]), about(one[a])) + 4 * (about(one[b]) + 1) / (n + v + 1))
+                              / (about(one[a]) + 4)) for a, b in zip(r, r[1:]))
+        assert got[i] == pytest.approx(want, rel=0.03)
+
+
 def test_no_training_text(llm_spark):
     rows = [(i, "a b", None, None, 0) for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
     _, got = scored(llm_spark, rows)
