@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,11 +110,10 @@ def nearest(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
 
     center, turn = _mean(vectors, d), rotation(d)
     blocks = scratch.save(_code_blocks(vectors, d, center, turn), "codes")
-    n_blocks = blocks.count()
-    numbered = blocks.withColumn("block", F.row_number().over(Window.orderBy("least")) - 1)  # a row per block
-    pairs = (_query_blocks(searched, d).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-             if n_blocks else _query_blocks(searched, d).withColumn("block", F.lit(0)))
-    best = scratch.save(_searched(pairs.join(numbered, "block"), d, center, turn, k + 1), "best")
+    # A number per block of vectors; the blocks themselves go straight to their queries.
+    numbers = F.split(F.lit(",".join(str(r["block"]) for r in blocks.select("block").collect()) or None), ",")
+    pairs = _query_blocks(searched, d).withColumn("block", F.explode(numbers.cast("array<long>")))
+    best = scratch.save(_searched(pairs.join(blocks, "block"), d, center, turn, k + 1), "best")
 
     by = Window.partitionBy("g").orderBy(F.desc("score"), "least")
     top = (best.withColumn("least", F.col("ids")[0]).withColumn("n", F.row_number().over(by))
@@ -148,21 +148,21 @@ def _mean(vectors: DataFrame, d: int) -> np.ndarray:
 
 
 def _code_blocks(vectors: DataFrame, d: int, center: np.ndarray, turn: np.ndarray) -> DataFrame:
-    """Rows of at most ``CODES`` vectors: codes, scalars, the vectors for reranking and their ids."""
+    """Rows of at most ``CODES`` vectors: their number, codes, scalars, the vectors for reranking and their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _regrouped(batches, CODES):
+        for block, b in enumerate(_regrouped(batches, CODES), TaskContext.get().partitionId() << 32):
             v = _matrix(b.column(0), d)
             codes, length, fit = encode(v, center, turn)
             ids = b.column(1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids.flatten()[0].as_py()], pa.int64()), pa.array([codes.tobytes()]),
+                [pa.array([block], pa.int64()), pa.array([codes.tobytes()]),
                  pa.array([length.tobytes()]), pa.array([fit.tobytes()]), pa.array([v.tobytes()]),
                  pa.ListArray.from_arrays([0, len(ids)], ids)],
-                names=["least", "codes", "length", "fit", "vectors", "ids"])
+                names=["block", "codes", "length", "fit", "vectors", "ids"])
 
     return arrow_map(vectors.select("v", "ids"), run,
-                     "least long, codes binary, length binary, fit binary, vectors binary, ids array<array<long>>")
+                     "block long, codes binary, length binary, fit binary, vectors binary, ids array<array<long>>")
 
 
 def _regrouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:

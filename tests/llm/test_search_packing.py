@@ -48,6 +48,26 @@ def test_nearest(llm_spark, monkeypatch, d, codes, queries):
     assert [got[20][k][0] for k in range(1, 6)] == want[20]
 
 
+def test_blocks_are_numbered_without_moving_them(llm_spark, monkeypatch):
+    """The vectors never pass through one task on their way to the queries."""
+    plans, searched = [], ann._searched
+
+    def seen(pairs, *more):
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return searched(pairs, *more)
+
+    monkeypatch.setattr(ann, "_searched", seen)
+    monkeypatch.setattr(ann, "CODES", 10)
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(100)]
+    df = llm_spark.createDataFrame([(i, v, 1, "x") for i, v in rows], VECTORS).repartition(3)
+    got = {}
+    for r in ann.nearest(df, k=5, is_query=F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert {i: [v for _, v in sorted(g)] for i, g in got.items()} == slow_nearest(rows, 5, lambda i: i % 20 == 0)
+    assert len(plans) == 1 and "Window" not in plans[0] and "SinglePartition" not in plans[0]
+
+
 def test_nearest_of_few_and_none(llm_spark):
     df = llm_spark.createDataFrame([(20, [1.0, 2.0], 0, ""), (7, [2.0, 1.0], 0, "")], VECTORS)
     got = ann.nearest(df, k=20, is_query=F.col("vec_id") % 20 == 0).collect()
