@@ -48,16 +48,19 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)`` per row; ``fp`` is the fingerprint's 64 bits as a signed long."""
-    src = df.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 key: str | None = None) -> DataFrame:
+    """``(id, fp)`` per row, and ``key`` if there is one; ``fp`` is the fingerprint's 64 bits as a signed long."""
+    more = [F.col(key).cast("long").alias("key")] if key else []
+    src = df.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t, in rows_of(b, "text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]],
+                                             names=["id", "fp", *b.schema.names[2:]])
 
-    return arrow_map(src, run, "id long, fp long")
+    return arrow_map(src, run, "id long, fp long, key long" if key else "id long, fp long")
 
 
 def _masks(blocks: int, distance: int) -> list[int]:
@@ -122,12 +125,31 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row ``(id_col, fingerprint, component_id)``: 16 hex digits, smallest id reachable by links."""
     scratch = Scratch(df.sparkSession, "simhash")
     docs = scratch.save(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+    classes = _classes(docs, distance, scratch)
+    return docs.join(classes, "fp").select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _classes(docs: DataFrame, distance: int, scratch: Scratch) -> DataFrame:
+    """Saved ``(fp, root, component_id)`` per fingerprint of ``docs(id, fp)``; a root is one component's."""
     reps = docs.groupBy("fp").agg(F.min("id").alias("rep"))
     reps = scratch.save(reps, "representatives")
     parts = connected_components(near_links(reps.select("fp"), distance, scratch), scratch)
     rooted = (reps.join(parts, reps["fp"] == parts["node"], "left")
               .select("fp", "rep", F.coalesce("component", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = scratch.save(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return docs.join(classes, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return scratch.save(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3,
+                distance: int = 2) -> DataFrame:
+    """One row of each component, columns unchanged: that with the smallest id, nulls last, whatever ids repeat."""
+    scratch = Scratch(df.sparkSession, "simhash")
+    # A row number written with the rows tells them apart; ids need not.
+    rows = scratch.save(df.withColumn("_key", F.monotonically_increasing_id()), "rows")
+    docs = scratch.save(fingerprints(rows, id_col, text_col, shingle, "_key"), "fingerprints")
+    classes = _classes(docs.select("id", "fp"), distance, scratch).select("fp", "root")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
+    firsts = docs.groupBy("fp").agg(F.min(place).alias("p"))
+    firsts = firsts.join(classes, "fp").groupBy("root").agg(F.min("p").alias("p")).select(F.col("p.key").alias("_key"))
+    return rows.join(firsts, "_key", "left_semi").select(*df.columns)

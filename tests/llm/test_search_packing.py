@@ -166,6 +166,21 @@ def test_pipeline_stages(llm_spark):
     assert check_packed(packed.collect(), {i: r["text"] for i, r in rows(masked).items()}, 4096) == 0
 
 
+def test_one_row_of_each_component_stays(llm_spark):
+    """Null and shared ids: no text goes unless a near copy stays."""
+    import corpus_pipeline as p
+
+    rng = np.random.default_rng(6)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [(None, a), (None, b), (None, b), (5, c), (5, d), (5, d), (None, e), (9, e), (3, e), (3, f), (1, g), (2, f)]
+    docs = llm_spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars int")
+    got = p.near_duplicates(llm_spark, docs.repartition(3), "")
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    want = [(None, a), (None, b), (5, c), (5, d), (3, e), (2, f), (1, g)]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == sorted((i or 0, t) for i, t in want)
+
+
 def test_pipeline_of_nothing(llm_spark):
     import corpus_pipeline as p
 
