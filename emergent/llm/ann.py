@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from emergent.llm.common import Scratch, arrow_map, rows_of
 
 #: Confidence of the error bound, in standard deviations of the estimate.
-EPSILON = 1.9
+EPSILON = 2.5
 #: Best estimates of a block that are scored exactly first, to know what the rest must reach.
 FIRST = 256
 #: Vectors of a block of codes, and queries of a block.
