@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emergent.llm import ann, decontaminate, langid, lm, packing, pii, records, simhash, substrings, tokens, warc
+from emergent.llm import (ann, decontaminate, infill, langid, lm, packing, phrases, pii, records, simhash, substrings,
+                          tokens, urlrules, warc)
 from emergent.llm.common import Scratch, text_bytes
 
 #: Ids appended to a document's own: in the record files, and in packed sequences.
@@ -115,6 +116,84 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, d, "documents"), shingle=3, distance=2)
 
 
+def op11_phrases(spark: SparkSession, d: str) -> DataFrame:
+    """Each language's 2000 best phrases of two to four words that occur 30 times or more."""
+    return phrases.collocations(_table(spark, d, "documents"), longest=4, least=30, top=2000)
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+  AS phrase FROM w, (VALUES (1), (2), (3), (4)) v(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.a, v.i, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
+  FROM c JOIN (VALUES (1), (2), (3)) v(i) ON v.i < c.k
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:v.i], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[v.i + 1:c.k], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (SELECT c.lang, array_to_string(c.w[s.i:s.i + z.size - 1], ' ') AS phrase, max(c.a) AS holder
+  FROM c JOIN (VALUES (2), (3)) z(size) ON z.size < c.k JOIN (VALUES (1), (2), (3)) s(i) ON s.i + z.size - 1 <= c.k
+  GROUP BY ALL),
+best AS (SELECT k.*, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, k.phrase) AS rank
+  FROM weakest k LEFT JOIN inside i ON i.lang = k.lang AND i.phrase = k.phrase
+  WHERE coalesce(100 * i.holder < 80 * k.a, true))
+SELECT best.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM best JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+#: Host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op12_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The verdict of the longest rule that fits each page's url; urls without one are allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judged(_table(spark, d, "pages"), rules, default="allow")
+
+
+OP12_SQL = f"""
+WITH rules(rhost, rpath, verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+u AS (SELECT row_number() OVER () AS row, page_id,
+  translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages)
+SELECT page_id, host, path, rhost || rpath AS rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(rhost || rpath) DESC) = 1
+"""
+
+
+def op13_infill(spark: SparkSession, d: str) -> DataFrame:
+    """Fill-in-middle over lines, half of the documents suffix first, and the texts rebuilt from it."""
+    out = infill.transformed(_table(spark, d, "documents").select("doc_id", "text"), seed=7, fim_percent=100,
+                             spm_percent=50)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(infill.restored("form", "output"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS x FROM d),
+c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS i, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS j,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 100
+  THEN 'plain' WHEN x[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, coalesce(array_to_string(u[1:i], ''), '') AS prefix, coalesce(array_to_string(u[i + 1:j], ''), '') AS middle,
+  coalesce(array_to_string(u[j + 1:n], ''), '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def shipped(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """The same function, after which Python workers find the package where this process found it."""
 
@@ -130,8 +209,9 @@ def shipped(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: shipped(f) for f in (
-    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op7_substrings, op8_packing, op9_warc, op10_simhash)}
+    op1_token_records, op2_lm_scores, op3_pii, op4_decontamination, op5_nearest, op6_language, op7_substrings, op8_packing, op9_warc, op10_simhash,
+    op11_phrases, op12_url_rules, op13_infill)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": OP9_SQL}
+    return {"op9_warc": OP9_SQL, "op11_phrases": OP11_SQL, "op12_url_rules": OP12_SQL, "op13_infill": OP13_SQL}
