@@ -36,13 +36,15 @@ SOURCE_PARAMS = Params(min_support=0.003, min_confidence=0.15, min_growth=3.0, p
 
 def inputs_from_files(spark: SparkSession, entities_xml: str, bridge_tsv: str, associations_csv: str,
                       positive=split.POSITIVE_STATUS, negative=split.NEGATIVE_STATUS,
-                      bridge_positions=(0, 2, 3), row_tag: str = "drug", record_end: str | None = None,
-                      null_tokens=("",)) -> Inputs:
+                      bridge_positions=(0, 2, 3), row_tag: str = "drug", null_tokens=("",),
+                      input_order: bool = False) -> Inputs:
     """Role tables from the three source files (the XML is parsed once and written).
 
-    ``record_end`` is the text that ends every XML record (see ``read_entity_xml``).
+    With ``input_order`` the last of several records or names of one id counts,
+    as in the order of the files, else the greatest.
     """
-    ents = reliable(xml.read_entity_xml(spark, entities_xml, row_tag, terminator=record_end), "entities")
+    ents = reliable(xml.read_entity_xml(spark, entities_xml, row_tag, duplicates="last" if input_order else "greatest"),
+                    "entities")
     entities = ents.select("entity_id", "entity_name", F.array_sort("features").alias("features"))
     entity_bridge = ents.select("entity_id", F.explode("bridge").alias("bridge_item")).distinct()
     bridge_rows = delimited.read_label_bridge_tsv(spark, bridge_tsv, bridge_positions, null_tokens=null_tokens)
@@ -95,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--bridge-tsv", required=True)
     ap.add_argument("--associations-csv", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--record-end", help="text that ends every XML record (default: the end tag at the start of a line)")
+    ap.add_argument("--input-order", action="store_true", help="of several records of one id the last one counts")
     ap.add_argument("--source-nulls", action="store_true", help="read NA, null, None and the like as missing")
     ap.add_argument("--min-support", type=float, default=SOURCE_PARAMS.min_support)
     ap.add_argument("--min-confidence", type=float, default=SOURCE_PARAMS.min_confidence)
@@ -113,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
                        "min_confidence": a.min_confidence, "min_growth": a.min_growth,
                        "split_by_pair": a.split_by_pair, "support_base": a.support_base,
                        "dedup_prefer": a.dedup_prefer})
-    inputs = inputs_from_files(spark, a.entities_xml, a.bridge_tsv, a.associations_csv, record_end=a.record_end,
+    inputs = inputs_from_files(spark, a.entities_xml, a.bridge_tsv, a.associations_csv, input_order=a.input_order,
                                null_tokens=delimited.SOURCE_NULL_TOKENS if a.source_nulls else ("",))
     for name, path in run(Flow(spark, None, params, given=inputs), a.out, a.sweep).items():
         print(f"{name}\t{path}")

@@ -348,7 +348,11 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS entity_name,
                    'TARGET_' || replace(p_name, ' ', '_')], ' ') AS features,
   array_to_string(list_sort(list_distinct([upper(p_type), 'S' || CAST(p_size AS VARCHAR)])), ', ') AS bridge
 FROM part"""
-    q["xml_file_scan"] = q["xml_entity_scan"]
+    q["xml_file_scan"] = q["xml_last_record"] = q["xml_entity_scan"]
+    q["xml_layouts"] = q["xml_nested_genes"]
+    q["csv_files_by_name"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS label_name, p_brand AS label_id, 'Approved' AS status,
+  CASE WHEN p_partkey % 3 <> 2 THEN p_type END AS phase FROM part"""
     q["csv_roundtrip"] = _with(base) + " SELECT bridge_item, label_name, label_key FROM bridge_rows"
     q["assoc_csv_roundtrip"] = _with(base) + (
         " SELECT CAST(entity_id AS VARCHAR) AS entity_id, CAST(label_id AS VARCHAR) AS label_id, label_name, status,"

@@ -326,6 +326,44 @@ def q_xml_nested_genes(spark: SparkSession, d: str) -> DataFrame:
     return _entity_out(xml.read_entity_xml(spark, path))
 
 
+def q_xml_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Records by nesting depth, whatever the layout: indented, on one line, with row tags in comments and CDATA."""
+    path = scratch_path(spark, "layout-xml")
+    part = standin.table(spark, d, "part")
+    records = _nested_xml(part.filter("p_partkey % 2 = 0"))
+    noted = records.select(F.concat(
+        F.lit("<!-- <drug> </drug></drug> -->"), F.replace(
+            F.col("xml"), F.lit("<targets>"), F.lit("<!-- </drug> <drug> --><note><![CDATA[</drug>]]></note><targets>")),
+        F.lit("<drug/>")).alias("xml"))
+    sinks.write_xml_records(records, "xml", f"{path}/a", per_file=300, layout="indented")
+    sinks.write_xml_records(_nested_xml(part.filter("p_partkey % 4 = 1")), "xml", f"{path}/b", layout="one_line")
+    sinks.write_xml_records(noted, "xml", f"{path}/c", per_file=1000, layout="one_line")
+    sinks.write_xml_records(_nested_xml(part.filter("p_partkey % 4 = 3")), "xml", f"{path}/d", layout="indented")
+    return _entity_out(xml.read_entity_xml(spark, [f"{path}/{x}" for x in "abcd"]))
+
+
+def q_xml_last_record(spark: SparkSession, d: str) -> DataFrame:
+    """P5 in input order: of the records of one id the last in the file counts, though an earlier one is greater."""
+    path = scratch_path(spark, "repeated-xml")
+    text = F.col("xml")
+    earlier = F.regexp_replace(F.regexp_replace(text, "<name>", "<name>zz"), r"<target><name>[^<]*</name></target>", "")
+    twice = standin_entity_xml(standin.table(spark, d, "part")).select(F.explode(F.array(earlier, text)).alias("xml"))
+    sinks.write_xml_records(twice, "xml", path)
+    return _entity_out(xml.read_entity_xml(spark, path, duplicates="last"))
+
+
+def q_csv_files_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """S3: files with other column orders, and a column that only some have, in one scan."""
+    part = standin.table(spark, d, "part")
+    path = scratch_path(spark, "named-csv")
+    a = part.select(F.col("p_partkey").alias("drugbank_id"), F.col("p_name").alias("ind_name"),
+                    F.col("p_brand").alias("ind_id"), F.lit("Approved").alias("status"), F.col("p_type").alias("phase"))
+    orders = (a.columns, a.columns[::-1], ["status", "ind_id", "drugbank_id", "ind_name"])
+    for i, columns in enumerate(orders):
+        sinks.write_csv(a.filter(F.col("drugbank_id") % 3 == i).select(*columns), f"{path}/{i}")
+    return delimited.read_associations_csv(spark, [f"{path}/{i}" for i in range(len(orders))])
+
+
 def q_assoc_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """S3: associations written as a header CSV with the source's column names, read back."""
     a = flow(spark, d).assoc_all
@@ -469,6 +507,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_best_rankings": q_sweep_best_rankings,
     "sweep_best_representatives": q_sweep_best_representatives,
     "xml_nested_genes": q_xml_nested_genes,
+    "xml_layouts": q_xml_layouts,
+    "xml_last_record": q_xml_last_record,
+    "csv_files_by_name": q_csv_files_by_name,
     "csv_quoted": q_csv_quoted,
     "tsv_quoted": q_tsv_quoted,
     "split_sink": q_split_sink,

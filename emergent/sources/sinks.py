@@ -56,21 +56,26 @@ def write_candidates(cands: DataFrame, path: str, fmt: str = "csv", mode: str =
 
 
 def write_xml_records(records: DataFrame, xml_col: str, path: str, root_tag: str = "drugbank",
-                      per_file: int = 100_000, mode: str = "overwrite") -> None:
+                      per_file: int = 100_000, mode: str = "overwrite", layout: str = "lines") -> None:
     """Write one XML record per row as well-formed documents: a root element around each file's records.
 
     Each task numbers its own rows; the ``per_file`` rows of a document, and no
-    more, meet in one task.  Every record ends in its end tag at the start of a
-    line, which is where ``read_entity_xml`` splits.
+    more, meet in one task.  ``layout``: "lines" puts every record's end tag at
+    the start of a line, "indented" behind two blanks, "one_line" leaves no line
+    feed between records.
     """
+    ends = {"lines": "\n$1", "indented": "\n  $1", "one_line": "$1"}
+    if layout not in ends:
+        raise ValueError(f"layout must be one of {sorted(ends)}")
     number = F.monotonically_increasing_id()
     task, row = F.shiftright(number, 33), number.bitwiseAND((1 << 33) - 1)
     part = F.concat_ws("-", task, F.floor(row / per_file)).alias("part")
-    broken = F.regexp_replace(F.col(xml_col), r"\s*(</\w+>)\s*$", "\n$1")
+    broken = F.regexp_replace(F.col(xml_col), r"\s*(</\w+>)\s*$", ends[layout])
     rows = records.select(broken.alias("value"), part, row.alias("_n"))
     # Root tags are rows of their own, before the first and after the last row of a document.
     head = F.when(F.col("_n") % per_file == 0, F.concat(F.lit(f"<{root_tag}>\n"), F.col("value"))).otherwise(F.col("value"))
     last = F.lead("_n").over(Window.partitionBy("part").orderBy("_n")).isNull()
     value = F.when(last, F.concat(head, F.lit(f"\n</{root_tag}>"))).otherwise(head)
     docs = rows.select("part", "_n", value.alias("value"))
-    docs.sortWithinPartitions("part", "_n").select("part", "value").write.mode(mode).partitionBy("part").text(path)
+    docs.sortWithinPartitions("part", "_n").select("part", "value").write.mode(mode).partitionBy("part").text(
+        path, lineSep=" " if layout == "one_line" else "\n")

@@ -42,7 +42,7 @@ def test_entity_xml_scan(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "drugs.xml")
     with open(path, "w") as fh:
         fh.write(TOY_XML)
-    ents = {r.entity_id: r for r in xml.read_entity_xml(spark, path, terminator="\n  </drug>").collect()}
+    ents = {r.entity_id: r for r in xml.read_entity_xml(spark, path).collect()}
     assert set(ents) == {"DB001", "DB002", "DB004"}          # no primary id -> dropped; nested not a row
     a = ents["DB001"]
     assert a.entity_name == "Alpha"
@@ -148,3 +148,99 @@ def test_rule_file_is_in_order_of_lift(spark, tmpdir_path):
     parts = sorted(f for f in os.listdir(path) if f.endswith(".csv"))
     lifts = [float(line.rsplit(",", 1)[1]) for f in parts for line in open(os.path.join(path, f)).read().splitlines()[1:]]
     assert lifts == [3.0, 1.5, 0.5]
+
+
+def _drug(i, body="", targets="<target><name>T</name></target>"):
+    return f'<drug type="x"><drugbank-id primary="true">D{i}</drugbank-id><name>N{i}</name>{body}<targets>{targets}</targets></drug>'
+
+
+def _layouts():
+    nested = "<pathway><drugs><drug><name>in</name></drug><drug/></drugs></pathway><drug-interactions><drug-interaction>x</drug-interaction></drug-interactions>"
+    plain = [_drug(i) for i in range(40)]
+    deep = [_drug(i, nested * (i % 3)) for i in range(40)]
+    return {
+        "indented": "<drugbank>\n" + "\n".join("  " + p.replace("</drug>", "\n  </drug>") for p in plain) + "\n</drugbank>\n",
+        "one_line": '<?xml version="1.0"?><drugbank xmlns="http://x.y/z">' + "".join(plain) + "</drugbank>",
+        "one_indented": "<drugbank>\n" + "\n".join(p.replace("</drug>", "\n</drug>" if i != 7 else "\n  </drug>") for i, p in enumerate(plain)) + "\n</drugbank>",
+        "nested_one_line": "<drugbank>" + " ".join(deep) + "</drugbank>",
+        "spaced_end": "<drugbank>" + "".join(p[:-1] + " \n>" for p in deep) + "</drugbank>",
+        "comments": "<drugbank><!-- <drug> --><!-- </drug><drug> </drug --><drug/>" + "<!-- </drug> -->".join(
+            p.replace("<name>", "<!-- a <drug> b </drug> c --><name>").replace("<targets>", "<x><![CDATA[</drug> <drug><!--]]></x><targets>")
+            for p in deep) + "<!-- <drug>\n</drug>\n<drug> --></drugbank>",
+        "attributes": "<drugbank a='>' b=\"</x>\">" + "".join(p.replace('type="x"', "type='a>b' y=\"/>\"") for p in deep) + "<drug a='/' /></drugbank>",
+    }
+
+
+@pytest.mark.parametrize("layout,split", [(x, "300") for x in sorted(_layouts())] + [("one_indented", "64m"), ("comments", "64m")])
+def test_xml_records_in_any_layout_and_any_cut(spark, tmpdir_path, layout, split):
+    path = os.path.join(tmpdir_path, "a.xml")
+    with open(path, "w") as fh:
+        fh.write(_layouts()[layout])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        if split == "300":
+            assert xml._pieces(spark, path, "drug").select("block").distinct().count() > 8
+        assert xml.read_entity_xml(spark, path).count() == 40
+        rows = xml.read_entity_xml(spark, path).collect()
+        assert {(r.entity_id, r.entity_name, tuple(r.features)) for r in rows} == {
+            (f"D{i}", f"N{i}", ("TARGET_T",)) for i in range(40)}
+        texts = [r.xml for r in xml.read_xml_records(spark, path, "drug").orderBy("block", "row").collect()]
+        assert [t[t.index('true">') + 6:].split("<")[0] for t in texts] == [f"D{i}" for i in range(40)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("text", ["<r><drug>", "<r></drug></r>", "<r>" + _drug(1) + "</drug><drug></r>", "<r>" + _drug(1) + "<drug><name>x</name></r>"])
+def test_unmatched_row_tags_are_an_error_under_column_pruning(spark, tmpdir_path, text):
+    path = os.path.join(tmpdir_path, "a.xml")
+    with open(path, "w") as fh:
+        fh.write(text)
+    with pytest.raises(Exception, match="do not match"):
+        xml.read_entity_xml(spark, path).count()
+
+
+def test_malformed_xml_record_is_an_error_under_column_pruning(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "a.xml")
+    with open(path, "w") as fh:
+        fh.write("<r>" + _drug(1) + _drug(2, "<a><b></a></b>") + "</r>")
+    with pytest.raises(Exception, match="(?i)malformed|xml"):
+        xml.read_entity_xml(spark, path).select("entity_id").collect()
+
+
+def test_last_record_of_an_id_in_input_order(spark, tmpdir_path):
+    rec = [_drug(1).replace("N1", n) for n in ("zeta", "alpha", "mid")]
+    for name, order in (("a", rec), ("b", rec[::-1])):
+        path = os.path.join(tmpdir_path, f"{name}.xml")
+        with open(path, "w") as fh:
+            fh.write("<r>" + " ".join(order) + " " * 400 + "</r>")
+        assert xml.read_entity_xml(spark, path).first()["entity_name"] == "zeta"
+        assert xml.read_entity_xml(spark, path, duplicates="last").first()["entity_name"] == ("mid" if name == "a" else "zeta")
+    both = xml.read_entity_xml(spark, [os.path.join(tmpdir_path, f"{n}.xml") for n in "ba"], duplicates="last")
+    assert both.first()["entity_name"] == "zeta"
+    with pytest.raises(ValueError):
+        xml.read_entity_xml(spark, path, duplicates="first")
+
+
+def test_text_that_looks_like_a_namespace_is_kept(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "a.xml")
+    with open(path, "w") as fh:
+        fh.write("<r xmlns='u'>" + _drug(1).replace("N1", 'a xmlns="b" c:d="e" f').replace('type="x"', "type='x' xmlns:q='z' q:w='1'") + "</r>")
+    assert xml.read_entity_xml(spark, path).first()["entity_name"] == 'a xmlns="b" c:d="e" f'
+
+
+def test_csv_files_are_read_by_column_name(spark, tmpdir_path):
+    def put(name, text):
+        with open(os.path.join(tmpdir_path, name), "w") as fh:
+            fh.write(text)
+
+    put("a.csv", "drugbank_id,ind_id,ind_name,status,NCT\nE1,L1,Flu,Approved,n1\n")
+    put("b c%20.csv", '\ufeffstatus,"ind_name",ind_id,drugbank_id\nTerminated,"Co,ld",L2,E2\n')
+    put("empty.csv", "")
+    df = delimited.read_associations_csv(spark, tmpdir_path)
+    assert sorted(map(tuple, df.select("entity_id", "label_id", "label_name", "status", "NCT").collect())) == [
+        ("E1", "L1", "Flu", "Approved", "n1"), ("E2", "L2", "Co,ld", "Terminated", None)]
+    put("d.csv", "drugbank_id,ind_name,status\nE,Flu,Approved\n")
+    with pytest.raises(ValueError, match="ind_id.*d.csv"):
+        delimited.read_associations_csv(spark, tmpdir_path)
