@@ -1,17 +1,9 @@
 """Label-rule mining, without a bound on lengths or on how many sets are found.
 
 M2 ``mine_label_rules`` (default).  Every transaction carries exactly one label,
-so a rule ``S => label`` is a group count of (S, label).  Equal (features, label)
-rows are collapsed once.  A level's row is (antecedent, the features sorted
-after its last item, label, weight): the whole feature array is not carried.
-Level k+1 joins the rows with the frequent antecedents of level k and extends
-each by the items that pass the a-priori check, which runs on the small table of
-frequent sets (``_successors``).  Every transaction containing a set whose
-prefix is frequent with *some* label therefore produces it exactly once, which
-makes both ``n_rule`` (per label) and ``n_ante`` (all labels) exact.  One level
-is one join of the rows (broadcast by AQE when the frequent sets are small) and
-one aggregate of counts, combined before its shuffle; the level's rows are
-written, so no level is computed twice.
+so a rule ``S => label`` is a count of (S, label), and ``n_ante`` the sum of the
+set's counts over all labels.  ``vertical.frequent_sets`` counts them on bitmaps
+that are written once: a level shuffles counts, never rows.
 
 M1 ``mine_fpgrowth`` runs MLlib's parallel FP-Growth on mixed item arrays and
 keeps the rules of the same shape (F6).
@@ -22,12 +14,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emergent.functions.items import INF, prefixed
 from emergent.operators.transactions import total
+from emergent.operators.vertical import frequent_sets
 from emergent.session import reliable
 
 OK = "ok"
@@ -70,13 +63,13 @@ def min_count_for(min_support: float, n: int) -> int:
     return int(math.ceil(float(min_support) * n))
 
 
-def rule_metrics(counts: DataFrame, n_total: int) -> DataFrame:
+def rule_metrics(counts: DataFrame, n_total: int | Column) -> DataFrame:
     """The metrics of a rule from integer counts (same operation order as MLlib).
 
     ``leverage`` is the support above that of independent sides; ``conviction``
     is infinite for a rule without exceptions.
     """
-    n = F.lit(int(n_total)).cast("double")
+    n = (n_total if isinstance(n_total, Column) else F.lit(int(n_total))).cast("double")
     support = F.col("n_rule").cast("double") / n
     conf = F.col("n_rule").cast("double") / F.col("n_ante")
     p_label = F.col("n_label").cast("double") / n
@@ -89,7 +82,7 @@ def rule_metrics(counts: DataFrame, n_total: int) -> DataFrame:
                         .otherwise((F.lit(1.0) - p_label) / (F.lit(1.0) - conf))))
 
 
-def _empty_rules(tx: DataFrame, label: str) -> DataFrame:
+def empty_rules(tx: DataFrame, label: str) -> DataFrame:
     spark = tx.sparkSession
     label_type = tx.schema[label].dataType
     schema = T.StructType([
@@ -108,90 +101,52 @@ def _empty_rules(tx: DataFrame, label: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _successors(sets: DataFrame, k: int) -> DataFrame:
-    """A-priori check for level k+1: ``(antecedent, _next)`` from the frequent k-sets ``sets(antecedent)``.
+def rule_counts(counts: DataFrame, mc: int, label: str, ante: Column | None = None) -> DataFrame:
+    """``(antecedent, label, length, n_rule, n_ante)`` of the label counts that reach ``mc``.
 
-    ``antecedent + [x]`` can only be frequent if every k-subset of it is.  The
-    candidates share their first k-1 items with another frequent set that ends
-    in x; the subsets that drop an earlier item are looked up one by one.  All
-    of this reads the table of frequent sets, never the transactions.
+    ``ante`` sums a set's counts (default: all of them).  The labels kept of an
+    antecedent are at most ``n_ante / mc``, so their list is bounded by
+    ``1 / min_support``.
     """
-    cut = sets.select("antecedent", F.slice("antecedent", 1, k - 1).alias("_p"), F.element_at("antecedent", -1).alias("_z"))
-    other = cut.select("_p", F.col("_z").alias("_x"))
-    pairs = cut.join(other, "_p").filter("_x > _z").select("antecedent", "_x")
-    for i in range(k - 1):
-        rest = F.concat(F.slice("antecedent", 1, i), F.slice("antecedent", i + 2, k), F.array("_x"))
-        pairs = pairs.withColumn("_s", rest).join(sets.select(F.col("antecedent").alias("_s")), "_s", "left_semi").drop("_s")
-    return pairs.groupBy("antecedent").agg(F.collect_list("_x").alias("_next"))
-
-
-def _counts(rows: DataFrame, label: str, weight: str, mc: int) -> DataFrame:
-    """``(antecedent, label, n_rule, n_ante)`` of the pairs that reach the support threshold.
-
-    The labels kept of an antecedent are at most ``n_ante / mc``, so their list
-    is bounded by ``1 / min_support``.
-    """
-    per_label = rows.groupBy("antecedent", label).agg(F.sum(weight).alias("n_rule"))
-    hit = F.when(F.col("n_rule") >= F.lit(mc), F.struct(F.col(label), "n_rule"))
-    return (per_label.groupBy("antecedent").agg(F.sum("n_rule").alias("n_ante"), F.collect_list(hit).alias("_hits"))
-            .select("antecedent", "n_ante", F.explode("_hits").alias("_h"))
-            .select("antecedent", F.col(f"_h.{label}").alias(label), F.col("_h.n_rule").alias("n_rule"), "n_ante"))
+    hit = F.when(F.col(label).isNotNull() & (F.col("n") >= F.lit(mc)), F.struct(F.col(label), F.col("n").alias("n_rule")))
+    return (counts.groupBy("antecedent", "length")
+            .agg((F.sum("n") if ante is None else ante).alias("n_ante"), F.collect_list(hit).alias("_hits"))
+            .select("antecedent", "length", "n_ante", F.explode("_hits").alias("_h"))
+            .select("antecedent", "_h.*", "length", "n_ante"))
 
 
 def mine_label_rules(tx: DataFrame, min_support: float, min_confidence: float,
                      max_antecedent: int | None = None,
                      label: str = "label_id", features: str = "features",
                      weight: str = "multiplicity", n_total: int | None = None,
-                     support_base: int | None = None) -> Mined:
+                     support_base: int | None = None, ones: DataFrame | None = None) -> Mined:
     """M2: all rules ``antecedent => label`` (of at most ``max_antecedent`` items, if that is given).
 
     ``tx`` holds (label, features sorted+distinct, multiplicity).  The support
     threshold and, by default, the reported support and lift are relative to
     the transactions of ``tx`` (the pruned count in the source flow, trap Q-1);
     ``support_base`` gives another denominator for the reported metrics (e.g.
-    the unpruned count).
+    the unpruned count).  ``ones`` are ``tx``'s item counts, if they are known.
     """
     n = total(tx, weight) if n_total is None else int(n_total)
     if n == 0:
-        return Mined(_empty_rules(tx, label), 0, 0, 0, EMPTY)
+        return Mined(empty_rules(tx, label), 0, 0, 0, EMPTY)
     mc = min_count_for(min_support, n)
-    base = reliable(tx.groupBy(label, features).agg(F.sum(weight).alias(weight)), "tx-distinct", spread=True)
-    rows = (base.select(label, weight, F.col(features).alias("_f"), F.posexplode(features).alias("_i", "_x"))
-            .select(label, weight, F.array("_x").alias("antecedent"),
-                    F.slice("_f", F.col("_i") + 2, F.size("_f")).alias("_rest")))
-    levels: list[DataFrame] = []
-    n_sets, k = 0, 1
-    while True:
-        counts = reliable(_counts(rows, label, weight, mc), f"sets-{k}")
-        n_k = counts.count()
-        if n_k == 0:
-            break
-        n_sets += n_k
-        levels.append(counts.withColumn("length", F.lit(k)))
-        if k == max_antecedent:
-            break
-        sets = counts.select("antecedent").distinct()
-        if k == 1:
-            longer = rows.join(sets, "antecedent", "left_semi").withColumn("_new", F.col("_rest"))
-        else:
-            longer = rows.join(_successors(sets, k), "antecedent").withColumn("_new", F.array_intersect("_rest", "_next"))
-        rows = reliable(longer.select(label, weight, "antecedent", "_rest", F.explode("_new").alias("_x"))
-                        .select(label, weight, F.concat("antecedent", F.array("_x")).alias("antecedent"),
-                                F.filter("_rest", lambda y: y > F.col("_x")).alias("_rest")), f"rows-{k + 1}")
-        k += 1
-    if not levels:
-        return Mined(_empty_rules(tx, label), n, mc, 0, NO_RULES)
-    allk = levels[0]
-    for lv in levels[1:]:
-        allk = allk.unionByName(lv)
-    n_label = base.groupBy(label).agg(F.sum(weight).alias("n_label"))
+    counts, n_sets = frequent_sets(tx, mc, max_antecedent, label, features, weight, ones)
+    if counts is None:
+        return Mined(empty_rules(tx, label), n, mc, 0, NO_RULES)
+    allk = rule_counts(counts, mc, label)
+    n_label = tx.groupBy(label).agg(F.sum(weight).alias("n_label"))
     base_n = n if support_base is None else int(support_base)
     rules = rule_metrics(allk.join(n_label, label), base_n).filter(F.col("confidence") >= F.lit(float(min_confidence)))
-    rules = rules.select("antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
-                         F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
-                         "support", "confidence", "lift", "leverage", "conviction")
     # Every later step reads the rules several times.
-    return Mined(reliable(rules, "rules"), n, mc, n_sets, OK, allk)
+    return Mined(reliable(rule_columns(rules, label), "rules"), n, mc, n_sets, OK, allk)
+
+
+def rule_columns(rules: DataFrame, label: str, *more: str) -> DataFrame:
+    return rules.select(*more, "antecedent", label, F.col("length").cast("int"), F.col("n_rule").cast("bigint"),
+                        F.col("n_ante").cast("bigint"), F.col("n_label").cast("bigint"),
+                        "support", "confidence", "lift", "leverage", "conviction")
 
 
 EXPAND_CHUNK = 4096

@@ -1,11 +1,14 @@
-"""Support x confidence sweep.
-
-The driver loops over supports only (each changes pruning, N and the mined
-set); confidences are a parameter frame of a few rows joined to the rules
-(``confidence >= conf``), so one mining run serves a whole row of the grid.
-A pair is a candidate of cell (s, c) iff its best matching rule mined at s has
-confidence >= c, so each support needs one containment join.  Only statuses
-and counts reach the driver.
+"""Support x confidence sweep on one lattice.
+
+Every support of the grid prunes items and labels at its own threshold, but
+pruning never changes the count of a (set, label) that survives it.  So the
+sets are mined once, on unpruned transactions at the lowest count that any cell
+asks for; a set's antecedent count at a support sums its label counts over the
+labels frequent there, and a label's size counts its transactions that keep an
+item.  The rules of all supports are one table with the support's index, with
+one negative-support join and one rule x entity join over the distinct rules.
+Confidence cells never multiply rows.  Only statuses and a few totals reach the
+driver.
 """
 
 from __future__ import annotations
@@ -13,15 +16,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emergent.operators.containment import containment_join
 from emergent.operators.contrast import growth_rate, high_contrast, negative_support
-from emergent.operators.mining import mine_label_rules, restrict_support
-from emergent.operators.mining import OK as OK_MINED
-from emergent.operators.transactions import prune_transactions, total
+from emergent.operators.mining import empty_rules, min_count_for, rule_columns, rule_counts, rule_metrics
+from emergent.operators.transactions import total
+from emergent.operators.vertical import frequent_sets, item_label_counts
 from emergent.session import reliable
 
 # Fixed values of the source's sweep.
@@ -44,38 +47,72 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def _at_least_counter(spark, confidences: Sequence[float]):
-    """Per grid cell, aggregates over the rows whose value is >= the cell's confidence.
+def _at_least(spark: SparkSession, df: DataFrame, value: str, supports: Sequence[float], confidences: Sequence[float],
+              aggs: dict[str, Column]) -> DataFrame:
+    """Per cell, aggregates over the rows of its support whose value is >= its confidence.
 
     Each row gets ``k`` = how many grid confidences it meets (a column
-    expression, no replication of rows per cell); one aggregate over ``k``
-    (at most |grid| + 1 groups) and a cumulative sum over the grid ranks
-    (a frame bounded by the parameter list) give every cell's counts.
+    expression, no replication of rows per cell); one aggregate over ``k`` and a
+    cumulative sum over the grid ranks (frames bounded by the parameter list)
+    give every cell's counts.
     """
     order = sorted(range(len(confidences)), key=lambda i: confidences[i])
-    ranks = spark.createDataFrame([(i, r + 1) for r, i in enumerate(order)], "conf_idx int, _r int")
-    w = Window.orderBy(F.col("_r").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def count(df: DataFrame, value: str, aggs: dict) -> DataFrame:
-        k = sum((F.col(value) >= F.lit(float(c))).cast("int") for c in confidences)
-        hist = df.groupBy(k.alias("_k")).agg(*[a.alias(n) for n, a in aggs.items()])
-        per_rank = ranks.join(hist, ranks["_r"] == hist["_k"], "left")
-        return per_rank.select("conf_idx", *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(w).cast("bigint").alias(n)
-                                             for n in aggs])
-
-    return count
+    cells = spark.createDataFrame([(si, i, r + 1) for si in range(len(supports)) for r, i in enumerate(order)],
+                                  "supp_idx int, conf_idx int, _k int")
+    w = Window.partitionBy("supp_idx").orderBy(F.col("_k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    k = sum((F.col(value) >= F.lit(float(c))).cast("int") for c in confidences)
+    hist = df.groupBy("supp_idx", k.alias("_k")).agg(*[a.alias(n) for n, a in aggs.items()])
+    return cells.join(hist, ["supp_idx", "_k"], "left").select(
+        "supp_idx", "conf_idx", *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(w).cast("bigint").alias(n) for n in aggs])
 
 
 def _matches(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame) -> DataFrame:
-    """(entity, label, rule n_rule, rule confidence, hit flag) for every rule matching an unknown pair."""
-    r = rules.select("label_id", "antecedent", "n_rule", F.col("confidence").alias("_rc"))
+    """(entity, label, antecedent, hit flag) for every rule matching an unknown pair."""
     ents = entities.select("entity_id", F.col("features").alias("_efeat"))
-    return (containment_join(r, "antecedent", ents, "_efeat").drop("_efeat")
+    return (containment_join(rules.select("label_id", "antecedent"), "antecedent", ents, "_efeat").drop("_efeat")
             .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
             .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
                   ["entity_id", "label_id"], "left"))
 
 
+def grid_rules(tx: DataFrame, entities: DataFrame, supports: Sequence[float], min_confidence: float,
+               max_antecedent: int | None = None) -> DataFrame:
+    """The rules of every support, after its own pruning, from one mining run: ``supp_idx`` and the columns of a rule."""
+    spark, m = tx.sparkSession, len(supports)
+    n_all = total(tx)
+    floors = [float(s) * n_all for s in supports]
+    ones = item_label_counts(tx, "label_id", "features", "multiplicity")
+    items = ones.groupBy("item").agg(F.sum("n").alias("_freq"))
+    # A transaction survives where its label and its most frequent item do.
+    best = (entities.select("entity_id", F.explode("features").alias("item")).join(items, "item")
+            .groupBy("entity_id").agg(F.max("_freq").alias("_best")))
+    kept = [F.sum(F.when(F.col("_best") >= F.lit(f), F.col("multiplicity")).otherwise(0)) for f in floors]
+    sizes = reliable(tx.join(best, "entity_id").groupBy("label_id").agg(
+        F.sum("multiplicity").alias("_lfreq"), F.array(*kept).alias("_sizes")), "label-sizes")
+    row = sizes.agg(*(F.sum(F.when(F.col("_lfreq") >= F.lit(f), F.col("_sizes")[i])) for i, f in enumerate(floors))).first()
+    totals = [int(x or 0) for x in row]
+    cuts = [min_count_for(s, n) for s, n in zip(supports, totals)]
+    alive = [c for c, n in zip(cuts, totals) if n > 0]
+    lowest = max(1, min(alive, default=1))
+    counts, _ = (frequent_sets(tx, lowest, max_antecedent, ones=ones) if alive else (None, 0))
+    if counts is None:
+        return empty_rules(tx, "label_id").withColumn("supp_idx", F.lit(0))
+    labelled = counts.join(sizes.select("label_id", "_lfreq"), "label_id", "left")
+    antes = F.array(*(F.sum(F.when(F.col("_lfreq") >= F.lit(f), F.col("n")).otherwise(0)) for f in floors))
+    sets = rule_counts(labelled, lowest, "label_id", antes)
+    least = (counts.select("antecedent").distinct().select("antecedent", F.explode("antecedent").alias("item"))
+             .join(items, "item").groupBy("antecedent").agg(F.min("_freq").alias("_least")))
+    cell = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f).alias("floor"), F.lit(c).alias("cut"),
+                                        F.lit(n).alias("total")) for i, (f, c, n) in enumerate(zip(floors, cuts, totals)))))
+    rows = (sets.withColumnRenamed("n_ante", "_antes").join(sizes, "label_id").join(least, "antecedent")
+            .withColumn("_cell", cell)
+            .filter("_cell.total > 0 AND n_rule >= _cell.cut AND _lfreq >= _cell.floor AND _least >= _cell.floor"))
+    i = F.col("_cell.i")
+    rows = rows.withColumn("supp_idx", i).withColumn("n_ante", F.get("_antes", i)).withColumn("n_label", F.get("_sizes", i))
+    rules = rule_metrics(rows, F.col("_cell.total")).filter(F.col("confidence") >= F.lit(float(min_confidence)))
+    return reliable(rule_columns(rules, "label_id", "supp_idx"), "grid-rules")
+
+
 @dataclass
 class SweepResult:
     report: DataFrame
@@ -101,71 +138,31 @@ def run_sweep(tx_pos: DataFrame, entities: DataFrame, neg_tx: DataFrame, known_p
     empty pruned set).  Every cell is evaluated.
     """
     spark = tx_pos.sparkSession
-    grid = spark.createDataFrame([(i, float(c)) for i, c in enumerate(confidences)],
-                                 "conf_idx int, conf double")
-    at_least = _at_least_counter(spark, confidences)
-    n_all = total(tx_pos)
-    n_neg = total(neg_tx)
-    parts: list[DataFrame] = []
-    high_rules: dict[int, DataFrame] = {}
-    min_conf = min(confidences)
-    pruned = [prune_transactions(tx_pos, entities, s, n_all) for s in supports]
-    # Supports whose pruning is the identity share one mining run at the lowest
-    # of them (exact, see mining.restrict_support) and one negative-support join.
-    same = [i for i, p in enumerate(pruned) if not p.changed]
-    base = base_contrast = base_matches = None
-    if same:
-        lo = min(same, key=lambda i: supports[i])
-        base = mine_label_rules(tx_pos, supports[lo], min_conf, max_antecedent=max_antecedent)
-        if base.status == OK_MINED:
-            base_contrast = reliable(growth_rate(negative_support(base.rules, neg_tx, n_neg)), "contrast")
-    for si, s in enumerate(supports):
-        if base is not None and si in same:
-            mined = restrict_support(base, s)
-        else:
-            ptx = reliable(pruned[si].tx, "tx-pruned", spread=True) if pruned[si].changed else pruned[si].tx
-            mined = mine_label_rules(ptx, s, min_conf, max_antecedent=max_antecedent)
-        mined_rules = mined.rules
-        n_mined = at_least(mined_rules, "confidence", {"n_mined": F.count(F.lit(1))})
-        if base_contrast is not None and si in same:
-            contrasted = base_contrast.filter(F.col("n_rule") >= F.lit(mined.min_count))
-        else:
-            contrasted = reliable(growth_rate(negative_support(mined_rules, neg_tx, n_neg)), "contrast")
-        rules = high_contrast(contrasted, min_growth)
-        high_rules[si] = rules
-        n_rules = at_least(rules, "confidence", {"n_rules": F.count(F.lit(1))})
-        if base_contrast is not None and si in same:
-            # Rules at this support are the shared run's rules with n_rule >= min count:
-            # match them against the entities once and filter the written matches.
-            if base_matches is None:
-                base_matches = reliable(_matches(high_contrast(base_contrast, min_growth), entities,
-                                                 known_pairs, test_pairs), "sweep-matches")
-            matched = base_matches.filter(F.col("n_rule") >= F.lit(mined.min_count))
-        else:
-            matched = _matches(rules, entities, known_pairs, test_pairs)
-        pairs = matched.groupBy("entity_id", "label_id").agg(F.max("_rc").alias("_best"),
-                                                             F.max("_hit").alias("_hit"))
-        counts = at_least(pairs, "_best", {"hits": F.count_if(F.col("_hit").isNotNull()),
-                                           "novel": F.count_if(F.col("_hit").isNull())})
-        cell = (grid.join(n_mined, "conf_idx", "left").join(n_rules, "conf_idx", "left")
-                .join(counts, "conf_idx", "left")
-                .select(F.lit(si).cast("int").alias("supp_idx"), F.col("conf_idx").cast("int"),
-                        F.lit(float(s)).alias("supp"), "conf",
-                        F.coalesce("n_rules", F.lit(0)).cast("bigint").alias("n_rules"),
-                        F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"),
-                        F.coalesce("novel", F.lit(0)).cast("bigint").alias("novel"),
-                        F.when(F.coalesce("n_mined", F.lit(0)) == 0, F.lit(NO_RULES)).otherwise(F.lit(OK))
-                        .alias("status")))
-        cell = cell.withColumn("n_rules", F.when(F.col("status") == NO_RULES, F.lit(0).cast("bigint"))
-                               .otherwise(F.col("n_rules")))
-        parts.append(cell)
-    if not parts:
+    if not supports or not confidences:
         return SweepResult(spark.createDataFrame([], REPORT_SCHEMA).withColumn("score", F.lit(0).cast("bigint")), {})
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    report = report.withColumn("score", F.col("hits") * F.lit(HIT_WEIGHT) + F.col("n_rules"))
-    return SweepResult(report, high_rules)
+    rules = grid_rules(tx_pos, entities, supports, min(confidences), max_antecedent)
+    keys = rules.select("label_id", "antecedent").distinct()
+    against = negative_support(keys, neg_tx, total(neg_tx))
+    high = reliable(high_contrast(growth_rate(rules.join(against, ["label_id", "antecedent"])), min_growth), "grid-high")
+    matched = _matches(high.select("label_id", "antecedent").distinct(), entities, known_pairs, test_pairs)
+    pairs = (matched.join(high.select("supp_idx", "label_id", "antecedent", "confidence"), ["label_id", "antecedent"])
+             .groupBy("supp_idx", "entity_id", "label_id").agg(F.max("confidence").alias("_best"),
+                                                               F.max("_hit").alias("_hit")))
+
+    def cells(df: DataFrame, value: str, aggs: dict[str, Column]) -> DataFrame:
+        return _at_least(spark, df, value, supports, confidences, aggs)
+
+    counted = (cells(rules, "confidence", {"n_mined": F.count(F.lit(1))})
+               .join(cells(high, "confidence", {"n_rules": F.count(F.lit(1))}), ["supp_idx", "conf_idx"])
+               .join(cells(pairs, "_best", {"hits": F.count_if(F.col("_hit").isNotNull()),
+                                            "novel": F.count_if(F.col("_hit").isNull())}), ["supp_idx", "conf_idx"]))
+    grid = spark.createDataFrame([(i, j, float(s), float(c)) for i, s in enumerate(supports)
+                                  for j, c in enumerate(confidences)], "supp_idx int, conf_idx int, supp double, conf double")
+    report = grid.join(counted, ["supp_idx", "conf_idx"]).select(
+        "supp_idx", "conf_idx", "supp", "conf", "n_rules", "hits", "novel",
+        F.when(F.col("n_mined") == 0, F.lit(NO_RULES)).otherwise(F.lit(OK)).alias("status"))
+    report = reliable(report.withColumn("score", F.col("hits") * F.lit(HIT_WEIGHT) + F.col("n_rules")), "sweep-report")
+    return SweepResult(report, {i: high.filter(F.col("supp_idx") == i).drop("supp_idx") for i in range(len(supports))})
 
 
 def best_cell(report: DataFrame) -> DataFrame:

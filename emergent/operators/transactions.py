@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emergent.functions.items import prefixed
+from emergent.operators.vertical import item_label_counts
 from emergent.session import reliable
 
 
@@ -70,6 +71,7 @@ class Pruned:
     threshold: float
     frequent_features: DataFrame
     frequent_labels: DataFrame
+    item_counts: DataFrame          # (item, label, n) of the transactions before pruning
     changed: bool = True            # False when nothing was infrequent (tx returned as is)
 
 
@@ -86,7 +88,8 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
     """
     n = total(tx) if n_total is None else n_total
     thr = float(min_support) * n
-    fq = reliable(feature_frequency(tx, features), "feature-frequency")
+    ones = item_label_counts(tx, label, features, "multiplicity")
+    fq = ones.groupBy("item").agg(F.sum("n").alias("frequency"))
     lq = reliable(label_frequency(tx, label), "label-frequency")
     ff = fq.filter(F.col("frequency") >= F.lit(thr))
     lf = lq.filter(F.col("frequency") >= F.lit(thr))
@@ -95,7 +98,7 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
                   .limit(1).count())
     if infrequent == 0:
         # Nothing to drop: every transaction keeps all its items (>= 1 feature plus its label).
-        return Pruned(tx.select(entity, label, "multiplicity", features), n, thr, ff, lf, changed=False)
+        return Pruned(tx.select(entity, label, "multiplicity", features), n, thr, ff, lf, ones, changed=False)
     kept = (entities.select(entity, F.explode(features).alias("item"))
             .join(ff.select("item"), "item", "left_semi")
             .groupBy(entity).agg(F.array_sort(F.collect_list("item")).alias(features)))
@@ -103,7 +106,7 @@ def prune_transactions(tx: DataFrame, entities: DataFrame, min_support: float,
            .join(lf.select(label), label, "left_semi")
            .join(kept, entity)
            .select(entity, label, "multiplicity", features))
-    return Pruned(out, n, thr, ff, lf)
+    return Pruned(out, n, thr, ff, lf, ones)
 
 
 def vocabulary_stats(tx: DataFrame, pruned: Pruned, label: str = "label_id",

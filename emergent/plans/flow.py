@@ -210,7 +210,8 @@ class Flow:
             raise ValueError(f"support_base must be 'pruned' or 'all', not {p.support_base!r}")
         base = self.n_pos if p.support_base == "all" else None
         return mining.mine_label_rules(self.pruned.tx, p.min_support, p.min_confidence,
-                                       max_antecedent=p.max_antecedent, support_base=base)
+                                       max_antecedent=p.max_antecedent, support_base=base,
+                                       ones=None if self.pruned.changed else self.pruned.item_counts)
 
     @cached_property
     def fpgrowth(self) -> tuple[DataFrame, DataFrame]:

@@ -121,3 +121,29 @@ def test_restrict_support_equals_direct_mining(spark):
     derived = mining.restrict_support(mining.mine_label_rules(tx, 0.02, 0.1), 0.05)
     assert derived.status == direct.status and derived.n_itemsets == direct.n_itemsets
     assert sorted(map(tuple, derived.rules.select(cols).collect())) == sorted(map(tuple, direct.rules.select(cols).collect()))
+
+
+@pytest.mark.parametrize("rows_a_block,pairs,support", [(8192, 2_000_000, 0.01), (64, 5, 0.01), (128, 40, 0.03)])
+def test_bitmaps_equal_brute_force_whatever_the_blocks_and_passes(spark, monkeypatch, rows_a_block, pairs, support):
+    from emergent.operators import vertical
+
+    monkeypatch.setattr(vertical, "BLOCK_ROWS", rows_a_block)
+    monkeypatch.setattr(vertical, "PAIRS_A_PASS", pairs)
+    feats, rows = random_tx(31, n_labels=7, n_rows=500, vocab=12)
+    rows += [(0, 1)] * 300 + [(3, 99)]          # multiplicities over several planes, a label below every threshold
+    tx = to_frames(spark, feats, rows).repartition(3)
+    got = {(tuple(r.antecedent), r.label_id): (r.n_rule, r.n_ante, r.n_label)
+           for r in mining.mine_label_rules(tx, support, 0.1).rules.collect()}
+    assert got == brute_rules(feats, rows, support, 0.1)
+    short = mining.mine_label_rules(tx, support, 0.1, max_antecedent=2).rules
+    assert short.agg(F.max("length")).first()[0] <= 2
+    assert short.count() == sum(len(k[0]) <= 2 for k in got)
+
+
+def test_items_that_never_meet_and_text_labels(spark):
+    rows = [("x", ["a", "é"], 3), ("y", ["b"], 4), ("y", ["a", "b"], 1), ("é", ["c"], 2), (None, ["a"], 9)]
+    tx = spark.createDataFrame(rows, "label_id string, features array<string>, multiplicity long").filter("label_id is not null")
+    got = {(tuple(r.antecedent), r.label_id): (r.n_rule, r.n_ante, r.n_label)
+           for r in mining.mine_label_rules(tx, 0.1, 0.0).rules.collect()}
+    assert got == {(("a",), "x"): (3, 4, 3), (("é",), "x"): (3, 3, 3), (("a", "é"), "x"): (3, 3, 3), (("a",), "y"): (1, 4, 5),
+                   (("b",), "y"): (5, 5, 5), (("a", "b"), "y"): (1, 1, 5), (("c",), "é"): (2, 2, 2)}

@@ -129,3 +129,23 @@ def test_representative_per_label(spark):
     assert rep == {1: ("a", "b"), 2: ("c",)}
     assert refine.infinity_cap(rules.filter(F.col("growth_rate") == INF)) == 15.0
     assert refine.infinity_cap(rules) == 3.0
+
+
+def test_one_lattice_equals_direct_runs_with_real_pruning(spark):
+    from emergent.operators import mining, sweep, transactions
+
+    rnd = random.Random(5)
+    feats = {e: sorted({f"F{min(int(rnd.expovariate(0.25)), 14)}" for _ in range(rnd.randint(1, 5))}) for e in range(60)}
+    rows = [(rnd.randrange(60), min(int(rnd.expovariate(0.5)), 6)) for _ in range(700)] + [(1, 2)] * 90
+    ents = spark.createDataFrame(list(feats.items()), "entity_id int, features array<string>")
+    tx = transactions.build_transactions(transactions.pair_counts(spark.createDataFrame(rows, "entity_id int, label_id int")), ents)
+    supports = (0.2, 0.05, 0.01, 0.9)
+    cols = ["antecedent", "label_id", "length", "n_rule", "n_ante", "n_label", "support", "confidence", "lift", "leverage"]
+    got = sweep.grid_rules(tx, ents, supports, 0.05).collect()
+    changed = 0
+    for i, s in enumerate(supports):
+        p = transactions.prune_transactions(tx, ents, s)
+        changed += p.changed
+        want = mining.mine_label_rules(p.tx, s, 0.05).rules.select(cols).collect()
+        assert sorted(tuple(r[c] for c in cols) for r in got if r["supp_idx"] == i) == sorted(map(tuple, want))
+    assert changed >= 3
