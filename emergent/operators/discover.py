@@ -75,7 +75,7 @@ def rule_matches(rules: DataFrame, entities: DataFrame, prefixes: Sequence[str]
     if prefixes is not None:
         r = r.withColumn("antecedent", restrict_prefix("antecedent", *prefixes)).filter(F.size("antecedent") > 0)
     ents = entities.select(entity, F.col("features").alias("_efeat"))
-    return containment_join(r, "antecedent", ents, "_efeat").drop("_efeat")
+    return containment_join(r, "antecedent", ents, "_efeat", target_key=[entity]).drop("_efeat")
 
 
 def label_pairs(pairs: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame,

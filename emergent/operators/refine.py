@@ -52,9 +52,9 @@ def remove_redundant(rules: DataFrame, conf_tol: float = CONF_TOL, supp_tol: flo
         )
         redundant = (containment_join(older, "antecedent", longer, "_items", on=[label]).filter(close)
                      .select(label, F.col("_items").alias("antecedent")).distinct())
-        kept = kept.unionByName(level.join(redundant, [label, "antecedent"], "left_anti"))
-        if checkpoint:
-            kept = reliable(kept)
+        left = level.join(redundant, [label, "antecedent"], "left_anti")
+        # A length is written once and only read by the longer ones.
+        kept = kept.unionByName(reliable(left, f"kept-{k}") if checkpoint else left)
     return kept.drop("_len")
 
 

@@ -69,7 +69,8 @@ def _at_least(spark: SparkSession, df: DataFrame, value: str, supports: Sequence
 def _matches(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame) -> DataFrame:
     """(entity, label, antecedent, hit flag) for every rule matching an unknown pair."""
     ents = entities.select("entity_id", F.col("features").alias("_efeat"))
-    return (containment_join(rules.select("label_id", "antecedent"), "antecedent", ents, "_efeat").drop("_efeat")
+    return (containment_join(rules.select("label_id", "antecedent"), "antecedent", ents, "_efeat",
+                             target_key=["entity_id"]).drop("_efeat")
             .join(known_pairs.select("entity_id", "label_id"), ["entity_id", "label_id"], "left_anti")
             .join(test_pairs.select("entity_id", "label_id").distinct().withColumn("_hit", F.lit(True)),
                   ["entity_id", "label_id"], "left"))
