@@ -11,12 +11,14 @@ map side, instead of a window over every candidate row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emergent.functions.items import INDIRECT, mesh_id, restrict_prefix, sorted_text, strip_prefix_upper
 from emergent.operators.containment import containment_join
+from emergent.session import reliable
 
 ENTITY = "entity_id"
 LABEL = "label_id"
@@ -185,26 +187,69 @@ def holdout_summary(cands: DataFrame, test_pairs: DataFrame | None = None,
                                            / F.lit(float(n_reach))).otherwise(F.lit(None).cast("double")))
 
 
-#: Parts into which every entity's bridge items are dealt in the evidence join.
-BRIDGE_PARTS = 16
+#: Bridge items of one entity or label that go to one part of the evidence join.
+HUB_ITEMS = 100_000
+
+
+@dataclass
+class Bridges:
+    """Written bridge tables with their measured degrees: items without prefix, upper-cased, distinct."""
+
+    entity_items: DataFrame       # (entity, bridge_item), only items of some label
+    label_items: DataFrame        # (label, bridge_item)
+    entity_degrees: DataFrame     # (entity, _de)
+    label_degrees: DataFrame      # (label, _dl)
+
+
+def prepare_bridges(entity_bridge: DataFrame, label_bridge_pairs: DataFrame, entity: str = ENTITY, label: str = LABEL,
+                    prefix: str = "GENE_") -> Bridges:
+    """P7 on both sides; entity items that no label has are dropped before anything is joined."""
+    item = strip_prefix_upper("bridge_item", prefix).alias("bridge_item")
+    right = reliable(label_bridge_pairs.select(label, item).distinct(), "label-bridge")
+    left = reliable(entity_bridge.select(entity, item).distinct()
+                    .join(right.select("bridge_item").distinct(), "bridge_item", "left_semi"), "entity-bridge")
+    return Bridges(left, right, left.groupBy(entity).agg(F.count(F.lit(1)).alias("_de")),
+                   right.groupBy(label).agg(F.count(F.lit(1)).alias("_dl")))
+
+
+def _met(pairs: DataFrame, items: DataFrame, degrees: DataFrame, key: str, degree: str, other: DataFrame, other_key: str,
+         hub_items: int) -> DataFrame:
+    """``pairs`` with the items of their ``key`` that the other side has too.
+
+    Only a hub's pairs are repeated, once for each range of its items; a hub has
+    at least ``hub_items`` of them, so there is at most one per so many rows.
+    """
+    parts = F.floor(F.col(degree) / F.lit(hub_items)).cast("int")
+    hubs = degrees.filter(F.col(degree) >= hub_items).select(key, parts.alias("_parts"))
+    dealt = items.join(hubs, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("bridge_item"), F.col("_parts") + 1).cast("int"))).drop("_parts")
+    asked = pairs.withColumn("_part", F.explode(F.sequence(F.lit(0), parts))).drop("_de", "_dl")
+    return (asked.join(dealt, [key, "_part"]).join(other, [other_key, "bridge_item"], "left_semi")
+            .select(key, other_key, "bridge_item"))
 
 
 def bridge_evidence(cands: DataFrame, entity_bridge: DataFrame, label_bridge_pairs: DataFrame,
                     entity: str = ENTITY, label: str = LABEL, prefix: str = "GENE_") -> DataFrame:
-    """R6 + P7 + P12 + P13: entity bridge ∩ label bridge per candidate.
+    """R6 + P7 + P12 + P13: entity bridge ∩ label bridge per candidate."""
+    return evidence(cands, prepare_bridges(entity_bridge, label_bridge_pairs, entity, label, prefix), entity, label)
+
+
+def evidence(cands: DataFrame, bridges: Bridges, entity: str = ENTITY, label: str = LABEL,
+             hub_items: int | None = None) -> DataFrame:
+    """R6 on prepared bridges: each pair goes through the items of its smaller side, light or heavy.
 
-    Both sides lose ``prefix`` and are upper-cased, so symbols match whatever
-    their case.  The join key is (entity, part of the item's hash): a hub
-    entity's bridge is spread over ``BRIDGE_PARTS`` tasks.  A candidate's list
-    holds what both sides share, at most the label's own bridge.
+    Where the entity has no more items than the label, the pair is expanded by
+    the entity's items and these are looked up among the label's; elsewhere the
+    other way round.  The rows made are the sum of the smaller degrees, whoever
+    is a hub.  A candidate's list holds what both sides share.
     """
-    item = strip_prefix_upper("bridge_item", prefix)
-    part = F.pmod(F.xxhash64("bridge_item"), F.lit(BRIDGE_PARTS)).cast("int").alias("_part")
-    left = entity_bridge.select(entity, item.alias("bridge_item")).distinct().select("*", part)
-    right = label_bridge_pairs.select(label, item.alias("bridge_item")).distinct()
-    pairs = cands.select(entity, label).distinct().withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.lit(BRIDGE_PARTS - 1))))
-    shared = (pairs.join(left, [entity, "_part"]).join(right, [label, "bridge_item"], "left_semi"))
+    hub = hub_items or HUB_ITEMS
+    pairs = (cands.select(entity, label).distinct().join(bridges.entity_degrees, entity).join(bridges.label_degrees, label))
+    light = _met(pairs.filter("_de <= _dl"), bridges.entity_items, bridges.entity_degrees, entity, "_de",
+                 bridges.label_items, label, hub)
+    heavy = _met(pairs.filter("_de > _dl"), bridges.label_items, bridges.label_degrees, label, "_dl",
+                 bridges.entity_items, entity, hub)
+    shared = light.unionByName(heavy)
     sets = shared.groupBy(entity, label).agg(F.array_sort(F.collect_list("bridge_item")).alias("bridge"))
     out = cands.join(sets, [entity, label], "left").withColumn(
         "bridge", F.coalesce(F.col("bridge"), F.array().cast("array<string>")))

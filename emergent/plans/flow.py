@@ -262,7 +262,11 @@ class Flow:
         return self.candidates_of(self.nonredundant)
 
     def with_evidence(self, cands: DataFrame) -> DataFrame:
-        return discover.bridge_evidence(cands, self.entity_bridge, self.label_bridge)
+        return discover.evidence(cands, self.bridges)
+
+    @cached_property
+    def bridges(self) -> discover.Bridges:
+        return discover.prepare_bridges(self.entity_bridge, self.label_bridge)
 
     def result_tables(self, rules: DataFrame, cands: DataFrame) -> dict[str, DataFrame]:
         """R2-R10 of some non-redundant rules and their candidates: what the source reports and writes.

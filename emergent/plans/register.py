@@ -165,7 +165,7 @@ def q_candidates_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def q_bridge_evidence(spark: SparkSession, d: str) -> DataFrame:
     f = flow(spark, d)
-    ev = discover.bridge_evidence(f.candidates_dedup, f.entity_bridge, f.label_bridge)
+    ev = f.with_evidence(f.candidates_dedup)
     return ev.select("entity_id", "label_id", "bridge_text")
 
 

@@ -134,3 +134,22 @@ def test_scan_pushdown_and_pruning(spark):
     assert "In(l_returnflag, [N,R])" in li[0]                      # status filter reaches the scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_returnflag:string>" in li[0]
     assert flow(spark, SF).assoc is not None
+
+
+@pytest.mark.parametrize("hub_items", [None, 3, 1])
+def test_evidence_of_hubs_and_light_entities_equals_brute_force(spark, hub_items):
+    import random
+
+    from emergent.operators import discover
+
+    rnd = random.Random(2)
+    ents = {e: {f"g{rnd.randrange(60)}" for _ in range(rnd.choice([0, 1, 3, 50]))} for e in range(25)}
+    labs = {d: {f"G{rnd.randrange(80)}" for _ in range(rnd.choice([1, 2, 70]))} for d in range(9)}
+    pairs = [(e, d) for e in range(26) for d in range(10) if rnd.random() < 0.6]
+    eb = spark.createDataFrame([(e, g) for e, s in ents.items() for g in s], "entity_id int, bridge_item string")
+    lb = spark.createDataFrame([(d, "GENE_" + g) for d, s in labs.items() for g in s] * 2, "label_id int, bridge_item string")
+    cands = spark.createDataFrame(pairs, "entity_id int, label_id int")
+    got = discover.evidence(cands, discover.prepare_bridges(eb, lb), hub_items=hub_items).collect()
+    assert {(r.entity_id, r.label_id): set(r.bridge) for r in got} == {
+        (e, d): {x.upper() for x in ents.get(e, ())} & labs.get(d, set()) for e, d in pairs}
+    assert len(got) == len(pairs)
