@@ -153,3 +153,25 @@ def test_evidence_of_hubs_and_light_entities_equals_brute_force(spark, hub_items
     assert {(r.entity_id, r.label_id): set(r.bridge) for r in got} == {
         (e, d): {x.upper() for x in ents.get(e, ())} & labs.get(d, set()) for e, d in pairs}
     assert len(got) == len(pairs)
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.2, 1 / 3, 1.0])
+def test_exact_split_selects_as_a_sort_does(spark, monkeypatch, fraction):
+    import hashlib
+    import math
+    import random
+
+    rnd = random.Random(4)
+    keys = [f"k{rnd.randrange(400)}" for _ in range(700)] + ["hot"] * 350      # a third of all rows share one hash
+    rows = [(rnd.choice(["a", "b", None]) if k != "hot" else "a", k, i) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "class string, key string, n int").repartition(5)
+    out = split.exact_split(df, [F.md5("key"), F.col("n")], test_fraction=fraction)
+    assert out.columns == ["class", "key", "n", "split"]
+    got = {r.n: r.split for r in out.collect()}
+    want = {}
+    for c in ("a", "b", None):
+        mine = sorted((hashlib.md5(k.encode()).hexdigest(), i) for cl, k, i in rows if cl == c)
+        for rank, (_, i) in enumerate(mine):
+            want[i] = "test" if rank < math.ceil(fraction * len(mine)) else "train"
+    assert got == want
+    assert split.exact_split(df.limit(0), [F.md5("key"), F.col("n")]).count() == 0
