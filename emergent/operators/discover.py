@@ -27,9 +27,12 @@ LABEL = "label_id"
 def label_names(assoc: DataFrame, bridge_rows: DataFrame | None = None, label: str = LABEL) -> DataFrame:
     """A3 + J2: name of every label: association name, else bridge-table name by ``MESH:`` id, else the id.
 
-    "Last row wins" has no meaning without a row order, so the greatest name is taken.
+    Of several names the greatest is taken, or the last one where the rows have a ``place``.
     """
-    names = assoc.groupBy(label).agg(F.max("label_name").alias("_an"))
+    name = F.max("label_name")
+    if "place" in assoc.columns:
+        name = F.max_by("label_name", F.when(F.col("label_name").isNotNull(), F.col("place")))
+    names = assoc.groupBy(label).agg(name.alias("_an"))
     if bridge_rows is not None:
         bn = bridge_rows.groupBy("label_key").agg(F.max("label_name").alias("_bn"))
         names = names.join(bn, mesh_id(label) == F.col("label_key"), "left").drop("label_key")

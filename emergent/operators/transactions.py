@@ -9,6 +9,7 @@ associations as separate transactions without materialising them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -123,3 +124,24 @@ def vocabulary_stats(tx: DataFrame, pruned: Pruned, label: str = "label_id",
              .unionByName(one(pruned.tx, "tx_after", F.sum(weight))))
     return parts.agg(*(F.sum(F.when(F.col("k") == name, F.col("v"))).alias(name)
                        for name in ("items_before", "items_after", "tx_before", "tx_after")))
+
+
+#: log2 of a vocabulary sketch's registers, and the relative error that its estimates stay within (over five
+#: standard errors of such a sketch).
+SKETCH_BITS, SKETCH_BAND = 14, 0.04
+
+
+def vocabulary_sketches(tx: DataFrame, by: Sequence[str], label: str = "label_id", features: str = "features",
+                        label_prefix: str = "LABEL_", bits: int = SKETCH_BITS) -> DataFrame:
+    """A5 at scale: ``(by..., sketch)``, a mergeable sketch of the distinct items per group of transactions.
+
+    One row of at most ``2 ** bits`` bytes a group, combined map side: no item is
+    shuffled.  Store it, and ``merged_vocabulary`` answers any union of groups.
+    """
+    item = F.explode(F.concat(F.col(features), F.array(prefixed(label_prefix, label)))).alias("_item")
+    return tx.select(*by, item).groupBy(*by).agg(F.hll_sketch_agg("_item", bits).alias("sketch"))
+
+
+def merged_vocabulary(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., items)``: the estimated number of distinct items of the union of each group's sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("items"))

@@ -48,9 +48,10 @@ def inputs_from_files(spark: SparkSession, entities_xml: str, bridge_tsv: str, a
     entities = ents.select("entity_id", "entity_name", F.array_sort("features").alias("features"))
     entity_bridge = ents.select("entity_id", F.explode("bridge").alias("bridge_item")).distinct()
     bridge_rows = delimited.read_label_bridge_tsv(spark, bridge_tsv, bridge_positions, null_tokens=null_tokens)
-    raw = delimited.read_associations_csv(spark, associations_csv, null_tokens=null_tokens)
+    raw = delimited.read_associations_csv(spark, associations_csv, null_tokens=null_tokens,
+                                          place="place" if input_order else None)
     # A row's side of the split depends only on its content (identical rows share a side).
-    key = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in raw.columns])
+    key = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in raw.columns if c != "place"])
     return Inputs(raw.withColumn("split_key", key), entities, bridge_rows, entity_bridge,
                   tuple(positive), tuple(negative))
 
@@ -69,7 +70,7 @@ def run(flow: Flow, out_dir: str, with_sweep: bool = False) -> dict[str, str]:
         paths[name] = os.path.join(out_dir, name)
         sinks.write_csv(df, paths[name])
 
-    sinks.write_splits(flow.assoc.drop("split_key"), os.path.join(out_dir, "splits"))
+    sinks.write_splits(flow.assoc.drop("split_key", "place"), os.path.join(out_dir, "splits"))
     paths["splits"] = os.path.join(out_dir, "splits")
 
     def put_all(tables: dict[str, DataFrame], prefix: str) -> None:

@@ -53,7 +53,7 @@ PARAMS = Params()
 class Inputs:
     """Role tables of a flow.
 
-    assoc_all: entity_id, label_id, label_name, status, split_key (text hashed by the split)
+    assoc_all: entity_id, label_id, label_name, status, split_key (text hashed by the split), place (optional row order)
     entities: entity_id, entity_name, features (sorted, distinct)
     bridge_rows: bridge_item, label_name, label_key
     entity_bridge: entity_id, bridge_item
@@ -131,8 +131,9 @@ class Flow:
                  .withColumn("split", F.when(F.col("class").isNotNull(), F.col("split"))))
         # The name is a grouping key (hash aggregation with a count buffer); a
         # string max() buffer would force a sort-based aggregate over every row.
+        last = [F.max("place").alias("place")] if "place" in a.columns else []
         t = keyed.groupBy("entity_id", "label_id", "label_name", "class", "split").agg(
-            F.count(F.lit(1)).alias("multiplicity"))
+            F.count(F.lit(1)).alias("multiplicity"), *last)
         return reliable(t, "pairs")
 
     def _cell(self, cls: str, part: str | None) -> DataFrame:

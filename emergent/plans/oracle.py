@@ -349,7 +349,15 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS entity_name,
   array_to_string(list_sort(list_distinct([upper(p_type), 'S' || CAST(p_size AS VARCHAR)])), ', ') AS bridge
 FROM part"""
     q["xml_file_scan"] = q["xml_last_record"] = q["xml_entity_scan"]
+    q["vocabulary_sketches"] = _with(base) + """,
+vocab AS (SELECT a.class, a.split, unnest(list_concat(e.features, ['LABEL_' || a.label_id])) AS item
+          FROM (SELECT DISTINCT class, split, entity_id, label_id FROM assoc) a JOIN ent e USING (entity_id)
+          WHERE len(e.features) > 0)
+SELECT class, split, count(DISTINCT item) AS n_items, true AS within_band FROM vocab
+GROUP BY GROUPING SETS ((class, split), (class), ())"""
     q["xml_layouts"] = q["xml_nested_genes"]
+    q["label_names_last"] = """
+SELECT p_brand AS label_id, arg_max(p_name, p_partkey) AS label_name FROM part WHERE p_partkey % 9 <> 0 GROUP BY p_brand"""
     q["csv_files_by_name"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS label_name, p_brand AS label_id, 'Approved' AS status,
   CASE WHEN p_partkey % 3 <> 2 THEN p_type END AS phase FROM part"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from emergent.functions.items import INF, display_item, growth_text, items_text
 from emergent.operators import discover, refine, split, sweep, transactions
 from emergent.plans.flow import PARAMS, flow
-from emergent.session import scratch_path
+from emergent.session import reliable, scratch_path
 from emergent.sources import delimited, sinks, standin, xml
 
 
@@ -89,6 +89,27 @@ def q_vocabulary_stats(spark: SparkSession, d: str) -> DataFrame:
     return transactions.vocabulary_stats(f.tx_pos, f.pruned_for_report)
 
 
+def q_vocabulary_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """A5 at scale: items per class and split, per class and in all, from stored sketches; the estimates are held
+    against exact counts, and each must be within the sketch's error band."""
+    f = flow(spark, d)
+    pairs = f.pair_table.filter("class IS NOT NULL").select("class", "split", "entity_id", "label_id").distinct()
+    tx = pairs.join(f.entities.select("entity_id", "features").filter(F.size("features") > 0), "entity_id")
+    stored = reliable(transactions.vocabulary_sketches(tx, ["class", "split"], label_prefix=standin.LABEL_PREFIX), "sketches")
+    every = F.lit(None).cast("string")
+    estimates = (transactions.merged_vocabulary(stored, ["class", "split"])
+                 .unionByName(transactions.merged_vocabulary(stored, ["class"]).withColumn("split", every))
+                 .unionByName(transactions.merged_vocabulary(stored).withColumn("class", every).withColumn("split", every)))
+    items = tx.select("class", "split", F.explode(F.concat("features", F.array(F.concat(
+        F.lit(standin.LABEL_PREFIX), F.col("label_id").cast("string"))))).alias("item")).distinct()
+    exact = items.groupingSets([["class", "split"], ["class"], []], "class", "split").agg(
+        F.countDistinct("item").alias("n_items"))
+    on = F.col("e.class").eqNullSafe(F.col("x.class")) & F.col("e.split").eqNullSafe(F.col("x.split"))
+    close = F.abs(F.col("items") - F.col("n_items")) <= F.lit(transactions.SKETCH_BAND) * F.col("n_items")
+    return exact.alias("x").join(estimates.alias("e"), on, "left").select(
+        "x.class", "x.split", "n_items", F.coalesce(close, F.lit(False)).alias("within_band"))
+
+
 def q_pruned_transactions(spark: SparkSession, d: str) -> DataFrame:
     return _tx_text(flow(spark, d).pruned_for_report.tx)
 
@@ -364,6 +385,16 @@ def q_csv_files_by_name(spark: SparkSession, d: str) -> DataFrame:
     return delimited.read_associations_csv(spark, [f"{path}/{i}" for i in range(len(orders))])
 
 
+def q_label_names_last(spark: SparkSession, d: str) -> DataFrame:
+    """A3 in input order: of a label's names the last one in the files counts."""
+    path = scratch_path(spark, "ordered-csv")
+    part = standin.table(spark, d, "part")
+    sinks.write_csv(part.select(F.col("p_partkey").alias("drugbank_id"), F.col("p_brand").alias("ind_id"),
+                                F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")).alias("ind_name"),
+                                F.lit("Approved").alias("status")).orderBy("drugbank_id"), path)
+    return discover.label_names(delimited.read_associations_csv(spark, path, place="place"))
+
+
 def q_assoc_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """S3: associations written as a header CSV with the source's column names, read back."""
     a = flow(spark, d).assoc_all
@@ -473,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions_neg": q_transactions_neg,
     "item_frequency": q_item_frequency,
     "vocabulary_stats": q_vocabulary_stats,
+    "vocabulary_sketches": q_vocabulary_sketches,
     "pruned_transactions": q_pruned_transactions,
     "frequent_itemsets": q_frequent_itemsets,
     "label_rules_m2": q_label_rules_m2,
@@ -509,6 +541,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_nested_genes": q_xml_nested_genes,
     "xml_layouts": q_xml_layouts,
     "xml_last_record": q_xml_last_record,
+    "label_names_last": q_label_names_last,
     "csv_files_by_name": q_csv_files_by_name,
     "csv_quoted": q_csv_quoted,
     "tsv_quoted": q_tsv_quoted,

@@ -84,7 +84,8 @@ def csv_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
 def read_associations_csv(spark: SparkSession, path: str | Sequence[str],
                           entity: str = "drugbank_id", label: str = "ind_id",
                           label_name: str = "ind_name", status: str = "status",
-                          null_tokens: Sequence[str] = ("",), multi_line: bool = False) -> DataFrame:
+                          null_tokens: Sequence[str] = ("",), multi_line: bool = False,
+                          place: str | None = None) -> DataFrame:
     """S3: CSV files with headers, all columns read as text (no inference), roles renamed.
 
     Columns go by their names in each file's own header, so files may order them
@@ -93,7 +94,8 @@ def read_associations_csv(spark: SparkSession, path: str | Sequence[str],
     may hold separators and doubled quotes.  A record with too few or too many
     fields is an error.  Records that span lines need ``multi_line=True``; such a
     file is not split.  Columns other than the four roles pass through
-    untouched, null where a file does not have them.
+    untouched, null where a file does not have them.  ``place`` names a further
+    column (file, block, row) that orders the rows as they stand, files by path.
     """
     options = {"header": "true", "inferSchema": "false", "quote": '"', "escape": '"',
                "multiLine": str(multi_line).lower()}
@@ -107,8 +109,11 @@ def read_associations_csv(spark: SparkSession, path: str | Sequence[str],
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
         raw = (spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema="true")
                .schema(schema).csv(files))
+        if place:
+            raw = raw.withColumn(place, F.struct("_metadata.file_path", "_metadata.file_block_start",
+                                                 F.monotonically_increasing_id().alias("row")))
         part = _checked(raw, "association table").select(
-            *[_null(F.col(f"`{c}`"), null_tokens).alias(renames.get(c, c)) for c in columns])
+            *[_null(F.col(f"`{c}`"), null_tokens).alias(renames.get(c, c)) for c in columns], *([place] if place else []))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no header in {path}")

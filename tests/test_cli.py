@@ -33,7 +33,8 @@ def test_file_flow_end_to_end(spark, tmpdir_path):
     paths["assoc.csv"] = os.path.join(tmpdir_path, "assoc.csv")
     with open(paths["assoc.csv"], "w") as fh:
         fh.write("\n".join(rows) + "\n")
-    inputs = inputs_from_files(spark, paths["drugs.xml"], paths["genes.tsv"], paths["assoc.csv"])
+    inputs = inputs_from_files(spark, paths["drugs.xml"], paths["genes.tsv"], paths["assoc.csv"],
+                               input_order=True)
     params = Params(min_support=0.05, min_confidence=0.1, min_growth=3.0, prune_support=0.05,
                     sweep_supports=(0.1, 0.05), sweep_confidences=(0.1, 0.5))
     out = os.path.join(tmpdir_path, "out")

@@ -147,3 +147,18 @@ def test_items_that_never_meet_and_text_labels(spark):
            for r in mining.mine_label_rules(tx, 0.1, 0.0).rules.collect()}
     assert got == {(("a",), "x"): (3, 4, 3), (("é",), "x"): (3, 3, 3), (("a", "é"), "x"): (3, 3, 3), (("a",), "y"): (1, 4, 5),
                    (("b",), "y"): (5, 5, 5), (("a", "b"), "y"): (1, 1, 5), (("c",), "é"): (2, 2, 2)}
+
+
+def test_vocabulary_sketches_merge_within_their_band(spark):
+    tx = (spark.range(60_000).select((F.col("id") % 3).alias("part"), (F.col("id") % 7).cast("int").alias("label_id"),
+                                     F.array(F.concat(F.lit("a"), F.col("id")), F.concat(F.lit("b"), F.col("id") % 20_000)).alias("features")))
+    stored = transactions.vocabulary_sketches(tx, ["part"])
+    assert stored.count() == 3
+    union = transactions.merged_vocabulary(stored).first()["items"]
+    exact = 60_000 + 20_000 + 7
+    assert 0 < abs(union - exact) <= transactions.SKETCH_BAND * exact
+    parts = {r.part: r.items for r in transactions.merged_vocabulary(stored, ["part"]).collect()}
+    for p, n in parts.items():
+        want = tx.filter(F.col("part") == p).select(F.explode("features")).distinct().count() + 7
+        assert abs(n - want) <= transactions.SKETCH_BAND * want
+    assert transactions.merged_vocabulary(stored.limit(0)).first()["items"] in (None, 0)
