@@ -122,18 +122,24 @@ _CUES = (re.compile(r"e-?mail|contact|write|mailto", re.I), re.compile(r"\bip\b|
          re.compile(r"card|visa|credit|payment|cc\b", re.I), re.compile(r"phone|tel|call|mobile|fax|dial", re.I))
 
 
-#: Characters before and after an at-sign in which an address is looked for.
-MAIL_BEFORE, MAIL_AFTER = 80, 260
 _TRIGGER = re.compile(r"@|[\[(] ?at ?[\])]", re.I)
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
 def mails(text: str) -> list[tuple[int, int]]:
-    """Stretches that look like addresses, some spelled out, around each at-sign."""
+    """Stretches that look like addresses, some spelled out, around each at-sign.
+
+    An address begins where the run of its characters before the sign does, however
+    far away; the runs of different signs are apart, so the walk is linear.
+    """
     out: list[tuple[int, int]] = []
     for t in _TRIGGER.finditer(text):
-        lo = max(t.start() - MAIL_BEFORE, out[-1][1] if out else 0)
-        m = _MAILS.search(text, lo, t.end() + MAIL_AFTER)
-        if m and m.start() < t.start() and (not out or m.start() >= out[-1][1]):
+        free = out[-1][1] if out else 0
+        lo = t.start() - (t.start() > free and text[t.start() - 1] == " ")
+        while lo > free and text[lo - 1] in _LOCAL:
+            lo -= 1
+        m = _MAILS.match(text, lo)
+        if m and m.start() < t.start():
             out.append(m.span())
     return out
 
@@ -407,22 +413,28 @@ def train(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", samp
     """Fit the field on the first neighbourhoods of at most ``sample`` rows.
 
     The rows are those with a digit or at-sign whose id hashes lowest (a top-k,
-    limited per task).  What reaches the driver is ``around`` characters on both
-    sides of at most ``at_most``, twice a row.
+    limited per task); equal rows count once.  What reaches the driver is
+    ``around`` characters on both sides of at most ``at_most``, twice a row.
     """
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chosen = (rows.filter("id is not null").filter(F.col("text").rlike("[0-9@]"))
-              .select("id", F.xxhash64("id", F.lit(3)).alias("h")).orderBy("h", "id").limit(sample)
-              .select("id").distinct())
+    rows = rows.filter("id is not null").filter(F.col("text").rlike("[0-9@]")).withColumn("row", F.xxhash64("text"))
+    chosen = (rows.select("id", "row", F.xxhash64("id", F.lit(3)).alias("h")).orderBy("h", "id", "row").limit(sample)
+              .select("id", "row").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s for t, in rows_of(b, "text") if t for s in _spots(t, around, at_most)], pa.string())],
-                names=["spot"])
-
-    # At most ``sample`` ids: that side may be broadcast.
-    spots = arrow_map(rows.join(F.broadcast(chosen), "id").select("text"), run, "spot string")
+            out = []
+            for i, row, t in rows_of(b, "id", "row", "text"):
+                if (i, row) not in seen:
+                    seen.add((i, row))
+                    out += [(i, row, n, s) for n, s in enumerate(_spots(t, around, at_most))]
+            yield pa.RecordBatch.from_pylist([dict(zip(("id", "row", "n", "spot"), r)) for r in out], schema=pa.schema(
+                [("id", pa.string()), ("row", pa.int64()), ("n", pa.int32()), ("spot", pa.string())]))
+
+    # At most ``sample`` rows told apart by id and text: that side may be broadcast.
+    spots = arrow_map(rows.join(F.broadcast(chosen), ["id", "row"]).select("id", "row", "text"), run,
+                      "id string, row long, n int, spot string").distinct()
     return fit(sorted(r["spot"] for r in spots.collect()))
 
 
