@@ -9,7 +9,8 @@ hashes lowest.  Everything else reads every row and whole texts.
 Defined results: a null text, or one without letters, is ``und`` with score 0;
 so is every text when nothing is labelled; a single learned language is always
 predicted, with score 1; ties go to the name that sorts first; repeated rows
-and ids are predicted alike.
+and ids are predicted alike; an empty table gives an empty one; texts of any
+length are counted whole, in pieces; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -44,11 +45,19 @@ UNKNOWN = "und"
 DIMENSIONS = 4096
 BLOCK = 1 << 20
 
+#: Characters that may be letters; numerals like a half are not.
 _LETTER = re.compile(r"[^\W\d_]")
+#: Parts of a language whose first rows are found apart.
+PARTS = 8
 #: ASCII bytes that are no letters count as blanks.
 _BLANKED = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def family_of(lang: str) -> str:
     """The family of a language value."""
     code = lang.strip().lower().replace("_", "-").split("-")[0]
@@ -108,7 +117,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score of one text."""
-        if not self.languages or text is None or not _LETTER.search(text):
+        if not self.languages or text is None or not has_letter(text):
             return UNKNOWN, 0.0
         x = np.append(features(text), np.float32(1))
         score, k = 1.0, 0
@@ -138,29 +147,38 @@ def train(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col:
           lang_col: str = "lang", per_language: int = 500) -> Model:
     """Fit the hierarchy on at most ``per_language`` labelled rows of each language.
 
-    The rows are chosen on ids alone (limited per task before the shuffle), then
-    joined back for their texts; only their feature vectors reach the driver:
-    16 kB a row, ``per_language`` rows a language.
+    The rows are chosen on ids and hashes alone, in two levels: the first of each
+    of ``PARTS`` parts of a language, then of the language, so a language that
+    holds most rows is at most ``PARTS * per_language`` rows in one task.  They are
+    joined back for their texts, equal rows counting once; only their feature
+    vectors reach the driver: 16 kB a row, ``per_language`` rows a language.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                     F.col(text_col).cast("string").alias("text"))
-    order = Window.partitionBy("lang").orderBy("hash", "id")
-    chosen = (rows.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull())
-              .select("id", "lang", F.xxhash64(F.col("id").cast("string")).alias("hash"))
-              .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-              .select("id", "lang").distinct())
-    chosen = scratch.save(chosen, "chosen")
+    rows = (df.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                      F.col(text_col).cast("string").alias("text"))
+            .filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull())
+            .withColumn("row", F.xxhash64("text")))
+    narrow = rows.select("id", "lang", "row", F.xxhash64("id").alias("hash"))
+    order = [F.col("hash"), F.col("id"), F.col("row")]
+    for key in ([F.col("lang"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS))], [F.col("lang")]):
+        narrow = narrow.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))) \
+            .filter(F.col("n") <= per_language)
+    chosen = scratch.save(narrow.select("id", "lang", "row").distinct(), "chosen")
     # Bounded by per_language rows a language, so this side may be broadcast.
-    texts = rows.join(F.broadcast(chosen), ["id", "lang"])
+    texts = rows.join(F.broadcast(chosen), ["id", "lang", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for b in batches:
-            some = [(lang, features(t).tobytes()) for lang, t in rows_of(b, "lang", "text") if _LETTER.search(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.string()),
-                                              pa.array([r[1] for r in some], pa.binary())], names=["lang", "x"])
-
-    got = sorted((r["lang"], bytes(r["x"])) for r in arrow_map(texts.select("lang", "text"), run,
-                                                              "lang string, x binary").collect())
+            some = []
+            for i, lang, row, t in rows_of(b, "id", "lang", "row", "text"):
+                if (i, lang, row) not in seen and has_letter(t):
+                    some.append({"id": i, "lang": lang, "row": row, "x": features(t).tobytes()})
+                seen.add((i, lang, row))
+            yield pa.RecordBatch.from_pylist(some, schema=pa.schema(
+                [("id", pa.string()), ("lang", pa.string()), ("row", pa.int64()), ("x", pa.binary())]))
+
+    vectors = arrow_map(texts.select("id", "lang", "row", "text"), run, "id string, lang string, row long, x binary")
+    got = sorted((r["lang"], bytes(r["x"])) for r in vectors.distinct().collect())
     x = np.array([np.frombuffer(v, np.float32) for _, v in got]) if got else np.zeros((0, DIMENSIONS), np.float32)
     return Model(x, [lang for lang, _ in got])
 
