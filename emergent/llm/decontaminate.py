@@ -14,7 +14,10 @@ five words; an item of fewer words is one shingle of all its words.
 
 Defined results: null or empty texts hold nothing; an item without words is in
 no document; repeated documents and items each have their rows; a null document
-id is kept; an empty table on either side gives no rows.
+id is kept; an item without an id is found like any other, and its row has a null
+item id; of equally similar windows the first counts; texts of any length are
+read whole; an empty table on either side gives no rows; other columns may have
+any names.
 """
 
 from __future__ import annotations
@@ -35,8 +38,10 @@ from emergent.llm.common import arrow_map, rows_of
 SHINGLE, SIMILARITY = 5, 0.8
 #: With 8 blocks, 23 bits are the largest radius that 2 flips a block cover.
 RADIUS, BLOCKS, FLIPS = 23, 8, 2
-#: Items that one pass over the documents carries.
-ITEMS_A_PASS = 20_000
+#: Items, and bytes of their texts, that one pass over the documents carries.
+ITEMS_A_PASS, BYTES_A_PASS = 20_000, 64 << 20
+#: Pairs of windows and items whose blocks are looked up at once.
+PAIRS_AT_ONCE = 1 << 25
 
 #: Positions of a text whose prefix sums are held at a time.
 REGION = 1 << 14
@@ -79,12 +84,14 @@ def _pack(ones: np.ndarray, n: int) -> np.ndarray:
 class Items:
     """The benchmark's words, shingles and multi-index; what one pass carries."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int | None, str | None]]):
         self.hash: dict[str, int] = {}
         self.by_size: dict[int, list[tuple[int, Counter]]] = defaultdict(list)
         fps: dict[int, list[int]] = defaultdict(list)
         known: dict[int, set[int]] = defaultdict(set)
-        for item, text in items:
+        for number, (item, text) in enumerate(items):
+            # Without an id an item is known by its place, told from ids by its type.
+            item = f"{number:09d}" if item is None else item
             w = words_of(text)
             if not w:  # in no document
                 continue
@@ -103,13 +110,16 @@ class Items:
 
     def candidates(self, size: int, fps: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``(window, item, distance)`` of all pairs within the radius."""
-        hit = np.zeros((len(fps), len(self.fps[size])), dtype=bool)
-        for b, table in enumerate(self.index[size]):
-            hit |= table[(fps >> np.uint64(8 * b) & np.uint64(255)).astype(np.int64)]
-        w, i = np.nonzero(hit)
-        d = np.bitwise_count(fps[w] ^ self.fps[size][i])
-        keep = d <= RADIUS
-        yield from zip(w[keep].tolist(), i[keep].tolist(), d[keep].tolist())
+        step = max(1, PAIRS_AT_ONCE // len(self.fps[size]))
+        for lo in range(0, len(fps), step):
+            part = fps[lo:lo + step]
+            hit = np.zeros((len(part), len(self.fps[size])), dtype=bool)
+            for b, table in enumerate(self.index[size]):
+                hit |= table[(part >> np.uint64(8 * b) & np.uint64(255)).astype(np.int64)]
+            w, i = np.nonzero(hit)
+            d = np.bitwise_count(part[w] ^ self.fps[size][i])
+            keep = d <= RADIUS
+            yield from zip((w[keep] + lo).tolist(), i[keep].tolist(), d[keep].tolist())
 
     def found(self, text: str | None) -> list[tuple[int, float, int, int, int]]:
         """Per item in a text its best window: ``(item, similarity, first word, words, distance)``."""
@@ -132,7 +142,8 @@ class Items:
             # a cut holds a hit on at least one side and is seen there.
             for part in np.split(here, np.flatnonzero((np.diff(here) > reach) | (np.diff(here // REGION) > 0)) + 1):
                 self._region(h, k, sizes, int(part[0]), int(part[-1]), out)
-        return [(item, *best) for item, best in sorted(out.items())]
+        return [(None if isinstance(item, str) else item, *best)
+                for item, best in sorted(out.items(), key=lambda x: (isinstance(x[0], str), x[0]))]
 
     def _region(self, h: np.ndarray, k: int, sizes: list[int], first: int, last: int,
                 out: dict[int, tuple[float, int, int, int]]) -> None:
@@ -198,11 +209,14 @@ def _passes(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator
     """The items in broadcasts of about ``ITEMS_A_PASS`` each (one, if there are none)."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item"),
-                             F.col(item_text_col).cast("string").alias("text")).filter("item is not null")
-    passes = max(1, -(-items.count() // ITEMS_A_PASS))
+                             F.col(item_text_col).cast("string").alias("text")).filter("text is not null")
+    count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    passes = max(1, -(-count // ITEMS_A_PASS), -(-size // BYTES_A_PASS))
     for p in range(passes):
-        block = items.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == p)
-        rows = sorted((r["item"], r["text"]) for r in block.filter("text is not null").distinct().collect())
+        # An item's texts stay together; those without an id are items of their own.
+        block = items.filter(F.pmod(F.xxhash64(F.coalesce("item", F.xxhash64("text"))), F.lit(passes)) == p)
+        rows = sorted(((r["item"], r["text"]) for r in block.distinct().collect()),
+                      key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         yield spark.sparkContext.broadcast(Items(rows))
 
 
