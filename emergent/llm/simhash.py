@@ -146,10 +146,13 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """One row of each component, columns unchanged: that with the smallest id, nulls last, whatever ids repeat."""
     scratch = Scratch(df.sparkSession, "simhash")
     # A row number written with the rows tells them apart; ids need not.
-    rows = scratch.save(df.withColumn("_key", F.monotonically_increasing_id()), "rows")
-    docs = scratch.save(fingerprints(rows, id_col, text_col, shingle, "_key"), "fingerprints")
+    key = "_key"
+    while key in df.columns:
+        key += "_"
+    rows = scratch.save(df.withColumn(key, F.monotonically_increasing_id()), "rows")
+    docs = scratch.save(fingerprints(rows, id_col, text_col, shingle, key), "fingerprints")
     classes = _classes(docs.select("id", "fp"), distance, scratch).select("fp", "root")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     firsts = docs.groupBy("fp").agg(F.min(place).alias("p"))
-    firsts = firsts.join(classes, "fp").groupBy("root").agg(F.min("p").alias("p")).select(F.col("p.key").alias("_key"))
-    return rows.join(firsts, "_key", "left_semi").select(*df.columns)
+    firsts = firsts.join(classes, "fp").groupBy("root").agg(F.min("p").alias("p")).select(F.col("p.key").alias(key))
+    return rows.join(firsts, key, "left_semi").select(*df.columns)
