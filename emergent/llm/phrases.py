@@ -52,6 +52,8 @@ FILTER_BITS = 27
 HOT_SHARE = 1 / 4096
 #: Suffixes that are sorted at once: runs of whole routes of at least so many.
 SORTED = 1 << 18
+#: Parts of a language whose best phrases are found apart.
+PARTS = 16
 _SEED = 42
 
 
@@ -354,7 +356,10 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
              .groupBy("lang", "phrase").agg(F.max("a").alias("holder")))
     left = (weakest.join(inner, ["lang", "phrase"], "left")
             .filter(F.coalesce(100 * F.col("holder") < held_percent * F.col("a"), F.lit(True))))
-    order = Window.partitionBy("lang").orderBy(F.desc(F.col("cut.score")), F.desc("a"), "phrase")
-    best = left.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    # In two levels: the last one reads at most PARTS * top phrases of a language.
+    best = left
+    for key in ([F.col("lang"), F.pmod(F.xxhash64("phrase"), F.lit(PARTS))], [F.col("lang")]):
+        order = Window.partitionBy(*key).orderBy(F.desc(F.col("cut.score")), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
     return best.join(n, "lang").select("lang", "rank", "phrase", "a", F.col("cut.l").alias("l"),
                                        F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
