@@ -43,7 +43,7 @@ from emergent.llm.common import Scratch, arrow_map, rows_of, text_bytes
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b
               for b in range(256))
 #: Bytes of text that are numbered and combined at once.
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 #: Distinct words that a task counts before it hands them on.
 VOCABULARY = 1 << 18
 #: log2 of the bits of a filter of possibly frequent words or pairs (16 MiB).
@@ -136,7 +136,8 @@ class _Numbered:
         for t in set(tokens):
             number.setdefault(t, len(number))
         self.words = list(number)
-        self.at = np.fromiter(map(number.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        self.at = np.fromiter(map(number.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+        del tokens
         seed = xxhash.xxh64_intdigest(lang.encode(), _SEED)
         #: As Spark's ``xxhash64(lang, word)``: each value is hashed with the hash before it as the seed.
         self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
@@ -179,16 +180,19 @@ def _suffixes(texts: DataFrame, words, pairs, hot: list[int], bits: int, longest
             size = np.full(len(i), 2)
             for k in range(1, longest - 1):
                 size += goes_on[i + k] & (size == k + 1)
-            base, key = len(block.words), block.at[i]
-            padded = np.append(block.at, np.zeros(longest, np.int64))
+            base, key = len(block.words), block.at[i].astype(np.int64)
+            padded = np.append(block.at, np.zeros(longest, np.int32))
             for k in range(1, longest):
                 # Equal numbers so far and equal next words (0 past the end) are equal numbers again.
                 key = np.unique(key * base + np.where(k < size, padded[i + k], 0), return_inverse=True)[1]
             first, weight = np.unique(key, return_index=True, return_counts=True)[1:]
             route, is_hot = h[first], np.isin(h[first], crowded)
-            vocabulary, at = block.words, block.at.tolist()
-            texts_ = [b" ".join([vocabulary[w] for w in at[p:p + n]])
-                      for p, n in zip(i[first].tolist(), size[first].tolist())]
+            word = block.words.__getitem__
+            rows = np.stack([padded[i[first] + k] for k in range(longest)], axis=1)
+            texts_: list[bytes] = []
+            for lo in range(0, len(rows), 1 << 16):
+                texts_ += [b" ".join(map(word, r[:n])) for r, n in zip(rows[lo:lo + (1 << 16)].tolist(),
+                                                                      size[first[lo:lo + (1 << 16)]].tolist())]
             spread = np.array([xxhash.xxh64_intdigest(t, _SEED) if x else 0 for t, x in zip(texts_, is_hot.tolist())],
                               np.uint64)
             route = np.where(is_hot, spread, route)
