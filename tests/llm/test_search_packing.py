@@ -130,14 +130,78 @@ def test_packing(llm_spark, monkeypatch, shard):
     assert none.count() == 0
 
 
-def test_neighbours_share_words():
-    idf = np.zeros(400)
-    idf[:300] = 1.0
-    shard = packing.Shard(8, idf, 4.0)
-    for ids in ([1, 2, 3], [50, 51, 52], [2, 3, 4], [399, 398, 397]):
-        shard.add(ids[0], np.array(ids, "<u4"))
-    first = next(shard.pack())
-    assert [(d, len(x)) for d, _, x, _ in first] == [(1, 3), (2, 3), (50, 2)]
+def brute_bm25(ids):
+    """Score of every document for every document as a query of its distinct ids."""
+    n, mean = len(ids), np.mean([len(x) for x in ids])
+    vocabulary = sorted({t for x in ids for t in x})
+    df = {t: sum(t in set(x) for x in ids) for t in vocabulary}
+    counts = [{t: list(x).count(t) for t in set(x)} for x in ids]
+
+    def score(q, d):
+        total = 0.0
+        for t in set(ids[q]) & set(counts[d]):
+            idf = max(0.0, np.log((n - df[t] + 0.5) / (df[t] + 0.5)))
+            c = counts[d][t]
+            total += idf * c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(ids[d]) / mean))
+        return total
+
+    return [[score(q, d) for d in range(n)] for q in range(n)]
+
+
+@pytest.mark.parametrize("shard", [8192, 7])
+def test_neighbours_of_all_shards(llm_spark, monkeypatch, shard):
+    """The lists are those of a search over every document, whatever the shards."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", shard)
+    docs = (llm_spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
+            .select("doc_id", F.substring("text", 1, 600).alias("text")))
+    odd = [(60, None), (61, ""), (62, "same words here"), (63, "same words here"), (64, "same words here")]
+    docs = docs.unionByName(llm_spark.createDataFrame(odd, "doc_id long, text string")).repartition(3)
+    scratch = Scratch(llm_spark, "t")
+    table = packing.tokenized(docs, scratch, vocabulary=tokens.public_path(), end_id=2, id_col="doc_id", text_col="text")
+    bm25 = packing.Bm25(table)
+    rows = table.filter("kind = 0")
+    every = rows.withColumn("seed", F.lit(False)).unionByName(rows.filter("id % 2 = 0").withColumn("seed", F.lit(True)))
+    blocks = packing.index(every, bm25, scratch, "index")
+    id_of = {r["row"]: r["id"] for r in rows.select("row", "id").collect()}
+    got = {}
+    for r in packing.neighbours(blocks, 10).collect():
+        got.setdefault(id_of[r["seed"]], {})[r["rank"]] = (id_of[r["row"]], r["score"])
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids = [encoded(texts[i], 2).tolist() for i in range(65)]
+    want = brute_bm25(ids)
+    assert set(got) == set(range(0, 65, 2))
+    for q, found in got.items():
+        best = sorted((want[q][d] for d in range(65) if d != q), reverse=True)[:10]
+        assert sorted(found) == list(range(1, 11)) and q not in {d for d, _ in found.values()}
+        assert len({d for d, _ in found.values()}) == 10
+        assert np.allclose([found[k][1] for k in range(1, 11)], best, atol=1e-8)
+        assert np.allclose([want[q][found[k][0]] for k in range(1, 11)], best, atol=1e-8)
+    assert {d for k in (1, 2) for d, _ in [got[62][k]]} == {63, 64}
+
+
+def test_seeds_take_their_neighbours(llm_spark):
+    """A contested document goes to the seed that ranks it first; a seed that starves gives all back."""
+    state = llm_spark.createDataFrame(
+        [(1, 0, 3, True), (2, 0, 3, True), (3, 0, 4, False), (4, 5, 4, False), (5, 0, 9, False), (6, 0, 2, True)],
+        "row long, start long, left long, seed boolean")
+    found = llm_spark.createDataFrame(
+        [(1, 3, 9.0, 1), (1, 4, 8.0, 2), (1, 5, 7.0, 3), (2, 4, 9.5, 1), (2, 5, 9.0, 2), (6, 3, 9.5, 2)],
+        "seed long, row long, score double, rank int")
+    got = {tuple(r) for r in packing.one_pass(state, found, 10).collect()}
+    assert got == {(2, 0, 3, 9, 0), (4, 5, 4, 9, 3), (5, 0, 3, 9, 7)}
+
+
+def test_packing_of_copies(llm_spark):
+    """A third of all rows are one text; every copy is placed."""
+    docs = llm_spark.range(300).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("one text many times " * 12))
+        .otherwise(F.concat(F.lit("word"), F.col("id").cast("string"), F.repeat(F.lit(" other filler"), 30))).alias("text"),
+        F.lit(1).alias("row"), F.lit(2).alias("seed"), F.lit("x").alias("sketch"))
+    got = packing.packed(docs, vocabulary=tokens.public_path(), end_id=2, window=512)
+    rows = got.collect()
+    assert check_packed(rows, {r["doc_id"]: r["text"] for r in docs.collect()}, 512) == 0
+    assert len({r["sequence_id"] for r in rows}) < 2 * sum(r["length"] for r in rows) / 512 + 40
 
 
 def test_pipeline_stages(llm_spark):
