@@ -131,24 +131,14 @@ def _place(h: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> tu
     return word, bits
 
 
-def build_segment(h: np.ndarray, counts: np.ndarray, most_words: int | None = None) -> tuple[np.ndarray, int]:
-    """A bucket's part of the filter, as large as its n-grams need unless bounded, and the smallest count in it."""
+def build_segment(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A bucket's part of the filter, as large as its n-grams need."""
     level = level_of(counts)
-    if most_words is None:
-        most_words = max(1, -(-int(level.sum()) * BITS_AN_ITEM // 64))
-    room = most_words * 64 // BITS_AN_ITEM
-    order = np.argsort(-counts, kind="stable")
-    fits = np.cumsum(level[order]) <= room
-    least = 1
-    if not fits.all():  # whole count values only, the most frequent first
-        least = int(counts[order][np.argmin(fits)]) + 1
-    keep = counts >= least
-    h, level = h[keep], level[keep]
-    words_needed = max(1, min(most_words, -(-int(level.sum()) * BITS_AN_ITEM // 64)))
-    segment = np.zeros(words_needed, dtype=U)
+    size = max(1, -(-int(level.sum()) * BITS_AN_ITEM // 64))
+    segment = np.zeros(size, dtype=U)
     for q in range(1, int(level.max(initial=0)) + 1):
-        np.bitwise_or.at(segment, *_place(h[level >= q], q, words_needed))
-    return segment, least
+        np.bitwise_or.at(segment, *_place(h[level >= q], q, size))
+    return segment
 
 
 class Filter:
@@ -260,7 +250,7 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
                                       len(h)).astype(np.int64)
 
             h, c = total(range(1, order + 1))
-            segment, _ = build_segment(h, c)
+            segment = build_segment(h, c)
             h, c = total(range(0, 1))
             by = np.bincount(np.floor(np.log2(c)).astype(np.int64), minlength=48)[:48] if len(c) else np.zeros(48, int)
             return pa.RecordBatch.from_arrays(
