@@ -1,17 +1,18 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
 Training counts n-grams of all orders exactly: tasks count blocks of their
-texts and deal arrays of 64-bit n-gram hashes by hash bucket, so a frequent
-n-gram arrives once per block.  A bucket quantises its counts to levels
+texts and deal increasing 64-bit n-gram hashes, coded by their differences, by
+hash bucket, so a frequent n-gram arrives once per block.  There is a bucket for
+every ``BUCKET_BYTES`` of text.  A bucket quantises its counts to levels
 ``1 + floor(log_b c)`` and puts (n-gram, 1) ... (n-gram, level) into its own
 segment of the filter.  Every n-gram is in its segment, so the filter grows with
 the corpus; it stays in the written table, by bucket, and is neither collected
 nor broadcast.
 
 A probe asks for level 1, 2, ... until one is missing; the number of hits gives
-the count's estimate, for all orders.  Texts are scored in blocks: a block's
-distinct n-grams are dealt by bucket to the segments, the levels come back to
-the block, and the block's texts are scored with them.  Probabilities interpolate:
+the count's estimate, for all orders.  Texts are scored in blocks, each written
+once as one compressed row: a block's distinct n-grams are dealt by bucket to the
+segments, the levels come back to the block, and its texts are scored with them.  Probabilities interpolate:
 ``p(w | h) = (c(hw) + mu p(w | h')) / (c(h) + mu)``, down to an add-one unigram.
 
 The base score uses exact counts of single tokens.  Those of the most frequent
@@ -46,6 +47,8 @@ AT_ONCE, REMEMBERED = 2 << 20, 400_000
 SCORED_BYTES, SCORED_TEXTS = 4 << 20, 50_000
 #: Parts of the blocks that are scored one after the other, so that only one part's n-grams are on disk.
 PARTS = 4
+#: Bytes of training text for each bucket; a worker holds the n-grams of one bucket.
+BUCKET_BYTES = 16 << 20
 #: Blanks cannot occur in words, so these two hashes are those of no word.
 START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(b" end")
 #: Quantisation base, bits of the filter for each item, bits that an item sets (all in one 64-bit word).
@@ -107,6 +110,31 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
+def coded(h: np.ndarray) -> bytes:
+    """Increasing hashes: their low bytes as they are, the steps of what is above in bytes, of which 255 goes on."""
+    if not len(h):
+        return b""
+    rel = (h - h[0]).astype("<u8")
+    low = next(k for k in range(8) if int(rel[-1]) >> 8 * k <= 128 * len(h))
+    step = np.diff(rel >> U(8 * low), prepend=U(0))
+    more = (step // U(255)).astype(np.int64)
+    steps = np.full(len(h) + int(more.sum()), 255, np.uint8)
+    steps[np.arange(len(h)) + np.cumsum(more)] = step % U(255)
+    head = np.array([low, len(h), h[0]], "<u8").tobytes()
+    return head + rel.view(np.uint8).reshape(-1, 8)[:, :low].tobytes() + steps.tobytes()
+
+
+def decoded(raw: bytes) -> np.ndarray:
+    """What ``coded`` wrote."""
+    if not raw:
+        return np.zeros(0, U)
+    low, n, first = (int(x) for x in np.frombuffer(raw, "<u8", 3))
+    rel = np.zeros((n, 8), np.uint8)
+    rel[:, :low] = np.frombuffer(raw, np.uint8, n * low, 24).reshape(n, low)
+    steps = np.frombuffer(raw, np.uint8, offset=24 + n * low)
+    return rel.view("<u8")[:, 0] + (np.cumsum(steps, dtype=U)[steps != 255] << U(8 * low)) + U(first)
+
+
 def level_of(counts: np.ndarray) -> np.ndarray:
     """The quantised count, 1 for a single occurrence."""
     return 1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
@@ -189,19 +217,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], *cols: str) -> Iterator[list[tupl
 
 
 def _counted(tokens: np.ndarray, begin: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per order the distinct n-gram hashes and their counts; order 0 are the raw tokens without the starts."""
+    """Per order the distinct n-gram hashes, increasing, and their counts; a text's start is a token of order 1."""
     inside = np.arange(len(tokens)) - np.repeat(begin[:-1], np.diff(begin))
-    out = [np.unique(tokens[inside > 0], return_counts=True)]
-    for n, h in enumerate(grams(tokens, order), 1):
-        out.append(np.unique(h[inside >= n - 1], return_counts=True))
-    return out
+    return [np.unique(h[inside >= n - 1], return_counts=True) for n, h in enumerate(grams(tokens, order), 1)]
 
 
 def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int) -> DataFrame:
     """Count all n-grams of ``texts(text binary)`` and build the filter's segments.
 
     One saved row per bucket: segment, and the bucket's tokens with exact
-    counts (hashes, counts, number by power of two).
+    counts (hashes of order 1, counts, number by power of two), starts left out.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,17 +237,14 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
             tokens = np.concatenate([t for t, _ in held])
             shift = np.cumsum([0, *(len(t) for t, _ in held)])
             begin = np.concatenate([b[:-1] + s for (_, b), s in zip(held, shift)] + [shift[-1:]])
-            for kind, (h, c) in enumerate(_counted(tokens, begin, order)):
-                own = bucket_of(h, buckets)
-                by = np.argsort(own, kind="stable")
-                cuts = np.searchsorted(own[by], np.arange(buckets + 1))
-                h, c = h[by], c[by].astype(np.uint32)
-                some = np.flatnonzero(np.diff(cuts))
+            for n, (h, c) in enumerate(_counted(tokens, begin, order), 1):
+                some, at = _dealt(h, buckets)
+                c = c.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), kind, np.int32)),
-                     pa.array([h[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary()),
-                     pa.array([_small_counts(c[cuts[k]:cuts[k + 1]]) for k in some], pa.binary())],
-                    names=["bucket", "kind", "h", "c"])
+                    [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), n, np.int32)),
+                     pa.array([coded(h[lo:hi]) for lo, hi in zip(at, at[1:])], pa.binary()),
+                     pa.array([_small_counts(c[lo:hi]) for lo, hi in zip(at, at[1:])], pa.binary())],
+                    names=["bucket", "n", "h", "c"])
 
         for block in _blocks(batches, "text"):
             held.append(token_hashes([t for t, in block]))
@@ -234,24 +256,29 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
         if held:
             yield from out()
 
-    dealt = (arrow_map(texts.select("text"), count, "bucket int, kind int, h binary, c binary")
-             .repartition("bucket").sortWithinPartitions("bucket", "kind"))
+    dealt = (arrow_map(texts.select("text"), count, "bucket int, n int, h binary, c binary")
+             .repartition("bucket").sortWithinPartitions("bucket", "n"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes, bytes]] = []
         now = None
 
         def out() -> pa.RecordBatch:
-            def total(kinds: range) -> tuple[np.ndarray, np.ndarray]:
-                some = [(np.frombuffer(h, U), _wide_counts(c)) for k, h, c in held if k in kinds]
-                h = np.concatenate([x for x, _ in some] or [np.zeros(0, U)])
-                h, inverse = np.unique(h, return_inverse=True)
-                return h, np.bincount(inverse, np.concatenate([x for _, x in some] or [np.zeros(0)]),
-                                      len(h)).astype(np.int64)
-
-            h, c = total(range(1, order + 1))
-            segment = build_segment(h, c)
-            h, c = total(range(0, 1))
+            def total(orders: range) -> tuple[np.ndarray, np.ndarray]:
+                some = [(decoded(h), _wide_counts(c)) for n, h, c in held if n in orders]
+                if not some:
+                    return np.zeros(0, U), np.zeros(0, np.int64)
+                h = np.concatenate([x for x, _ in some])
+                by = np.argsort(h, kind="stable")  # merges what is in order already
+                h = h[by]
+                first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                return h[first], np.add.reduceat(np.concatenate([x for _, x in some])[by], first)
+
+            more, c_more = total(range(2, order + 1))
+            h, c = total(range(1, 2))
+            segment = build_segment(np.concatenate([h, more]), np.concatenate([c, c_more]))
+            word = h != mix(np.array([START], U) + U(1))
+            h, c = h[word], c[word]
             by = np.bincount(np.floor(np.log2(c)).astype(np.int64), minlength=48)[:48] if len(c) else np.zeros(48, int)
             return pa.RecordBatch.from_arrays(
                 [pa.array([now], pa.int32()), pa.array([segment.tobytes()]),
@@ -260,12 +287,12 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
                 names=["bucket", "segment", "h", "c", "tokens", "by_power"])
 
         for b in batches:
-            for bucket, kind, h, c in rows_of(b, "bucket", "kind", "h", "c"):
+            for bucket, n, h, c in rows_of(b, "bucket", "n", "h", "c"):
                 if bucket != now and held:
                     yield out()
                     held.clear()
                 now = bucket
-                held.append((kind, h, c))
+                held.append((n, h, c))
         if held:
             yield out()
 
@@ -279,7 +306,7 @@ def _small_counts(c: np.ndarray) -> bytes:
 
 
 def _wide_counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8 if raw[:1] == b"\1" else "<u4", offset=1).astype(np.float64)
+    return np.frombuffer(raw, np.uint8 if raw[:1] == b"\1" else "<u4", offset=1).astype(np.int64)
 
 
 def _asked(tokens: np.ndarray, begin: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,12 +316,10 @@ def _asked(tokens: np.ndarray, begin: np.ndarray, order: int) -> tuple[np.ndarra
                      return_inverse=True)
 
 
-def _dealt(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes' order by bucket, the buckets that have any, and where each one's begin (and the last ends)."""
-    own = bucket_of(h, buckets)
-    by = np.argsort(own, kind="stable")
-    some, at = np.unique(own[by], return_index=True)
-    return by, some, np.append(at, len(h))
+def _dealt(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that have any of the increasing hashes, and where each one's begin (and the last ends)."""
+    some, at = np.unique(bucket_of(h, buckets), return_index=True)  # buckets are runs of hashes
+    return some, np.append(at, len(h))
 
 
 class Model:
@@ -302,11 +327,12 @@ class Model:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, order: int, mu: float,
                  threshold: int, buckets: int):
+        #: Increasing hashes of order 1 and their counts.
         self.keys, self.counts, self.buckets = keys, counts, buckets
         self.tokens, self.distinct, self.order, self.mu, self.threshold = tokens, distinct, order, mu, threshold
         self.estimate = estimates()
 
-    def score(self, texts: list[bytes], answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
+    def score(self, texts: list[bytes], answers: list[bytes]) -> tuple[np.ndarray, ...]:
         """Per text: tokens, known ones and sum of log10(c + 1) among the frequent, model score; and the rest's hashes.
 
         ``answers`` are the levels of the texts' distinct n-grams, bucket by bucket.
@@ -317,6 +343,7 @@ class Model:
         add = lambda x: np.add.reduceat(x, begin[:-1])
         n_tokens = add(own.astype(np.int64))
         distinct, inverse = np.unique(t, return_inverse=True)
+        distinct = mix(distinct + U(1))
         at = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
         found = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
         exact = np.where(found, self.counts[at], 0) if len(self.keys) else np.zeros(len(distinct))
@@ -325,9 +352,7 @@ class Model:
         rest = own & ~found[inverse] if self.threshold > 1 else np.zeros(len(t), bool)
 
         h, where = _asked(t, begin, self.order)
-        estimated = np.zeros(len(h))
-        levels = np.frombuffer(b"".join(x for _, x in sorted(answers)), np.uint8)
-        estimated[_dealt(h, self.buckets)[0]] = self.estimate[levels]
+        estimated = self.estimate[np.frombuffer(b"".join(answers), np.uint8)]
         history, p, done = None, None, 0
         for n in range(1, self.order + 1):
             have = inside >= n - 1
@@ -343,7 +368,7 @@ class Model:
                 p = np.where(have, (np.minimum(c, before) + self.mu * p) / (before + self.mu), p)
             history = c
         score = add(np.where(own, np.log10(p), 0.0))
-        split = np.split(t[rest], np.cumsum(add(rest.astype(np.int64)))[:-1])
+        split = np.split(mix(t[rest] + U(1)), np.cumsum(add(rest.astype(np.int64)))[:-1])
         return n_tokens, n_known, logs, score, split
 
 
@@ -355,7 +380,9 @@ def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0
     ``exact_tokens``, and a few numbers.
     """
     spark = texts.sparkSession
-    buckets = buckets or max(512, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not buckets:
+        size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     table = count_ngrams(texts, scratch, order=order, buckets=buckets)
     powers = [r["n"] for r in table.select(F.posexplode("by_power").alias("power", "n")).groupBy("power")
               .agg(F.sum("n").alias("n")).orderBy("power").collect()]
@@ -399,32 +426,54 @@ def _runs_of(batches: Iterator[pa.RecordBatch], col: str) -> Iterator[pa.Table]:
 
 
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with the number of their block and their place in it; a block is a run of rows of one task."""
-    block, row, size = TaskContext.get().partitionId() << 32, 0, 0
+    """Runs of a task's rows as blocks, a row each: number, part, compressed texts, their sizes, lists of the other columns."""
+    number = TaskContext.get().partitionId()
+    block, held, rows, size = number << 32, [], 0, 0
+
+    def out() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        texts = t.column("_text").to_pylist()
+        names = t.schema.names[1:]
+        lists = [pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t.column(k).combine_chunks())
+                 for k in names]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([(number + block) % PARTS], pa.int32()),
+             pa.array([pa.compress(b"".join(texts), "zstd", asbytes=True)], pa.binary()),
+             pa.array([np.array([len(x) for x in texts], "<i8").tobytes()], pa.binary()), *lists],
+            names=["_block", "_part", "_texts", "_sizes", *names])
+
     for b in batches:
-        places = []
-        for t, in rows_of(b, "_text"):
-            if row and (size + len(t) > SCORED_BYTES or row >= SCORED_TEXTS):
-                block, row, size = block + 1, 0, 0
-            places.append((block, row))
-            row, size = row + 1, size + len(t)
-        blocks, rows = zip(*places) if places else ([], [])
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(rows, pa.int32()), *b.columns],
-                                         names=["_block", "_row", *b.schema.names])
-
-
-def _answers(texts: DataFrame, table: DataFrame, order: int, buckets: int) -> DataFrame:
+        begin = 0
+        for i, (t,) in enumerate(rows_of(b, "_text")):
+            if rows and (size + len(t) > SCORED_BYTES or rows >= SCORED_TEXTS):
+                held.append(b.slice(begin, i - begin))
+                yield out()
+                block, held, rows, size, begin = block + 1, [], 0, 0, i
+            rows, size = rows + 1, size + len(t)
+        held.append(b.slice(begin))
+    if rows:
+        yield out()
+
+
+def _texts(raw: bytes, sizes: bytes) -> list[bytes]:
+    """The texts of a block."""
+    at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))]).tolist()
+    raw = pa.decompress(raw, at[-1], "zstd", asbytes=True) if at[-1] else b""
+    return [raw[lo:hi] for lo, hi in zip(at, at[1:])]
+
+
+def _answers(blocks: DataFrame, table: DataFrame, order: int, buckets: int) -> DataFrame:
     """``(_block, _bucket, _levels)``: the levels of each block's distinct n-grams, in the order of their hashes."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _runs_of(batches, "_block"):
-            h, _ = _asked(*token_hashes(t.column("_text").to_pylist()), order)
-            by, some, at = _dealt(h, buckets)
-            h = h[by]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array([t.column("_block")[0].as_py()] * len(some), pa.int64()),
-                 pa.array([h[lo:hi].tobytes() for lo, hi in zip(at, at[1:])], pa.binary())],
-                names=["bucket", "block", "x"])
+        for b in batches:
+            for block, raw, sizes in rows_of(b, "_block", "_texts", "_sizes"):
+                h, _ = _asked(*token_hashes(_texts(raw, sizes)), order)
+                some, at = _dealt(h, buckets)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.astype(np.int32)), pa.array([block] * len(some), pa.int64()),
+                     pa.array([coded(h[lo:hi]) for lo, hi in zip(at, at[1:])], pa.binary())],
+                    names=["bucket", "block", "x"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, filt = None, None
@@ -435,7 +484,7 @@ def _answers(texts: DataFrame, table: DataFrame, order: int, buckets: int) -> Da
                 if bucket != now:  # the segment comes first, if the bucket has one
                     segment = [np.frombuffer(x, U) for block, x in rows if block < 0]
                     now, filt = bucket, Filter(np.array([sum(map(len, segment))]), enumerate(segment))
-                rows = [(block, np.frombuffer(x, U)) for block, x in rows if block >= 0]
+                rows = [(block, decoded(x)) for block, x in rows if block >= 0]
                 if not rows:
                     continue
                 levels = filt.levels(np.concatenate([h for _, h in rows])).astype(np.uint8)
@@ -445,8 +494,7 @@ def _answers(texts: DataFrame, table: DataFrame, order: int, buckets: int) -> Da
                      pa.array([levels[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary())],
                     names=["_block", "_bucket", "_levels"])
 
-    asked = arrow_map(texts.select("_block", "_row", "_text").repartition("_block")
-                      .sortWithinPartitions("_block", "_row"), ask, "bucket int, block long, x binary")
+    asked = arrow_map(blocks.select("_block", "_texts", "_sizes"), ask, "bucket int, block long, x binary")
     segments = table.select("bucket", F.lit(-1).cast("long").alias("block"), F.col("segment").alias("x"))
     met = asked.unionByName(segments).repartition("bucket").sortWithinPartitions("bucket", "block")
     return arrow_map(met, look, "_block long, _bucket int, _levels binary")
@@ -461,32 +509,30 @@ def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep:
     src = df.select(text_bytes(text_col).alias("_text"), *(c.alias(k) for k, c in keep.items()))
     kinds = {f.name: f for f in src.schema.fields}
     types = ", ".join(f"{k} {kinds[k].dataType.simpleString()}" for k in names)
+    lists = "".join(f", {k} array<{kinds[k].dataType.simpleString()}>" for k in names)
 
-    blocks = scratch.save(arrow_map(src, _blocked, f"_block long, _row int, _text binary, {types}"), "blocks")
+    blocks = scratch.save(arrow_map(src, _blocked, "_block long, _part int, _texts binary, _sizes binary" + lists),
+                          "blocks", partition_by=("_part",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for t in _runs_of(batches, "_block"):
-            told = int((t.column("_row").to_numpy() < 0).sum())
-            answered, t = t.slice(0, told), t.slice(told)
-            n_tokens, n_known, logs, sums, rest = m.score(
-                t.column("_text").to_pylist(),
-                list(zip(answered.column("_bucket").to_pylist(), answered.column("_levels").to_pylist())))
-            cols = [t.column(k).combine_chunks() for k in ("_block", "_row", *names)]
+        for t in _runs_of(batches, "_block"):  # the texts' row, then the answers by bucket
+            texts = _texts(t.column("_texts")[0].as_py(), t.column("_sizes")[0].as_py())
+            n_tokens, n_known, logs, sums, rest = m.score(texts, t.column("_levels").slice(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(sums),
+                [pa.array(np.full(len(texts), t.column("_block")[0].as_py())), pa.array(np.arange(len(texts), dtype=np.int32)),
+                 *(t.column(k)[0].values for k in names), pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(sums),
                  pa.array([x.view(np.int64) for x in rest], pa.list_(pa.int64()))],
                 names=["_block", "_row", *names, "n_tokens", "n_known", "logs", "score", "rest"])
 
     rows: DataFrame | None = None
     for k in range(PARTS):
-        part = blocks.filter(F.pmod(F.xxhash64("_block"), F.lit(PARTS)) == k)
-        answers = _answers(part, table, model.order, model.buckets).withColumn("_row", F.lit(-1))
-        both = (part.unionByName(answers, allowMissingColumns=True).repartition("_block")
-                .sortWithinPartitions("_block", "_row"))
+        part = blocks.filter(F.col("_part") == k).drop("_part")
+        both = (part.unionByName(_answers(part, table, model.order, model.buckets), allowMissingColumns=True)
+                .repartition("_block").sortWithinPartitions("_block", F.asc_nulls_first("_bucket")))
         done = scratch.save(arrow_map(both, run, f"_block long, _row int, {types}, n_tokens long, n_known long, "
                                                  "logs double, score double, rest array<long>"), f"scored{k}")
-        del both, answers
+        del both
         scratch.release()
         rows = done if rows is None else rows.unionByName(done)
     scratch.drop("blocks")

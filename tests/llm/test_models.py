@@ -50,6 +50,17 @@ def test_scores(llm_spark, options):
         assert r["score"] < 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 500, 40_000])
+@pytest.mark.parametrize("bits", [3, 17, 46, 64])
+def test_coded_hashes_come_back(n, bits):
+    h = np.unique(np.random.default_rng(n).integers(0, 1 << bits, n, dtype=np.uint64, endpoint=False)
+                  if bits < 64 else np.random.default_rng(n).integers(0, (1 << 64) - 1, n, dtype=np.uint64))
+    raw = lm.coded(h)
+    assert (lm.decoded(raw) == h).all() and len(raw) <= 24 + 8.5 * len(h)
+    edge = np.array([0, 1, 255, 256, (1 << 63), (1 << 64) - 1], np.uint64)
+    assert (lm.decoded(lm.coded(edge)) == edge).all()
+
+
 def test_filter_misses_nothing():
     rng = np.random.default_rng(0)
     h = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
