@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from emergent.session import scratch_path
 
+#: Spark's setting that removes the shuffle files of an execution at its end.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Upper-case ASCII letters to lower case, every other byte unchanged.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -54,10 +56,20 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write ``df`` once and return the reading of it."""
-        (df.write.mode("overwrite").partitionBy(*partition_by) if partition_by
-         else df.write.mode("overwrite")).parquet(self.path(name))
+    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), tidy: bool = False) -> DataFrame:
+        """Write ``df`` once and return the reading of it.
+
+        ``tidy`` has Spark delete the write's shuffle files when it is done, not
+        when the driver next collects garbage.
+        """
+        before = self.spark.conf.get(TIDY)
+        if tidy:
+            self.spark.conf.set(TIDY, "true")
+        try:
+            (df.write.mode("overwrite").partitionBy(*partition_by) if partition_by
+             else df.write.mode("overwrite")).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(TIDY, before)
         fields = [f for f in df.schema.fields if f.name not in partition_by]
         schema = T.StructType(fields + [df.schema[c] for c in partition_by])
         return self.spark.read.schema(schema).parquet(self.path(name))

@@ -297,7 +297,7 @@ def count_ngrams(texts: DataFrame, scratch: Scratch, *, order: int, buckets: int
             yield out()
 
     return scratch.save(arrow_map(dealt, build, "bucket int, segment binary, h binary, c binary, "
-                                                "tokens long, by_power array<long>"), "buckets")
+                                                "tokens long, by_power array<long>"), "buckets", tidy=True)
 
 
 def _small_counts(c: np.ndarray) -> bytes:
@@ -404,7 +404,6 @@ def train(texts: DataFrame, scratch: Scratch, *, order: int = 2, mu: float = 4.0
     counts = np.concatenate([np.frombuffer(r["c"], np.int64) for r in got] or [np.zeros(0, np.int64)])
     by = np.argsort(keys)
     keys, counts = keys[by], counts[by]
-    scratch.release()
     return Model(keys, counts, tokens, distinct, order, mu, threshold, buckets), table
 
 
@@ -531,9 +530,7 @@ def score(df: DataFrame, model: Model, table: DataFrame, scratch: Scratch, keep:
         both = (part.unionByName(_answers(part, table, model.order, model.buckets), allowMissingColumns=True)
                 .repartition("_block").sortWithinPartitions("_block", F.asc_nulls_first("_bucket")))
         done = scratch.save(arrow_map(both, run, f"_block long, _row int, {types}, n_tokens long, n_known long, "
-                                                 "logs double, score double, rest array<long>"), f"scored{k}")
-        del both
-        scratch.release()
+                                                 "logs double, score double, rest array<long>"), f"scored{k}", tidy=True)
         rows = done if rows is None else rows.unionByName(done)
     scratch.drop("blocks")
     smoothed = float(np.log10(model.tokens + model.distinct + 1))
