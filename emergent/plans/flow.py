@@ -103,7 +103,8 @@ class Flow:
 
     @cached_property
     def entities(self) -> DataFrame:
-        return self.inputs.entities
+        """Written once: transactions, pruning, every rule match and the candidates' names read it."""
+        return reliable(self.inputs.entities, "entities")
 
     @cached_property
     def bridge_rows(self) -> DataFrame:
@@ -168,9 +169,11 @@ class Flow:
         """
         pairs = (self.pair_table.filter((F.col("split") == F.lit(split.TRAIN)) & F.col("class").isNotNull())
                  .groupBy("class", "entity_id", "label_id").agg(F.sum("multiplicity").alias("multiplicity")))
-        tx = pairs.join(self.entities.select("entity_id", "features").filter(F.size("features") > 0), "entity_id")
+        ents = self.entities.select("entity_id", "features").filter(F.size("features") > 0)
+        # The features grow with the entities and are packed small on disk: their file size must not make them a broadcast.
+        tx = pairs.join(ents.hint("merge"), "entity_id")
         return reliable(tx.select("class", "entity_id", "label_id", "multiplicity", "features"), "tx-train",
-                        spread=True, partition_by=("class",))
+                        partition_by=("class",))
 
     def _tx(self, cls: str) -> DataFrame:
         return (self.tx_train.filter(F.col("class") == F.lit(cls))

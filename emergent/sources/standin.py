@@ -39,16 +39,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to as many tasks as their bytes ask for: a file of one row group is read by one task alone."""
+    return df.hint("rebalance")
+
+
 def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem: (order_key, line_number, entity_id, label_id, label_name, status)."""
+    """One row per lineitem: (order_key, line_number, entity_id, label_id, label_name, status).
+
+    Orders get their nation first, so that the lineitems, the many rows, are shuffled once only.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    placed = (orders.join(customer.join(nation, F.col("c_nationkey") == nation.n_nationkey),
+                          F.col("o_custkey") == customer.c_custkey)
+              .select("o_orderkey", "c_nationkey", "n_name"))
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
-        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
+        li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_orderkey").alias("order_key"),
             F.col("l_linenumber").alias("line_number"),
@@ -69,7 +78,7 @@ def split_key(order_key: str = "order_key", line_number: str = "line_number",
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entity_id, entity_name, features) with features sorted and distinct."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     words = F.filter(F.split(F.col("p_name"), " "), lambda w: w != F.lit(""))
     tokens = F.concat(
         F.array(
