@@ -298,7 +298,9 @@ class Flow:
         """The same tables from the high-contrast rules of the sweep's best cell."""
         p = self.params
         best = sweep.best_cell_rules(self.sweep_result)
-        best = self.high.limit(0) if best is None else best
+        if best is None:    # no cell has rules; the grid's table gives the columns, nothing is mined for them
+            best = next(iter(self.sweep_result.high_rules.values()), None)
+            best = (self.high if best is None else best).limit(0)
         rules = refine.remove_redundant(best, p.conf_tol, p.supp_tol, p.gr_tol)
         return self.result_tables(rules, self.candidates_of(rules))
 
