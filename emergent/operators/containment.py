@@ -81,6 +81,7 @@ def containment_join(sets: DataFrame, set_col: str, targets: DataFrame, items_co
                           .otherwise(F.pmod("_h", F.col("_parts") + 1).cast("int"))).drop("_h", "_parts"))
     met = (narrow.join(sets_k, on + ["_key", "_part"])
            .filter("_s0 & _t0 = _s0 AND _s1 & _t1 = _s1").drop("_s0", "_s1", "_t0", "_t1", "_key", "_part"))
-    whole = targets.drop(*rest)
+    # Item lists are packed small on disk: their file size must not make them a broadcast.
+    whole = targets.drop(*rest).hint("merge")
     return (met.join(whole, numbered).drop("_tid")
             .filter(F.size(F.array_except(F.col(set_col), F.col(items_col))) == 0))

@@ -97,7 +97,7 @@ def label_pairs(pairs: DataFrame, entities: DataFrame, known_pairs: DataFrame, t
         negs = negative_pairs.select(entity, label).distinct().withColumn("known_negative", F.lit(True))
         out = out.join(negs, [entity, label], "left").withColumn(
             "known_negative", F.coalesce("known_negative", F.lit(False)))
-    return out.join(entities.select(entity, "entity_name"), entity)
+    return out.join(entities.select(entity, "entity_name").hint("merge"), entity)
 
 
 def candidates(rules: DataFrame, entities: DataFrame, known_pairs: DataFrame, test_pairs: DataFrame,
