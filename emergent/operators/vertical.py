@@ -36,6 +36,10 @@ BLOCK_ROWS = 8192
 BLOCK_BITS = 1 << 28
 #: Candidate sets that are counted in one pass over the blocks.
 PAIRS_A_PASS = 2_000_000
+#: Counts (candidates x labels) of a pass that a task keeps as one array; of larger passes it keeps what it met.
+DENSE_COUNTS = 1 << 22
+#: Counts met that a task holds before it combines them.
+HELD_COUNTS = 1_000_000
 _WORD = 64
 
 
@@ -123,13 +127,13 @@ def _candidate_counter(shared, items: list[str], n_labels: int, longer: int):
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         held = 0
+        dense = np.zeros((ends[-1], n_labels + 1), np.int64) if ends[-1] * (n_labels + 1) <= DENSE_COUNTS else None
 
         def combined() -> tuple[np.ndarray, np.ndarray]:
             key, back = np.unique(np.concatenate(keys), return_inverse=True)
             return key, np.bincount(back, np.concatenate(counts)).astype(np.int64)
 
-        def out() -> Iterator[pa.RecordBatch]:
-            key, n = combined()
+        def out(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             pair, label = key // (n_labels + 1), key % (n_labels + 1) - 1
             for lo in range(0, len(key), 1 << 16):
                 s = slice(lo, lo + (1 << 16))
@@ -163,18 +167,24 @@ def _candidate_counter(shared, items: list[str], n_labels: int, longer: int):
                         met = lines[rows[js[there]]] & mask
                         n = sum(np.add.reduceat(np.bitwise_count(met & w), starts, axis=1, dtype=np.int64) << p
                                 for p, w in enumerate(weights))
+                        if dense is not None:
+                            dense[np.ix_(begin + there, found + 1)] += n
+                            continue
                         x, y = np.nonzero(n)
                         keys.append((begin + there[x]) * (n_labels + 1) + found[y] + 1)
                         counts.append(n[x, y])
                         held += len(x)
-                if held > 4_000_000:
-                    key, n = combined()
-                    keys, counts, held = [key], [n], len(key)
-                    if held > 2_000_000:
-                        yield from out()
-                        keys, counts, held = [], [], 0
-        if held:
-            yield from out()
+                        if held > HELD_COUNTS:
+                            key, n = combined()
+                            keys, counts, held = [key], [n], len(key)
+                            if held > HELD_COUNTS // 2:
+                                yield from out(key, n)
+                                keys, counts, held = [], [], 0
+        if dense is not None:
+            key = np.flatnonzero(dense)
+            yield from out(key, dense.ravel()[key])
+        elif held:
+            yield from out(*combined())
 
     return run
 
