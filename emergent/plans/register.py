@@ -306,7 +306,7 @@ def standin_entity_xml(part: DataFrame) -> DataFrame:
 
 def q_xml_entity_scan(spark: SparkSession, d: str) -> DataFrame:
     part = standin.table(spark, d, "part")
-    ents = xml.parse_entity_xml(standin_entity_xml(part), "xml")
+    ents = xml.parse_entity_xml(standin_entity_xml(standin.spread(part)), "xml")
     return ents.select("entity_id", "entity_name", F.array_join("features", " ").alias("features"),
                        F.array_join(F.array_sort("bridge"), ", ").alias("bridge"))
 
@@ -319,7 +319,7 @@ def _entity_out(ents: DataFrame) -> DataFrame:
 def q_xml_file_scan(spark: SparkSession, d: str) -> DataFrame:
     """S1 from files: one XML record per part written as text files, scanned by ``rowTag``."""
     path = scratch_path(spark, "entities-xml")
-    sinks.write_xml_records(standin_entity_xml(standin.table(spark, d, "part")), "xml", path)
+    sinks.write_xml_records(standin_entity_xml(standin.spread(standin.table(spark, d, "part"))), "xml", path)
     return _entity_out(xml.read_entity_xml(spark, path))
 
 
@@ -343,14 +343,14 @@ def _nested_xml(part: DataFrame) -> DataFrame:
 def q_xml_nested_genes(spark: SparkSession, d: str) -> DataFrame:
     """S1, P1, P2, P4, P5 from files that hold nested genes, missing names and repeated ids."""
     path = scratch_path(spark, "nested-xml")
-    sinks.write_xml_records(_nested_xml(standin.table(spark, d, "part")), "xml", path, per_file=500)
+    sinks.write_xml_records(_nested_xml(standin.spread(standin.table(spark, d, "part"))), "xml", path, per_file=500)
     return _entity_out(xml.read_entity_xml(spark, path))
 
 
 def q_xml_layouts(spark: SparkSession, d: str) -> DataFrame:
     """Records by nesting depth, whatever the layout: indented, on one line, with row tags in comments and CDATA."""
     path = scratch_path(spark, "layout-xml")
-    part = standin.table(spark, d, "part")
+    part = standin.spread(standin.table(spark, d, "part"))
     records = _nested_xml(part.filter("p_partkey % 2 = 0"))
     noted = records.select(F.concat(
         F.lit("<!-- <drug> </drug></drug> -->"), F.replace(
@@ -363,12 +363,18 @@ def q_xml_layouts(spark: SparkSession, d: str) -> DataFrame:
     return _entity_out(xml.read_entity_xml(spark, [f"{path}/{x}" for x in "abcd"]))
 
 
+def in_place_order(part: DataFrame) -> DataFrame:
+    """Parts dealt to many tasks, those of one key to one task and in the order of the table."""
+    return (part.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange("p_partkey")
+            .sortWithinPartitions("p_partkey", "_place").drop("_place"))
+
+
 def q_xml_last_record(spark: SparkSession, d: str) -> DataFrame:
     """P5 in input order: of the records of one id the last in the file counts, though an earlier one is greater."""
     path = scratch_path(spark, "repeated-xml")
     text = F.col("xml")
     earlier = F.regexp_replace(F.regexp_replace(text, "<name>", "<name>zz"), r"<target><name>[^<]*</name></target>", "")
-    twice = standin_entity_xml(standin.table(spark, d, "part")).select(F.explode(F.array(earlier, text)).alias("xml"))
+    twice = standin_entity_xml(in_place_order(standin.table(spark, d, "part"))).select(F.explode(F.array(earlier, text)).alias("xml"))
     sinks.write_xml_records(twice, "xml", path)
     return _entity_out(xml.read_entity_xml(spark, path, duplicates="last"))
 
