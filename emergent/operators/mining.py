@@ -149,26 +149,36 @@ def rule_columns(rules: DataFrame, label: str, *more: str) -> DataFrame:
                         "support", "confidence", "lift", "leverage", "conviction")
 
 
-EXPAND_CHUNK = 4096
+#: Equal transactions that are expanded from one row at most; different ones that a task is meant to hold.
+EXPAND_CHUNK, SETS_A_TASK = 4096, 100_000
+#: So many of the most frequent items put the transactions in order.
+ORDERED_ITEMS = 256
 
 
 def expand_transactions(tx: DataFrame, label: str = "label_id", features: str = "features",
                         weight: str = "multiplicity", label_prefix: str = "LABEL_") -> DataFrame:
     """One row per original transaction with the mixed item array (input of MLlib).
 
-    A multiplicity is expanded in chunks of at most ``EXPAND_CHUNK`` rows and
-    the chunks are rebalanced before the final explode, so a pair that
-    holds a large share of all rows never builds one huge array or one huge task.
+    Equal transactions are counted first.  They stand in the order of the trees' paths, most frequent items
+    first, so a task's trees share the beginnings of their paths, which are those of few other tasks.
+    A count is expanded in chunks of at most ``EXPAND_CHUNK`` rows that are dealt apart, so
+    transactions that hold a large share of all rows never build one huge array or one huge task.
     """
     items = F.array_sort(F.array_distinct(F.concat(F.col(features), F.array(prefixed(label_prefix, label)))))
-    m = F.col(weight).cast("bigint")
-    chunks = (tx.select(items.alias("items"), m.alias("_m"))
-              .select("items", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.floor((F.col("_m") - 1) / EXPAND_CHUNK).cast("bigint")))
-                      .alias("_c"))
-              .select("items", F.least(F.lit(EXPAND_CHUNK).cast("bigint"),
-                                       F.col("_m") - F.col("_c") * EXPAND_CHUNK).cast("int").alias("_k")))
-    return chunks.hint("rebalance").select("items", F.explode(F.array_repeat(F.lit(0), F.col("_k"))).alias("_r")).drop("_r")
+    sets = reliable(tx.select(items.alias("items"), F.col(weight).cast("bigint").alias("_m"))
+                    .groupBy("items").agg(F.sum("_m").alias("_m")), "item-sets")
+    tasks = max(2 * tx.sparkSession.sparkContext.defaultParallelism, -(-sets.count() // SETS_A_TASK))
+    often = (sets.select(F.explode("items").alias("item"), "_m").groupBy("item").agg(F.sum("_m").alias("n"))
+             .orderBy(F.desc("n"), "item").limit(ORDERED_ITEMS).collect())
+    path = F.array_intersect(F.array(*(F.lit(r["item"]) for r in often)).cast("array<string>"), "items")
+    chunks = (sets.select("items", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                              F.floor((F.col("_m") - 1) / EXPAND_CHUNK).cast("bigint")))
+                          .alias("_c"))
+              .select("items", "_c", path.alias("_path"), F.least(F.lit(EXPAND_CHUNK).cast("bigint"),
+                                                                  F.col("_m") - F.col("_c") * EXPAND_CHUNK).cast("int").alias("_k")))
+    by = ("_path", "items", "_c")
+    return (chunks.repartitionByRange(tasks, *by).sortWithinPartitions(*by)
+            .select("items", F.explode(F.array_repeat(F.lit(0), F.col("_k"))).alias("_r")).drop("_r"))
 
 
 def mine_fpgrowth(tx: DataFrame, min_support: float, min_confidence: float,
